@@ -8,10 +8,11 @@ plan should carry, the remainder goes through a vectorised Pandas UDF with the s
 from __future__ import annotations
 
 import ast
-from functools import lru_cache
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,9 @@ from pointloom.functions.formula import IDENTIFIER, is_point_name
 TEMPLATE_TOKEN = rf"({IDENTIFIER}|[0-9]+(?:\.[0-9]*)?(?:[eE][+-]?[0-9]+)?|[^a-zA-Z_0-9]+)"
 MAX_COMPILED_TEMPLATES = 200
 
+# Python workers get the functions below with their code, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def template_text(expr: Column, variables: Column) -> Column:
     """`expr` with the i-th name of the array `variables` written as v_i; null if it uses any other name."""
@@ -41,7 +45,6 @@ class UnsupportedFormula(ValueError):
     """The formula is outside the grammar: numbers, names, + - * / %, sign, parentheses."""
 
 
-@lru_cache(maxsize=4096)
 def parse_template(template: str) -> ast.expr:
     try:
         tree = ast.parse(template, mode="eval").body

@@ -89,8 +89,8 @@ def bind_variables(
 
 
 def operand_spans(
-    slots: DataFrame, firings: DataFrame, deps: DataFrame, derived: DataFrame | None, constants: DataFrame | None,
-    slide_ms: int, width: int,
+    slots: DataFrame | None, firings: DataFrame | None, deps: DataFrame, derived: DataFrame | None,
+    constants: DataFrame | None, slide_ms: int, width: int,
 ) -> DataFrame:
     """Operands of rules over several devices or over derived points, per window end.
 
@@ -99,19 +99,22 @@ def operand_spans(
     tick only and known afterwards; constants are known until the first reading.
     """
     operand = [*RULE_KEY, "idx", "device_id", "property_name"]
-    rows = operand_slots(slots, deps).join(firings, [*DEVICE, "slot"]).select(
-        *operand, "slot", "value", F.lit(width).alias("_present"), "firings"
-    )
-    if derived is not None:
-        d = derived.select(
-            *SERIES, (F.col("tick_ms") / slide_ms - 1).cast("bigint").alias("slot"), "value", "snapshot_ms"
+    parts = []
+    if slots is not None:
+        parts.append(
+            operand_slots(slots, deps).join(firings, [*DEVICE, "slot"]).select(
+                *operand, "slot", "value", F.lit(width).alias("_present"), "firings"
+            )
         )
-        rows = rows.unionByName(
+    if derived is not None:
+        d = derived.select(*SERIES, F.expr(f"tick_ms div {slide_ms} - 1").alias("slot"), "value", "snapshot_ms")
+        parts.append(
             operand_slots(d, deps, "snapshot_ms").select(
                 *operand, "slot", "value", F.lit(1).alias("_present"),
                 F.array((F.col("snapshot_ms") - F.col("slot") * slide_ms).cast("int")).alias("firings"),
             )
         )
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     bounds = rows.groupBy(*RULE_KEY).agg(
         (F.min("slot") + 1).alias("_from"), F.max(F.col("slot") + F.col("_present")).alias("_to")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointloom.functions.arithmetic import arithmetic, compiled_templates, template_text
@@ -170,7 +170,7 @@ def _spans_of(heads: DataFrame, slots, firings, rs: RuleSet, derived, slide_ms:
 
 
 def _many_devices(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int) -> DataFrame:
-    arity = rs.arity["spans"]
+    arity = max(rs.arity.get("spans", 1), rs.arity.get("runs", 1) if slots is None else 1)
     spans = _spans_of(heads, slots, firings, rs, derived, slide_ms, width)
     attributes = heads.select(*RULE_KEY, "kind", "template", "parameters", "n_required")
     bound = bind_spans(spans, attributes, arity)
@@ -208,26 +208,44 @@ def _rollups(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width:
     )
 
 
-def calculate(fired: DataFrame, tz: str = "UTC") -> DataFrame:
-    """Apply each firing's calculation. A rule has one period, so one window serves all calculations."""
+AGGREGATES = {"first": F.first, "max": F.max, "min": F.min, "sum": F.sum, "count": F.sum}
+
+
+def rule_period(tz: str) -> Column:
+    """Period of a firing by the calculation of its rule: a number, 0 where the calculation has none."""
     period = F.lit(0).cast("bigint")
-    by_unit: dict[str, list[str]] = {}
+    units: dict[str, list[str]] = {}
     for name, c in CALCULATIONS.items():
         if c.period not in (None, "total"):
-            by_unit.setdefault(c.period, []).append(name)
-    for unit, names in by_unit.items():
+            units.setdefault(c.period, []).append(name)
+    for unit, names in units.items():
         period = F.when(F.col("kind").isin(*names), period_key(F.col("snapshot_ms"), unit, tz)).otherwise(period)
+    return period
+
+
+def with_period_aggregates(fired: DataFrame, tz: str = "UTC", carried: DataFrame | None = None) -> DataFrame:
+    """Adds first, max, min, sum and count of `value` from the start of the rule's period to each firing.
+
+    A rule has one period, so one window serves all calculations. `carried` holds what earlier batches left per
+    rule and period (RULE_KEY, _period and the aggregates); it continues them.
+    """
+    own = {"first": "value", "max": "value", "min": "value", "sum": "value"}
+    rows = fired.withColumn("_period", rule_period(tz)).withColumns(
+        {**{f"_{a}": F.col(c) for a, c in own.items()}, "_count": F.lit(1.0)}
+    )
+    if carried is not None:
+        rows = rows.unionByName(carried.withColumn("tick_ms", F.lit(0).cast("bigint")), allowMissingColumns=True)
     w = (
         Window.partitionBy(*RULE_KEY, "_period").orderBy("tick_ms")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    rows = fired.withColumn("_period", period).withColumns(
-        {
-            "_first": F.first("value").over(w), "_max": F.max("value").over(w), "_min": F.min("value").over(w),
-            "_sum": F.sum("value").over(w), "_count": F.count("value").over(w),
-        }
-    )
-    context = FiredContext(*[F.col(c) for c in ("value", "_first", "_max", "_min", "_sum", "_count", "parameters")])
+    rows = rows.withColumns({f"_{a}": fn(f"_{a}").over(w) for a, fn in AGGREGATES.items()})
+    return rows.where(F.col("tick_ms") > 0) if carried is not None else rows
+
+
+def calculate(rows: DataFrame) -> DataFrame:
+    """Apply each firing's calculation to rows with period aggregates."""
+    context = FiredContext(*[F.col(c) for c in ("value", *[f"_{a}" for a in AGGREGATES], "parameters")])
     result = F.when(F.col("kind") == ARITHMETIC, F.col("computed"))
     for name, c in CALCULATIONS.items():
         result = result.when(F.col("kind") == name, c.value(context))
@@ -257,14 +275,15 @@ def derive(
         here = rs.rules.where(F.col("level") == level)
         args = (slots, firings, rs, derived, slide_ms, width)
         if level == 0 and "runs" in rs.arity:
-            made.append(calculate(_same_device(slots, firings, rs, slide_ms, width), tz))
+            made.append(calculate(with_period_aggregates(_same_device(slots, firings, rs, slide_ms, width), tz)))
         if "spans" in rs.arity:
-            made.append(calculate(_many_devices(here.where((F.col("route") == "spans") & (F.col("n_required") <= PIVOT_LIMIT)), *args), tz))
+            heads = here.where((F.col("route") == "spans") & (F.col("n_required") <= PIVOT_LIMIT))
+            made.append(calculate(with_period_aggregates(_many_devices(heads, *args), tz)))
         if "rollup" in rs.arity:
             made.append(_rollups(here.where(F.col("route") == "rollup"), *args))
         if rs.more_templates:
             long = here.where((F.col("route") != "rollup") & (F.col("n_required") > PIVOT_LIMIT))
-            made.append(calculate(_long_formulas(long, *args), tz))
+            made.append(calculate(with_period_aggregates(_long_formulas(long, *args), tz)))
     return _union(made)
 
 

@@ -343,7 +343,7 @@ ALL: dict[str, str] = {
     "route_config": with_(**CONFIG, ch=POINT_CHANGES) + (
         "SELECT \"table\", op, seq, data_id AS row_id FROM ch WHERE data_source IN (2, 3) UNION ALL "
         "SELECT 'object', 'r', cast(object_id AS bigint) * 10, object_id FROM objects UNION ALL "
-        "SELECT 'object', 'u', cast(object_id AS bigint) * 10 + 1, object_id FROM objects WHERE status = 0"
+        "SELECT 'object', 'u', cast(object_id AS bigint) * 10 + 1, object_id FROM objects WHERE parent_id IS NOT NULL AND object_id % 5 = 0"
     ),
     "apply_changes": with_(**CONFIG, ch=POINT_CHANGES) + (
         "SELECT data_id, company_id, object_id, data_code, data_type, data_source, formula FROM "
@@ -398,7 +398,7 @@ ALL: dict[str, str] = {
         "SELECT DISTINCT r.company_id, r.device_code, r.point_code, p.model_code FROM rules r JOIN "
         "(SELECT object_id, data_code, CASE data_code WHEN 'noModel' THEN 'NOPE' ELSE 'BUILDING' END AS model_code FROM points WHERE data_code IN ('plantSum', 'plantAvg', 'noModel')) p "
         "ON r.point_code = p.data_code AND r.device_code = concat('P', p.object_id) JOIN "
-        "(SELECT unnest([parent_id, (parent_id + 1) % 10 + 1]) AS parent, m.object_code AS model_code FROM objects o JOIN models m USING (model_id) WHERE status = 0) t "
+        "(SELECT unnest([parent_id, (parent_id + 1) % 10 + 1]) AS parent, m.object_code AS model_code FROM objects o JOIN models m USING (model_id) WHERE o.parent_id IS NOT NULL AND o.object_id % 5 = 0) t "
         "ON t.parent = p.object_id AND t.model_code = p.model_code"
     ),
     "trigger_rules": with_(**BASE) + (

@@ -241,12 +241,12 @@ def point_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def object_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CDC rows of the object table: snapshot records, then devices in debt move to the next plant of their company."""
+    """CDC rows of the object table: snapshot records, then every fifth device moves to another plant of its company."""
     image = "to_json(named_struct('object_id', object_id, 'parent_id', {p}, 'company_id', company_id, 'object_code', object_code, 'model_id', model_id, 'status', status))"
     now, moved = image.format(p="parent_id"), image.format(p="(parent_id + 1) % 10 + 1")
     rows = (
         f"named_struct('table', 'object', 'op', 'r', 'before', cast(null AS string), 'after', {now}, 'seq', cast(object_id * 10 AS bigint))",
-        f"if(status = 0, named_struct('table', 'object', 'op', 'u', 'before', {now}, 'after', {moved}, 'seq', cast(object_id * 10 + 1 AS bigint)), null)",
+        f"if(parent_id is not null and object_id % 5 = 0, named_struct('table', 'object', 'op', 'u', 'before', {now}, 'after', {moved}, 'seq', cast(object_id * 10 + 1 AS bigint)), null)",
     )
     return objects(spark, sf_dir).selectExpr(f"inline(filter(array({', '.join(rows)}), x -> x is not null))")
 
