@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pointloom.functions.formula import IDENTIFIER, is_point_name
 
@@ -111,12 +112,7 @@ def is_supported(template: str | None) -> bool:
         return False
 
 
-@F.pandas_udf("boolean")
-def supported_template(template: pd.Series) -> pd.Series:
-    return template.map(is_supported).astype(bool)
-
-
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def evaluate_template(template: pd.Series, values: pd.Series) -> pd.Series:
     """Templates beyond the compiled ones: each distinct template of the batch is evaluated on vectors."""
     out: dict = {}

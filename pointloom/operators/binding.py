@@ -17,6 +17,11 @@ from pointloom.operators.snapshot import slot_latest, spread
 from pointloom.schemas import DEVICE, MINUTE_MS, RULE_KEY, SERIES, WINDOW_SLOTS
 
 
+def rule_key(df: DataFrame) -> list[str]:
+    """How rows name their rule: by `rule_id` where they have it, else by RULE_KEY."""
+    return ["rule_id"] if "rule_id" in df.columns else list(RULE_KEY)
+
+
 def operand_slots(slots: DataFrame, deps: DataFrame, *extra: str) -> DataFrame:
     """Slot rows of the series some rule depends on, once per depending operand.
 
@@ -48,15 +53,17 @@ def bound_runs(
     """Runs of rules whose operands belong to one device: RULE_KEY, attributes, slot, n, v_0 .. v_{arity-1}.
 
     An operand has its last reading, however old, or its constant (`consts`, an array by operand) if it never had
-    one. With `firings` the snapshot times of the operands' device are kept.
+    one. With `firings` the snapshot times of the operands' device are kept. A numeric `rule_id` among the columns of
+    `deps` stands for the rule in shuffles and sorts.
     """
     rows = operand_slots(slots, deps)
     if firings is not None:
         rows = rows.join(firings, [*DEVICE, "slot"])
-    kept = [*RULE_KEY, *attributes, *(["firings"] if firings is not None else [])]
+    by = rule_key(deps)
+    kept = [*dict.fromkeys([*by, *RULE_KEY, *attributes]), *(["firings"] if firings is not None else [])]
     has_consts = "consts" in deps.columns
-    rows = spread(rows.select(*kept, "idx", "slot", "value", *(["consts"] if has_consts else [])), *RULE_KEY)
-    w = Window.partitionBy(*RULE_KEY).orderBy("slot")
+    rows = spread(rows.select(*kept, "idx", "slot", "value", *(["consts"] if has_consts else [])), *by)
+    w = Window.partitionBy(*by).orderBy("slot")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def operand(i: int) -> Column:
@@ -94,11 +101,13 @@ def operand_spans(
 ) -> DataFrame:
     """Operands of rules over several devices or over derived points, per window end.
 
-    Columns: RULE_KEY, idx, tick (minute number), value, `snapshot_ms` while the operand is in the snapshot, else
+    Columns: the rule's key, idx, tick (minute number), value, `snapshot_ms` while the operand is in the snapshot, else
     null. Readings stay known up to the operand's next reading; derived values (tick rows) are present at their own
     tick only and known afterwards; constants are known until the first reading.
     """
-    operand = [*RULE_KEY, "idx", "device_id", "property_name"]
+    by = rule_key(deps)
+    operand = [*by, "idx", "company_id", "device_id", "property_name"]
+    operand = list(dict.fromkeys(operand))
     parts = []
     if slots is not None:
         parts.append(
@@ -115,7 +124,7 @@ def operand_spans(
             )
         )
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    bounds = rows.groupBy(*RULE_KEY).agg(
+    bounds = rows.groupBy(*by).agg(
         (F.min("slot") + 1).alias("_from"), F.max(F.col("slot") + F.col("_present")).alias("_to")
     )
     if constants is not None:
@@ -127,33 +136,35 @@ def operand_spans(
             )
         )
     w = Window.partitionBy(*operand).orderBy(F.col("slot").asc_nulls_first())
-    spans = rows.withColumn("_next", F.lead("slot").over(w)).join(bounds, RULE_KEY)
+    spans = rows.withColumn("_next", F.lead("slot").over(w)).join(bounds, by)
     first = F.coalesce(F.col("slot") + 1, F.col("_from"))
     last = F.least(F.coalesce("_next", "_to"), F.col("_to"))
     ticks = spans.where(first <= last).select(
-        *RULE_KEY, "idx", "slot", "value", "firings", F.explode(F.sequence(first, last)).alias("tick")
+        *by, "idx", "slot", "value", "firings", F.explode(F.sequence(first, last)).alias("tick")
     )
     offset = F.get("firings", (F.col("tick") - F.col("slot") - 1).cast("int"))
-    return ticks.select(*RULE_KEY, "idx", "tick", "value", (F.col("slot") * slide_ms + offset).alias("snapshot_ms"))
+    return ticks.select(*by, "idx", "tick", "value", (F.col("slot") * slide_ms + offset).alias("snapshot_ms"))
 
 
 def bind_spans(spans: DataFrame, attributes: DataFrame, arity: int) -> DataFrame:
-    """Rules over several devices: RULE_KEY, attributes, tick, snapshot_ms, v_0 .. v_{arity-1}, all bound."""
-    wide = spans.groupBy(*RULE_KEY, "tick").agg(
+    """Rules over several devices: `attributes`, tick, snapshot_ms, v_0 .. v_{arity-1}, all bound."""
+    by = rule_key(spans)
+    wide = spans.groupBy(*by, "tick").agg(
         F.max("snapshot_ms").alias("snapshot_ms"),
         *[F.max(F.when(F.col("idx") == i, F.col("value"))).alias(f"v_{i}") for i in range(arity)],
     )
-    rows = wide.where(F.col("snapshot_ms").isNotNull()).join(attributes, RULE_KEY)
+    rows = wide.where(F.col("snapshot_ms").isNotNull()).join(attributes, by)
     return rows.where(all_bound(arity, F.col("n_required")))
 
 
 def rollup(spans: DataFrame, children: DataFrame) -> DataFrame:
     """Sum and mean over the children of roll-up rules at every firing at which all children have a value.
 
-    `children` holds RULE_KEY and `n_children`. The sums are combined before the shuffle.
+    `children` holds the rule's key and `n_children`. The sums are combined before the shuffle.
     """
-    sums = spans.groupBy(*RULE_KEY, "tick").agg(
+    by = rule_key(spans)
+    sums = spans.groupBy(*by, "tick").agg(
         F.max("snapshot_ms").alias("snapshot_ms"), F.sum("value").alias("total"), F.count("value").alias("_known")
     )
-    whole = sums.where(F.col("snapshot_ms").isNotNull()).join(children, RULE_KEY)
+    whole = sums.where(F.col("snapshot_ms").isNotNull()).join(children, by)
     return whole.where(F.col("_known") == F.col("n_children")).drop("_known")

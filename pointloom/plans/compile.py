@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pointloom.functions.formula import compile_same_device, parse_call, parse_formula, strip_controls
 from pointloom.functions.once import with_once
+from pointloom.operators.snapshot import spread
 from pointloom.operators.topology import expand_children, join_config, resolve_model
 from pointloom.plans.registry import FORMULA_FUNCTIONS, ROLLUPS, CallContext, Compiled, register_function
 from pointloom.schemas import RULE_KEY
@@ -112,7 +113,8 @@ def compile_points(points: DataFrame, objects: DataFrame) -> DataFrame:
     live = points.where(F.col("data_source").isin(*COMPUTED_SOURCES)).select(
         "data_id", "company_id", "object_id", "data_code", "data_type", "data_source", "formula"
     )
-    rows = join_config(live, objects)
+    # parsing is CPU work on small rows: spread it evenly, whatever the files or the object a point belongs to
+    rows = spread(join_config(live, objects), "data_id")
     rows = with_once(rows, "_parsed", parse_formula(F.col("formula"), F.col("company_id")))
     rows = with_once(rows, "_call", F.when(F.col("_parsed.expr_type") == 1, parse_call(F.col("_parsed.expr"))))
     rows = with_once(

@@ -56,26 +56,30 @@ def operands(rules: DataFrame) -> DataFrame:
     )
 
 
-def rule_levels(rules: DataFrame, deps: DataFrame, max_levels: int = MAX_LEVELS) -> DataFrame:
-    """(RULE_KEY, level) of rules that depend on derived points: 1 + the highest level among those points.
+def rule_levels(rules: DataFrame, deps: DataFrame, max_levels: int = MAX_LEVELS) -> tuple[DataFrame, int]:
+    """(RULE_KEY, level) of rules that depend on derived points, and the highest level.
 
-    Rules on a cycle, or deeper than `max_levels`, come out with a level above `max_levels`.
+    Level n rules depend on rules up to level n-1. Rules on a cycle, or deeper than `max_levels`, stay over and come
+    out with level `max_levels` + 1.
     """
-    results = rules.select("company_id", F.col("device_code").alias("dep_device_code"), F.col("point_code").alias("dep_point_code"))
-    edges = materialize(
-        deps.join(results, ["company_id", "dep_device_code", "dep_point_code"], "left_semi")
-        .select(*RULE_KEY, "dep_device_code", "dep_point_code").distinct()
-    )
-    level = edges.select(*RULE_KEY).distinct().withColumn("level", F.lit(1))
-    for _ in range(max_levels):
-        below = level.select(
-            "company_id", F.col("device_code").alias("dep_device_code"), F.col("point_code").alias("dep_point_code"),
-            F.col("level").alias("_below"),
-        )
-        level = edges.join(below, ["company_id", "dep_device_code", "dep_point_code"], "left").groupBy(*RULE_KEY).agg(
-            (F.max(F.coalesce("_below", F.lit(0))) + 1).alias("level")
-        )
-    return level
+    point = ["company_id", "dep_device_code", "dep_point_code"]
+
+    def results(df: DataFrame) -> DataFrame:
+        return df.select(
+            "company_id", F.col("device_code").alias("dep_device_code"), F.col("point_code").alias("dep_point_code")
+        ).distinct()
+
+    left = materialize(deps.join(results(rules), point, "left_semi").select(*RULE_KEY, *point[1:]).distinct())
+    levels = left.select(*RULE_KEY, F.lit(0).alias("level")).limit(0)
+    for level in range(1, max_levels + 1):
+        if left.isEmpty():
+            return levels, level - 1
+        waiting = left.join(results(left), point, "left_semi").select(*RULE_KEY).distinct()
+        ready = left.select(*RULE_KEY).distinct().join(waiting, RULE_KEY, "left_anti")
+        levels = levels.unionByName(ready.withColumn("level", F.lit(level)))
+        left = materialize(left.join(waiting, RULE_KEY, "left_semi"))
+    rest = left.select(*RULE_KEY).distinct().withColumn("level", F.lit(max_levels + 1))
+    return levels.unionByName(rest), max_levels
 
 
 def prepare_rules(
@@ -116,23 +120,25 @@ def prepare_rules(
             children.select(*RULE_KEY, F.lit(0).alias("idx"), F.lit(None).cast("string").alias("var"), "dep_device_code", "dep_point_code")
         )
     deps = materialize(deps)
-    levels = rule_levels(heads, deps, max_levels)
-    heads = materialize(
-        heads.join(levels, RULE_KEY, "left").withColumn("level", F.coalesce("level", F.lit(0)))
-        .where(F.col("level") <= max_levels)
-        .withColumn(
-            "route",
-            F.when(F.col("kind").isin(*ROLLUPS), "rollup")
-            .when(F.col("many_devices") | (F.col("level") > 0), "spans")
-            .otherwise("runs"),
-        )
+    heads = materialize(heads.withColumn("rule_id", F.monotonically_increasing_id()))  # ids are fixed by writing
+    levels, depth = rule_levels(heads, deps, max_levels)
+    if depth > 0:
+        heads = heads.join(levels, RULE_KEY, "left").withColumn("level", F.coalesce("level", F.lit(0)))
+        heads = materialize(heads.where(F.col("level") <= max_levels))
+    else:
+        heads = heads.withColumn("level", F.lit(0))
+    heads = heads.withColumn(
+        "route",
+        F.when(F.col("kind").isin(*ROLLUPS), "rollup")
+        .when(F.col("many_devices") | (F.col("level") > 0), "spans")
+        .otherwise("runs"),
     )
-    sizes = heads.groupBy("route").agg(F.max("n_required").alias("n"), F.max("level").alias("l")).collect()
+    sizes = heads.groupBy("route").agg(F.max("n_required").alias("n")).collect()
     templates, more = compiled_templates(heads.where(F.col("n_required") <= PIVOT_LIMIT))
     long_formula = any(r["route"] != "rollup" and r["n"] > PIVOT_LIMIT for r in sizes)
     return RuleSet(
         heads, deps, active_constants(rules), templates, more or long_formula,
-        {r["route"]: min(r["n"], PIVOT_LIMIT) for r in sizes}, max([r["l"] for r in sizes], default=0),
+        {r["route"]: min(r["n"], PIVOT_LIMIT) for r in sizes}, depth,
     )
 
 
@@ -150,32 +156,32 @@ def _same_device(slots: DataFrame, firings: DataFrame, rs: RuleSet, slide_ms: in
         .agg(F.array(*[F.max(F.when(F.col("idx") == i, F.col("const"))) for i in range(arity)]).alias("consts"))
     )
     attributes = ["kind", "template", "parameters", "n_required"]
-    deps = rs.deps.join(heads.select(*RULE_KEY, *attributes), RULE_KEY).join(consts, RULE_KEY, "left")
+    deps = rs.deps.join(heads.select(*RULE_KEY, "rule_id", *attributes), RULE_KEY).join(consts, RULE_KEY, "left")
     deps = deps.withColumn("consts", F.coalesce("consts", F.array_repeat(F.lit(None).cast("double"), arity)))
     runs = bound_runs(slots, firings, deps.drop("var"), arity, attributes, width)
     runs = runs.where(all_bound(arity, F.col("n_required"))).withColumn("computed", _computed(rs, arity))
     return runs.select(
-        *RULE_KEY, "kind", "parameters", F.col("v_0").alias("value"), "computed", "slot",
+        "rule_id", *RULE_KEY, "kind", "parameters", F.col("v_0").alias("value"), "computed", "slot",
         F.posexplode(F.slice("firings", F.lit(1), F.col("n"))).alias("_i", "_offset"),
     ).select(
-        *RULE_KEY, "kind", "parameters", "value", "computed",
+        "rule_id", *RULE_KEY, "kind", "parameters", "value", "computed",
         ((F.col("slot") + 1 + F.col("_i")) * slide_ms).alias("tick_ms"),
         (F.col("slot") * slide_ms + F.col("_offset")).alias("snapshot_ms"),
     )
 
 
 def _spans_of(heads: DataFrame, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int) -> DataFrame:
-    deps = rs.deps.join(heads.select(*RULE_KEY), RULE_KEY, "left_semi").drop("var")
+    deps = rs.deps.join(heads.select(*RULE_KEY, "rule_id"), RULE_KEY).drop("var", "device_code", "point_code")
     return operand_spans(slots, firings, deps, derived, rs.constants, slide_ms, width)
 
 
 def _many_devices(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int) -> DataFrame:
     arity = max(rs.arity.get("spans", 1), rs.arity.get("runs", 1) if slots is None else 1)
     spans = _spans_of(heads, slots, firings, rs, derived, slide_ms, width)
-    attributes = heads.select(*RULE_KEY, "kind", "template", "parameters", "n_required")
+    attributes = heads.select("rule_id", *RULE_KEY, "kind", "template", "parameters", "n_required")
     bound = bind_spans(spans, attributes, arity)
     return bound.select(
-        *RULE_KEY, "kind", "parameters", F.col("v_0").alias("value"), _computed(rs, arity).alias("computed"),
+        "rule_id", *RULE_KEY, "kind", "parameters", F.col("v_0").alias("value"), _computed(rs, arity).alias("computed"),
         (F.col("tick") * slide_ms).alias("tick_ms"), "snapshot_ms",
     )
 
@@ -183,16 +189,16 @@ def _many_devices(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, wi
 def _long_formulas(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int) -> DataFrame:
     """Formulas with more operands than are bound as columns: values gathered per firing, at most one per operand."""
     spans = _spans_of(heads, slots, firings, rs, derived, slide_ms, width)
-    gathered = spans.groupBy(*RULE_KEY, "tick").agg(
+    gathered = spans.groupBy("rule_id", "tick").agg(
         F.max("snapshot_ms").alias("snapshot_ms"),
         F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("_v"),
     )
     rows = gathered.where(F.col("snapshot_ms").isNotNull()).join(
-        heads.select(*RULE_KEY, "kind", "template", "parameters", "n_required"), RULE_KEY
+        heads.select("rule_id", *RULE_KEY, "kind", "template", "parameters", "n_required"), "rule_id"
     ).where(F.size("_v") == F.col("n_required"))
     values = F.transform("_v", lambda x: x["value"])
     return rows.select(
-        *RULE_KEY, "kind", "parameters", F.get(values, F.lit(0)).alias("value"),
+        "rule_id", *RULE_KEY, "kind", "parameters", F.get(values, F.lit(0)).alias("value"),
         arithmetic(F.col("template"), values, [], True).alias("computed"),
         (F.col("tick") * slide_ms).alias("tick_ms"), "snapshot_ms",
     )
@@ -200,7 +206,7 @@ def _long_formulas(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, w
 
 def _rollups(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int) -> DataFrame:
     spans = _spans_of(heads, slots, firings, rs, derived, slide_ms, width)
-    sums = rollup(spans, heads.select(*RULE_KEY, "kind", F.col("n_required").alias("n_children")))
+    sums = rollup(spans, heads.select("rule_id", *RULE_KEY, "kind", F.col("n_required").alias("n_children")))
     value = F.when(F.col("kind") == "CHILD_AVG", F.col("total") / F.col("n_children")).otherwise(F.col("total"))
     return sums.select(
         (F.col("tick") * slide_ms).alias("tick_ms"), "snapshot_ms", "company_id",
@@ -235,8 +241,10 @@ def with_period_aggregates(fired: DataFrame, tz: str = "UTC", carried: DataFrame
     )
     if carried is not None:
         rows = rows.unionByName(carried.withColumn("tick_ms", F.lit(0).cast("bigint")), allowMissingColumns=True)
+    # rule ids are numbers of one rule set; what earlier batches left is known by the rule's key
+    by = RULE_KEY if carried is not None else ["rule_id"]
     w = (
-        Window.partitionBy(*RULE_KEY, "_period").orderBy("tick_ms")
+        Window.partitionBy(*by, "_period").orderBy("tick_ms")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     rows = rows.withColumns({f"_{a}": fn(f"_{a}").over(w) for a, fn in AGGREGATES.items()})

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from pointloom.functions.calendar import PERIODS
@@ -15,14 +14,14 @@ from pointloom.plans import engine
 from pointloom.plans.engine import RuleSet, calculate, prepare_rules, with_period_aggregates
 from pointloom.plans.lineage import materialize
 from pointloom.plans.registry import ARITHMETIC, CALCULATIONS
-from pointloom.schemas import MINUTE_MS, RULE_KEY, SERIES, TICK, WINDOW_SLOTS
+from pointloom.schemas import MINUTE_MS, RULE_KEY, SERIES, TICK, WINDOW_SLOTS, struct
 from pointloom.sinks.tables import VersionedTable, write_derived
 from pointloom.streaming.snapshots import stream_snapshots, stream_ticks
 from pointloom.streaming.state import stream_device_state
 
 Loader = Callable[[SparkSession], DataFrame]
-LAST_VALUES = T.StructType.fromDDL("company_id STRING, device_id STRING, property_name STRING, value DOUBLE, tick_ms BIGINT")
-CARRIED = T.StructType.fromDDL(
+LAST_VALUES = struct("company_id STRING, device_id STRING, property_name STRING, value DOUBLE, tick_ms BIGINT")
+CARRIED = struct(
     "company_id STRING, device_code STRING, point_code STRING, _period BIGINT, _first DOUBLE, _max DOUBLE, _min DOUBLE, _sum DOUBLE, _count DOUBLE"
 )
 _CORE = TICK.fieldNames()
