@@ -69,10 +69,13 @@ def rule_levels(rules: DataFrame, deps: DataFrame, max_levels: int = MAX_LEVELS)
             "company_id", F.col("device_code").alias("dep_device_code"), F.col("point_code").alias("dep_point_code")
         ).distinct()
 
-    left = materialize(deps.join(results(rules), point, "left_semi").select(*RULE_KEY, *point[1:]).distinct())
+    left = deps.join(results(rules), point, "left_semi").select(*RULE_KEY, *point[1:])
     levels = left.select(*RULE_KEY, F.lit(0).alias("level")).limit(0)
+    if left.isEmpty():
+        return levels, 0
+    left = materialize(left.distinct())
     for level in range(1, max_levels + 1):
-        if left.isEmpty():
+        if level > 1 and left.isEmpty():
             return levels, level - 1
         waiting = left.join(results(left), point, "left_semi").select(*RULE_KEY).distinct()
         ready = left.select(*RULE_KEY).distinct().join(waiting, RULE_KEY, "left_anti")
