@@ -305,6 +305,8 @@ _BITS = "CASE WHEN seq % 2 = 0 THEN -value ELSE value END"
 _FUNCTION_POINTS = "('clickDay', 'viewHour', 'viewAll', 'clickMonth', 'clickYear', 'purStat', 'errBit', 'chainDay')"
 _ASOF = "FROM probes p ASOF LEFT JOIN history h ON p.company_id = h.company_id AND p.device_id = h.device_id AND p.property_name = h.property_name AND p.ts_ms >= h.timestamp"
 
+_PASSED = "tick_ms <= (SELECT max(ts_ms) - 30000 FROM telemetry)"  # windows the watermark has passed
+
 ALL: dict[str, str] = {
     "topic_fields": with_(m=MESSAGES) + (
         "SELECT event_id AS msg_id, "
@@ -430,6 +432,11 @@ ALL: dict[str, str] = {
     "stats_rules": derived("purStat"),
     "chained_rules": derived("chain", "chainDay"),
     "derive_points": derived(*DERIVED),
+    "stream_snapshots": with_(telemetry=telemetry(), snap=SNAP) + f"SELECT * FROM snap WHERE {_PASSED}",
+    "stream_device_state": with_(**ticks()) + (
+        f"SELECT * FROM (SELECT tick_ms, snapshot_ms, {KEY}, {rnd(diff('day'))} AS day_diff, "
+        f"{rnd('avg(value) OVER ' + _DAYS)} AS day_avg FROM ticks) WHERE {_PASSED}"
+    ),
     "asof_history": with_(probes=PROBES, history=HISTORY) + f"SELECT p.probe_id, p.company_id, p.device_id, p.property_name, p.ts_ms, h.property_num_value {_ASOF}",
     "asof_history_full": with_(probes=PROBES, history=HISTORY) + (
         "SELECT p.probe_id, h.data_id, epoch_us(h.data_date) // 1000 AS data_date, h.data_type, h.project_id, h.gateway_code, h.protocol_code, h.product_id, h.property_value, "

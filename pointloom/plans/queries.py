@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,11 +14,13 @@ from pointloom.functions.formula import compile_same_device, parse_call, parse_f
 from pointloom.operators import asof, binding, constants, series, snapshot, topology
 from pointloom.plans import compile as compiler
 from pointloom.plans import engine, sample
-from pointloom.plans.lineage import materialize
+from pointloom.plans.lineage import checkpoint_folder, materialize
 from pointloom.schemas import OBJECT, POINT_CONF, RULE, RULE_KEY, SERIES
 from pointloom.sinks.encode import encode_envelope
 from pointloom.sinks.tables import upsert_rules
 from pointloom.sources import changes, telemetry
+from pointloom.streaming import snapshots as live
+from pointloom.streaming.state import stream_device_state as stream_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 ALL: dict[str, Query] = {}
@@ -359,6 +362,45 @@ def derive_points(spark, d):
     return _derived(spark, d)
 
 
+# ---- streaming ------------------------------------------------------------------------------------------------
+def _streamed(spark, d, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run a stream over the events files to its end and return what it wrote."""
+    schema = sample.table(spark, d, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*")  # a glob may be a file or a folder
+    readings = events.selectExpr(*sample.telemetry_columns(sample.SPARK_MS, True))
+    root = f"{checkpoint_folder(spark).rstrip('/')}/pointloom-{uuid.uuid4().hex}"
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        out = build(readings)
+        run = (
+            out.writeStream.format("parquet").outputMode("append").option("path", f"{root}/out")
+            .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        )
+        run.awaitTermination()
+    finally:
+        spark.conf.set(provider, before)
+    return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
+@query
+def stream_snapshots(spark, d):
+    """Windows the watermark has passed at the end of the data."""
+    out = _streamed(spark, d, live.stream_snapshots)
+    return out.select(F.unix_millis("window.end").alias("tick_ms"), *SERIES, "value", "ts_ms")
+
+
+@query
+def stream_device_state(spark, d):
+    """Day difference and running day mean from the per-series state."""
+    out = _streamed(spark, d, lambda r: stream_state(live.stream_ticks(live.stream_snapshots(r))))
+    return out.select(
+        "tick_ms", "snapshot_ms", *SERIES, rounded(F.col("value") - F.col("day_first")).alias("day_diff"),
+        rounded(F.col("day_sum") / F.col("day_count")).alias("day_avg"),
+    )
+
+
 # ---- history --------------------------------------------------------------------------------------------------
 @query
 def asof_history(spark, d):
