@@ -369,9 +369,14 @@ def _streamed(spark, d, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
     events = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*")  # a glob may be a file or a folder
     readings = events.selectExpr(*sample.telemetry_columns(sample.SPARK_MS, True))
     root = f"{checkpoint_folder(spark).rstrip('/')}/pointloom-{uuid.uuid4().hex}"
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # the number of state partitions is fixed by a query's first start: one per core of this cluster
+        "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
+    }
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         out = build(readings)
         run = (
@@ -380,7 +385,8 @@ def _streamed(spark, d, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
         )
         run.awaitTermination()
     finally:
-        spark.conf.set(provider, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return spark.read.schema(out.schema).parquet(f"{root}/out")
 
 
