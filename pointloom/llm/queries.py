@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pointloom.llm import mixing, packing, simhash
 from pointloom.llm.common import table
 from pointloom.llm.toxicity import op10_toxicity as _toxicity
 
@@ -12,6 +13,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-ALL = {f.__name__: f for f in (op10_toxicity,)}
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op3_packing(table(spark, sf_dir, "documents"))
 
-SQL: dict[str, str] = {}
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op7_mixing(table(spark, sf_dir, "documents"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.op8_simhash(table(spark, sf_dir, "documents"))
+
+
+ALL = {f.__name__: f for f in (op3_packing, op7_mixing, op8_simhash, op10_toxicity)}
+
+SQL: dict[str, str] = {"op7_mixing": mixing.OP7_SQL}

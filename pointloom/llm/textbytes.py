@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 U64 = np.uint64
 #: Odd base of the polynomial over bytes modulo 2^64, and its inverse.
@@ -24,8 +25,8 @@ SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 def encode(texts) -> list[bytes]:
     """UTF-8 of each text of an Arrow column or list; null counts as empty."""
-    if hasattr(texts, "to_pylist"):
-        texts = texts.to_pylist()
+    if isinstance(texts, pa.Array):
+        texts = texts.cast(pa.binary()).to_pylist()
     return [b"" if t is None else t if isinstance(t, bytes) else t.encode("utf-8", "replace") for t in texts]
 
 
