@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pointloom.llm import mixing, packing, simhash
+from pointloom.llm import mixing, packing, simhash, suffix_dedup
 from pointloom.llm.common import table
 from pointloom.llm.toxicity import op10_toxicity as _toxicity
 
@@ -13,6 +13,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.op1_suffix_array(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op3_packing(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,6 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op8_simhash(table(spark, sf_dir, "documents"))
 
 
-ALL = {f.__name__: f for f in (op3_packing, op7_mixing, op8_simhash, op10_toxicity)}
+ALL = {f.__name__: f for f in (op1_suffix_array, op3_packing, op7_mixing, op8_simhash, op10_toxicity)}
 
 SQL: dict[str, str] = {"op7_mixing": mixing.OP7_SQL}
