@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pointloom.llm import mixing, packing, simhash, suffix_dedup
+from pointloom.llm import mixing, packing, simhash, suffix_dedup, syncmers, token_counts
 from pointloom.llm.common import table
 from pointloom.llm.toxicity import op10_toxicity as _toxicity
 
@@ -21,6 +21,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op3_packing(table(spark, sf_dir, "documents"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.op5_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op7_mixing(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op8_simhash(table(spark, sf_dir, "documents"))
 
 
-ALL = {f.__name__: f for f in (op1_suffix_array, op3_packing, op7_mixing, op8_simhash, op10_toxicity)}
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.op9_token_counts(table(spark, sf_dir, "documents"))
+
+
+ALL = {f.__name__: f for f in (op1_suffix_array, op3_packing, op5_fingerprints, op7_mixing, op8_simhash, op9_token_counts, op10_toxicity)}
 
 SQL: dict[str, str] = {"op7_mixing": mixing.OP7_SQL}
