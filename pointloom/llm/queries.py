@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pointloom.llm import mixing, packing, simhash, suffix_dedup, syncmers, token_counts
+from pointloom.llm import embeddings, mixing, packing, simhash, suffix_dedup, syncmers, token_counts
 from pointloom.llm.common import table
 from pointloom.llm.toxicity import op10_toxicity as _toxicity
 
@@ -17,6 +17,10 @@ def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.op1_suffix_array(table(spark, sf_dir, "documents"))
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.op2_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op3_packing(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.op9_token_counts(table(spark, sf_dir, "documents"))
 
 
-ALL = {f.__name__: f for f in (op1_suffix_array, op3_packing, op5_fingerprints, op7_mixing, op8_simhash, op9_token_counts, op10_toxicity)}
+ALL = {f.__name__: f for f in (op1_suffix_array, op2_embeddings, op3_packing, op5_fingerprints, op7_mixing, op8_simhash, op9_token_counts, op10_toxicity)}
 
 SQL: dict[str, str] = {"op7_mixing": mixing.OP7_SQL}

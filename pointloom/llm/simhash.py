@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pointloom.llm.common import STEP_BYTES, components, map_texts, materialize
+from pointloom.llm.links import forest
 from pointloom.llm.textbytes import LOWER, SPACE, encode, parts, words
 
 SEED = 42
@@ -104,29 +105,18 @@ def blocks_for(n: int, distance: int) -> int:
     return blocks
 
 
-def forest(fp: np.ndarray, side: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (index, index) of a spanning forest of the links in one run; with two sides only links between them."""
-    n = len(fp)
-    label = np.arange(n)
+def run_forest(fp: np.ndarray, side: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest of the links in one run; with two sides, only links between them."""
     across = bool(side.any()) and not side.all()
-    rows, cols = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if across else (label, label)
+    rows, cols = (np.flatnonzero(~side), np.flatnonzero(side)) if across else (np.arange(len(fp)),) * 2
     step = max(1, (1 << 20) // max(1, len(cols)))
-    changed = True
-    while changed:
-        before = label.copy()
+
+    def links() -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for i in range(0, len(rows), step):
             a, b = np.nonzero(np.bitwise_count(fp[rows[i : i + step], None] ^ fp[None, cols]) <= distance)
-            a, b = rows[i : i + step][a], cols[b]
-            low = np.minimum(label[a], label[b])
-            np.minimum.at(label, label[a], low)
-            np.minimum.at(label, label[b], low)
-            np.minimum.at(label, a, low)
-            np.minimum.at(label, b, low)
-            while not np.array_equal(label, label[label]):
-                label = label[label]
-        changed = not np.array_equal(before, label)
-    moved = np.flatnonzero(label != np.arange(n))
-    return moved, label[moved]
+            yield rows[i : i + step][a], cols[b]
+
+    return forest(len(fp), links)
 
 
 def run_edges(key: np.ndarray, fp: np.ndarray, side: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +134,7 @@ def run_edges(key: np.ndarray, fp: np.ndarray, side: np.ndarray, distance: int)
         at = at[np.bitwise_count(fp[at] ^ fp[at + gap]) <= distance]
         out.append((fp[at], fp[at + gap]))
     for b, n in zip(begin[size > 32].tolist(), size[size > 32].tolist(), strict=True):
-        i, j = forest(fp[b : b + n], side[b : b + n], distance)
+        i, j = run_forest(fp[b : b + n], side[b : b + n], distance)
         out.append((fp[b + i], fp[b + j]))
     return np.concatenate([x for x, _ in out] or [fp[:0]]), np.concatenate([y for _, y in out] or [fp[:0]])
 
