@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pointloom.llm import embeddings, mixing, packing, simhash, suffix_dedup, syncmers, token_counts
+from pointloom.llm import embeddings, licences, mixing, packing, simhash, suffix_dedup, syncmers, token_counts
 from pointloom.llm.common import table
 from pointloom.llm.toxicity import op10_toxicity as _toxicity
 
@@ -25,6 +25,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op3_packing(table(spark, sf_dir, "documents"))
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.op4_licences(table(spark, sf_dir, "documents"))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.op5_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.op9_token_counts(table(spark, sf_dir, "documents"))
 
 
-ALL = {f.__name__: f for f in (op1_suffix_array, op2_embeddings, op3_packing, op5_fingerprints, op7_mixing, op8_simhash, op9_token_counts, op10_toxicity)}
+ALL = {f.__name__: f for f in (op1_suffix_array, op2_embeddings, op3_packing, op4_licences, op5_fingerprints, op7_mixing, op8_simhash, op9_token_counts, op10_toxicity)}
 
 SQL: dict[str, str] = {"op7_mixing": mixing.OP7_SQL}
