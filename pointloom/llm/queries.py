@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pointloom.llm import embeddings, licences, mixing, packing, simhash, suffix_dedup, syncmers, token_counts
+from pointloom.llm import chats, embeddings, licences, mixing, packing, simhash, suffix_dedup, syncmers, token_counts
 from pointloom.llm.common import table
 from pointloom.llm.toxicity import op10_toxicity as _toxicity
 
@@ -33,6 +33,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.op5_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.op6_chats(table(spark, sf_dir, "conversations"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op7_mixing(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.op9_token_counts(table(spark, sf_dir, "documents"))
 
 
-ALL = {f.__name__: f for f in (op1_suffix_array, op2_embeddings, op3_packing, op4_licences, op5_fingerprints, op7_mixing, op8_simhash, op9_token_counts, op10_toxicity)}
+ALL = {f.__name__: f for f in (op1_suffix_array, op2_embeddings, op3_packing, op4_licences, op5_fingerprints, op6_chats, op7_mixing, op8_simhash, op9_token_counts, op10_toxicity)}
 
 SQL: dict[str, str] = {"op7_mixing": mixing.OP7_SQL}
