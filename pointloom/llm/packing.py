@@ -29,34 +29,21 @@ from pointloom.llm.common import materialize
 CAPACITY = 2048
 END_ID = 0
 #: Entries of the memory of encoded words that a worker keeps; it is emptied when full.
-MEMORY = 200_000
+MEMORY = 400_000
 
 # A space between white spaces, or after one at the end: there a cut before the space would change pieces.
 _UNSURE = re.compile(r"\s (?:\s|\Z)")
 _SPECIAL = "<|endoftext|>"
-_LATIN = re.compile("[\x00-ɏ]*")
-
-
-class _Memory(dict):
-    def __init__(self, encode, lead: str):
-        super().__init__()
-        self.encode, self.lead = encode, lead
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= MEMORY:
-            self.clear()
-        made = self.encode(self.lead + word)
-        if len(word) <= 64:
-            self[word] = made
-        return made
+# Words of characters that both tokenizers class alike, with no white space but line breaks inside.
+_PLAIN = re.compile("[!-~¡-ɏ]+(?:\n+[!-~¡-ɏ]+)*")
 
 
 class Encoder:
     """Token ids of texts as little-endian 32-bit numbers, equal to those of the tokenizer in `vocabulary`.
 
-    A text is cut before single spaces, where the tokenizer always begins a new piece, and words are remembered. Words of
-    Latin letters go to the same vocabulary's byte-pair ranks, which give the same ids faster; any other word, and any
-    text in which a cut is unsure or that holds a special token, goes to the tokenizer itself.
+    A text is cut before single spaces, where the tokenizer always begins a new piece, and words are remembered. New words
+    of Latin letters go, many at once, to the same vocabulary's byte-pair ranks, which give the same ids faster; any other
+    word, and any text in which a cut is unsure or that holds a special token, goes to the tokenizer itself.
     """
 
     def __init__(self, vocabulary: str, ranks: str | None = None):
@@ -64,30 +51,49 @@ class Encoder:
 
         self.slow = Tokenizer.from_file(vocabulary)
         self.fast = None
+        self.known: dict[str, bytes] = {}  # by word, each with the space before it
         if ranks:
             import tiktoken
 
             with open(ranks, "rb") as f:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("bytes", pat_str=_pattern(), mergeable_ranks=table, special_tokens={})
-        self.first, self.rest = _Memory(self.word, ""), _Memory(self.word, " ")
+            self.leads = np.zeros(max(table.values()) + 1, dtype=bool)  # ids that begin with a space
+            self.leads[[i for t, i in table.items() if t[:1] == b" "]] = True
 
     def whole(self, text: str) -> bytes:
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def word(self, word: str) -> bytes:
-        if self.fast is None or not _LATIN.fullmatch(word):
-            return self.whole(word)
-        return np.array(self.fast.encode_ordinary(word), dtype="<u4").tobytes()
+    def learn(self, words: list[str]) -> None:
+        """Remembers words that are not known yet."""
+        if len(self.known) > MEMORY:
+            self.known.clear()
+        plain = [w for w in words if _PLAIN.fullmatch(w)] if self.fast else []
+        if plain:
+            ids = np.array(self.fast.encode_ordinary(" " + " ".join(plain)), dtype="<u4")
+            begin = np.flatnonzero(self.leads[ids]).tolist()
+            raw = ids.tobytes()
+            for w, a, b in zip(plain, begin, [*begin[1:], len(ids)], strict=True):
+                self.known[w] = raw[4 * a : 4 * b]
+        for w in words:
+            if w not in self.known:
+                self.known[w] = self.whole(" " + w)
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
         if _SPECIAL in text or _UNSURE.search(text):
             return self.whole(text)
-        words = text.split(" ")
-        rest = self.rest
-        return self.first[words[0]] + b"".join([rest[w] for w in words[1:]])
+        first, *words = text.split(" ")
+        found = list(map(self.known.get, words))
+        if None in found:
+            new = [i for i, ids in enumerate(found) if ids is None]
+            self.learn(list({words[i] for i in new}))
+            for i in new:
+                found[i] = self.known[words[i]]
+        if self.fast and _PLAIN.fullmatch(first):
+            return np.array(self.fast.encode_ordinary(first), dtype="<u4").tobytes() + b"".join(found)
+        return self.whole(first) + b"".join(found)
 
 
 def _pattern() -> str:
