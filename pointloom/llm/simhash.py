@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pointloom.llm.common import STEP_BYTES, components, map_texts, materialize
 from pointloom.llm.links import forest
-from pointloom.llm.textbytes import LOWER, SPACE, encode, parts, words
+from pointloom.llm.textbytes import LOWER, SPACE, encode, mix, parts, words
 
 SEED = 42
 #: Most fingerprints that are compared with one another in memory at once.
@@ -105,69 +105,74 @@ def blocks_for(n: int, distance: int) -> int:
     return blocks
 
 
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints of any number of 64-bit words (the last axis)."""
+    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int32)
+
+
 def run_forest(fp: np.ndarray, side: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges of a spanning forest of the links in one run; with two sides, only links between them."""
     across = bool(side.any()) and not side.all()
     rows, cols = (np.flatnonzero(~side), np.flatnonzero(side)) if across else (np.arange(len(fp)),) * 2
-    step = max(1, (1 << 20) // max(1, len(cols)))
+    step = max(1, (1 << 20) // max(1, len(cols) * fp.shape[1]))
 
     def links() -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for i in range(0, len(rows), step):
-            a, b = np.nonzero(np.bitwise_count(fp[rows[i : i + step], None] ^ fp[None, cols]) <= distance)
+            a, b = np.nonzero(apart(fp[rows[i : i + step], None], fp[None, cols]) <= distance)
             yield rows[i : i + step][a], cols[b]
 
     return forest(len(fp), links)
 
 
 def run_edges(key: np.ndarray, fp: np.ndarray, side: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of all runs of equal `key` (sorted). Short runs are compared all at once, by their rows' distance."""
+    """Edges (index, index) of all runs of equal `key` (sorted). Short runs are compared all at once, by their rows' distance."""
     begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
     size = np.diff(np.r_[begin, len(key)])
-    out: list[tuple[np.ndarray, np.ndarray]] = []
+    out: list[tuple[np.ndarray, np.ndarray]] = [(begin[:0], begin[:0])]
     short = np.repeat(size <= 32, size)
-    for gap in range(1, 32):
-        if gap >= len(key):
-            break
+    for gap in range(1, min(32, len(key))):
         at = np.flatnonzero((key[gap:] == key[:-gap]) & short[gap:])
         if not len(at):
             break
-        at = at[np.bitwise_count(fp[at] ^ fp[at + gap]) <= distance]
-        out.append((fp[at], fp[at + gap]))
+        at = at[apart(fp[at], fp[at + gap]) <= distance]
+        out.append((at, at + gap))
     for b, n in zip(begin[size > 32].tolist(), size[size > 32].tolist(), strict=True):
         i, j = run_forest(fp[b : b + n], side[b : b + n], distance)
-        out.append((fp[b + i], fp[b + j]))
-    return np.concatenate([x for x, _ in out] or [fp[:0]]), np.concatenate([y for _, y in out] or [fp[:0]])
+        out.append((b + i, b + j))
+    return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
 
 
-def close_links(nodes: DataFrame, distance: int, blocks: int) -> DataFrame:
-    """(a, b): fingerprints of `nodes` (fp) that span the same components as all links of at most `distance` bits."""
-    keyed = nodes.select(
-        "fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in block_masks(blocks, distance)])).alias("c", "v")
-    )
+def links_by_block(keyed: DataFrame, bits: list[str], distance: int) -> DataFrame:
+    """(a, b): edges that span the same components as all links of nodes that share a block.
+
+    `keyed` has a row (node, table c, block v, fingerprint words `bits`) for each block of each node.
+    """
     large = materialize(
         keyed.groupBy("c", "v").count().where(F.col("count") > BUCKET)
         .select("c", "v", F.ceil(F.col("count") / BUCKET).cast("int").alias("n")), "large"
     )
     dealt = keyed.join(large, ["c", "v"], "left").withColumn("n", F.coalesce("n", F.lit(1)))
-    own = F.pmod(F.xxhash64("fp"), F.col("n")).cast("int")
-    dealt = dealt.withColumn("own", own).select(
-        "fp", "c", "v", "own", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))
     )
+    names = ["key", "side", "node", *bits]
     dealt = dealt.select(
-        "fp", F.xxhash64("c", "v", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
-        (F.col("own") > F.col("other")).alias("side"),
+        F.xxhash64("c", "v", F.least("own", "other"), F.greatest("own", "other")).alias("key"),
+        (F.col("own") > F.col("other")).alias("side"), "node", *bits,
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "fp", "side"]
-        held = {c: [] for c in names}
+        held: dict[str, list[np.ndarray]] = {c: [] for c in names}
 
-        def found(cols: dict) -> pa.RecordBatch:
-            a, b = run_edges(cols["key"], cols["fp"].view(np.uint64), cols["side"], distance)
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+        def found(cols: dict[str, np.ndarray]) -> pa.RecordBatch:
+            fp = np.stack([cols[c] for c in bits], axis=1).view(np.uint64)
+            a, b = run_edges(cols["key"], fp, cols["side"], distance)
+            return pa.RecordBatch.from_arrays([pa.array(cols["node"][a]), pa.array(cols["node"][b])], names=["a", "b"])
 
         for batch in batches:
-            new = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+            new = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(names)}
+            if not len(new["key"]):
+                continue
             for c in names:
                 held[c].append(new[c])
             if new["key"][0] == new["key"][-1] == held["key"][0][0]:
@@ -179,7 +184,14 @@ def close_links(nodes: DataFrame, distance: int, blocks: int) -> DataFrame:
         if held["key"]:
             yield found({c: np.concatenate(x) for c, x in held.items()})
 
-    return dealt.repartition("key").sortWithinPartitions("key").select("key", "fp", "side").mapInArrow(compare, "a long, b long")
+    return dealt.repartition("key").sortWithinPartitions("key").select(*names).mapInArrow(compare, "a long, b long")
+
+
+def close_links(nodes: DataFrame, distance: int, blocks: int) -> DataFrame:
+    """(a, b): fingerprints of `nodes` (fp) that span the same components as all links of at most `distance` bits."""
+    masked = F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in block_masks(blocks, distance)])
+    keyed = nodes.select(F.col("fp").alias("node"), F.posexplode(masked).alias("c", "v")).withColumn("fp", F.col("node"))
+    return links_by_block(keyed, ["fp"], distance)
 
 
 def groups(docs: DataFrame, width: int, distance: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -203,3 +215,85 @@ def op8_simhash(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame
     return groups(docs, width, distance).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+#: The stage's fingerprint: words of 64 bits, and the bits that may differ. Similar texts (0.8 of their shingles) differ
+#: in 39 of 256 bits on average, texts of similarity 0.7 in 49, others in about 128.
+WIDE_WORDS, WIDE_DISTANCE = 4, 47
+#: Share of pairs of similarity 0.8 that may share no block.
+MISSED = 0.05
+
+
+def wide_fingerprints(texts: list[bytes], width: int) -> np.ndarray:
+    """Fingerprints of WIDE_WORDS words of 64 bits each, from the shingles' hashes mixed again for each word."""
+    out = np.zeros((len(texts), WIDE_WORDS), dtype=np.uint64)
+    done = 0
+    for s in parts([len(t) for t in texts], STEP_BYTES // 2):
+        held = texts[s]
+        hashes, owner = shingle_hashes(held, width)
+        wide = np.stack([mix(hashes * np.uint64(2 * k + 1)) for k in range(WIDE_WORDS)], axis=1)
+        cuts = np.searchsorted(owner, np.arange(len(held) + 1))
+        for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+            ones = np.zeros(64 * WIDE_WORDS, dtype=np.int64)
+            for at in range(a, b, 255):  # sums of up to 255 bits fit a byte
+                bits = np.unpackbits(wide[at : min(at + 255, b)].view(np.uint8), axis=1, bitorder="little")
+                ones += np.add.reduce(bits, axis=0, dtype=np.uint8)
+            out[done + i] = np.packbits(ones * 2 > b - a, bitorder="little").view(np.uint64)
+        done += len(held)
+    return out
+
+
+def block_places(n: int) -> np.ndarray:
+    """(table, bit): which bits of a wide fingerprint make each block.
+
+    Blocks are cut from shuffles of all bits, each shuffle used up before the next. They are wide enough for about eight
+    of n unrelated fingerprints a block, and as many that pairs of similarity 0.8 share one but for MISSED of them. Within one
+    shuffle, pairs with fewer differing bits than it has blocks always share one.
+    """
+    bits = max(16, int(n).bit_length() - 3)
+    differ = np.arccos(0.8 * 2 / 1.8) / np.pi
+    tables = int(np.ceil(np.log(MISSED) / np.log(1 - (1 - differ) ** bits)))
+    rng = np.random.default_rng(7)
+    each = 64 * WIDE_WORDS // bits
+    places = np.concatenate([rng.permutation(64 * WIDE_WORDS)[: each * bits].reshape(each, bits) for _ in range(-(-tables // each))])
+    return places[:tables]
+
+
+def distinct_documents(docs: DataFrame, width: int = 5, distance: int = WIDE_DISTANCE) -> DataFrame:
+    """One row of each group of near copies, with the columns of `docs`: that of the least doc_id (null last).
+
+    Near: at least about 0.8 of the word shingles in common, by wide fingerprints. Equal texts, null and empty ones too,
+    are one group.
+    """
+    words64 = [f"_fp{k}" for k in range(WIDE_WORDS)]
+
+    def run(texts) -> list[pa.Array]:
+        fp = wide_fingerprints(encode(texts), width).view(np.int64)
+        return [pa.array(np.ascontiguousarray(fp[:, k])) for k in range(WIDE_WORDS)]
+
+    marked = map_texts(docs, "text", run, ", ".join(f"{c} long" for c in words64))
+    rows = materialize(marked.withColumns({"_node": F.xxhash64(*words64), "_row": F.monotonically_increasing_id()}), "marked")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("best")
+    nodes = materialize(
+        rows.groupBy(F.col("_node").alias("node")).agg(best, *[F.min(c).alias(c) for c in words64]), "nodes"
+    )
+    places = block_places(nodes.count())
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        value = np.uint64(1) << np.arange(places.shape[1], dtype=np.uint64)
+        for b in batches:
+            fp = np.stack([b.column(i + 1).to_numpy() for i in range(WIDE_WORDS)], axis=1)
+            bits = np.unpackbits(fp.view(np.uint8), axis=1, bitorder="little")
+            for t, place in enumerate(places):
+                v = (bits[:, place] * value).sum(axis=1, dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns, pa.array(np.full(len(v), t, np.int32)), pa.array(v)], names=["node", *words64, "c", "v"]
+                )
+
+    fields = ", ".join(["node long", *[f"{c} long" for c in words64], "c int, v long"])
+    keyed = nodes.select("node", *words64).mapInArrow(blocks, fields)
+    roots = components(links_by_block(keyed, words64, distance))
+    kept = nodes.select("node", "best").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(
+        F.min("best").alias("best")
+    ).select(F.col("best._row").alias("_row"))
+    return rows.join(materialize(kept, "kept"), "_row", "left_semi").select(*docs.columns)
