@@ -1,26 +1,33 @@
 """Arithmetic formulas over bound variables.
 
-A formula is reduced to a template by renaming its variables to positions. Rules that share a template share
-one compiled Column, so evaluation stays inside generated code. Should a rule set hold more templates than one
-plan should carry, the remainder goes through a vectorised Pandas UDF with the same meaning.
+A formula is reduced to a template by renaming its variables to positions, and translated once, where rules are prepared,
+into a postfix program: an array of steps that travels with the rule. Programs are evaluated by built-in functions with a
+stack, so any number of formulas, of any length and depth, takes one expression of the plan. A text outside the grammar
+gives no program but a reason; it never disturbs other rules.
 """
 
 from __future__ import annotations
 
-import ast
+import math
+import re
 import sys
 
-import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pointloom.functions.formula import IDENTIFIER, is_point_name
 
 TEMPLATE_TOKEN = rf"({IDENTIFIER}|[0-9]+(?:\.[0-9]*)?(?:[eE][+-]?[0-9]+)?|[^a-zA-Z_0-9]+)"
-MAX_COMPILED_TEMPLATES = 200
+PROGRAM = "array<struct<op:int,x:double>>"
+
+# Steps of a program.
+NUMBER, VARIABLE, NEGATE, ADD, SUBTRACT, MULTIPLY, DIVIDE, REMAINDER = range(8)
+_BINARY = {"+": (1, ADD), "-": (1, SUBTRACT), "*": (2, MULTIPLY), "/": (2, DIVIDE), "%": (2, REMAINDER)}
+_SIGN = 3
+_PIECE = re.compile(r"\s*(?:((?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)(?![0-9a-zA-Z_.])|v_([0-9]+)(?![0-9a-zA-Z_])|([-+*/%()]))\s*")
 
 # Python workers get the functions below with their code, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,117 +49,143 @@ def template_text(expr: Column, variables: Column) -> Column:
     return F.when(~unbound, F.trim(F.array_join(tokens, "")))
 
 
-class UnsupportedFormula(ValueError):
-    """The formula is outside the grammar: numbers, names, + - * / %, sign, parentheses."""
+class Rejected(ValueError):
+    """The formula can't run; the message says why."""
 
 
-def parse_template(template: str) -> ast.expr:
-    try:
-        tree = ast.parse(template, mode="eval").body
-    except (SyntaxError, ValueError, RecursionError, MemoryError) as e:
-        raise UnsupportedFormula(template) from e
-    for node in ast.walk(tree):
-        known = isinstance(
-            node,
-            (ast.BinOp, ast.UnaryOp, ast.Name, ast.Load, ast.Add, ast.Sub, ast.Mult, ast.Div, ast.Mod, ast.USub, ast.UAdd),
-        ) or (isinstance(node, ast.Constant) and type(node.value) in (int, float))
-        if not known or (isinstance(node, ast.Name) and not node.id.startswith("v_")):
-            raise UnsupportedFormula(template)
-    return tree
-
-
-def _whole(op: ast.operator, a: int, b: int) -> int:
-    """Arithmetic on two whole-number literals stays whole, so 1/2 is 0."""
-    if isinstance(op, (ast.Div, ast.Mod)):
-        if b == 0:
-            raise ZeroDivisionError
-        q = abs(a) // abs(b) * (1 if (a < 0) == (b < 0) else -1)
-        return q if isinstance(op, ast.Div) else a - q * b
-    return {ast.Add: a + b, ast.Sub: a - b, ast.Mult: a * b}[type(op)]
-
-
-def _walk(node, leaf, apply):
-    if isinstance(node, ast.Name):
-        return leaf(int(node.id[2:]))
-    if isinstance(node, ast.Constant):
-        return node.value
-    if isinstance(node, ast.UnaryOp):
-        x = _walk(node.operand, leaf, apply)
-        return -x if isinstance(node.op, ast.USub) else x
-    a, b = _walk(node.left, leaf, apply), _walk(node.right, leaf, apply)
-    if isinstance(a, int) and isinstance(b, int):
-        return _whole(node.op, a, b)
-    return apply(node.op, a, b)
-
-
-def template_column(template: str, values: Column) -> Column:
-    """Compiled template over an array column of bound values. Division by zero gives null."""
-
-    def lift(x):
-        return x if isinstance(x, Column) else F.lit(float(x))
-
-    def apply(op, a, b):
-        a, b = lift(a), lift(b)
-        if isinstance(op, ast.Div):
-            return F.try_divide(a, b)
-        if isinstance(op, ast.Mod):
-            return F.when(b != 0, a % b)
-        return {ast.Add: a.__add__, ast.Sub: a.__sub__, ast.Mult: a.__mul__}[type(op)](b)
+def _number(text: str):
+    if text.isdigit():
+        if len(text) > 1 and text[0] == "0" and text.strip("0"):
+            raise Rejected("outside grammar")  # a whole number with leading zeros
+        if len(text) > 400:
+            raise Rejected("number out of range")
+        return int(text)
+    value = float(text)
+    if not math.isfinite(value):
+        raise Rejected("number out of range")
+    return [(NUMBER, value)]
 
+
+def _steps(operand) -> list:
+    """A whole number stays one until it meets something else."""
+    if isinstance(operand, list):
+        return operand
     try:
-        return lift(_walk(parse_template(template), lambda i: F.get(values, F.lit(i)), apply))
-    except (UnsupportedFormula, ZeroDivisionError):
-        return F.lit(None).cast("double")
+        return [(NUMBER, float(operand))]
+    except OverflowError as e:
+        raise Rejected("number out of range") from e
 
 
-def is_supported(template: str | None) -> bool:
+def _whole(op: int, a: int, b: int) -> int:
+    """Arithmetic on two whole-number literals stays whole, so 1/2 is 0."""
+    if op in (DIVIDE, REMAINDER):
+        if b == 0:
+            raise Rejected("divides by zero")
+        q = abs(a) // abs(b) * (1 if (a < 0) == (b < 0) else -1)
+        return q if op == DIVIDE else a - q * b
+    value = a + b if op == ADD else a - b if op == SUBTRACT else a * b
+    if value.bit_length() > 1100:
+        raise Rejected("number out of range")
+    return value
+
+
+def translate(template: str) -> list[tuple[int, float]]:
+    """Postfix program of numbers, v_<i>, + - * / %, signs and parentheses; Rejected for any other text."""
+    done: list = []  # whole numbers and programs
+    waiting: list[tuple[int, int]] = []  # (rank, step) of operators; rank 0: an open parenthesis
+
+    def settle(rank: int) -> None:
+        while waiting and waiting[-1][0] >= rank > 0:
+            level, op = waiting.pop()
+            b = done.pop()
+            if level == _SIGN:
+                if op == NEGATE:
+                    b = -b if isinstance(b, int) else [*b, (NEGATE, 0.0)] if len(b) < 8 else (b.append((NEGATE, 0.0)) or b)
+                done.append(b)
+                continue
+            a = done.pop()
+            if isinstance(a, int) and isinstance(b, int):
+                done.append(_whole(op, a, b))
+                continue
+            a = _steps(a)
+            a.extend(_steps(b))
+            a.append((op, 0.0))
+            done.append(a)
+
+    at, operand = 0, False  # whether an operand has just ended
+    while at < len(template):
+        m = _PIECE.match(template, at)
+        if not m:
+            raise Rejected("outside grammar")
+        at = m.end()
+        number, variable, sign = m.groups()
+        if sign == ")":
+            if not operand:
+                raise Rejected("outside grammar")
+            settle(1)
+            if not waiting:
+                raise Rejected("outside grammar")
+            waiting.pop()
+        elif sign and operand and sign != "(":
+            rank, op = _BINARY[sign]
+            settle(rank)
+            waiting.append((rank, op))
+            operand = False
+        elif operand:
+            raise Rejected("outside grammar")
+        elif sign == "(":
+            waiting.append((0, 0))
+        elif sign in ("-", "+"):
+            waiting.append((_SIGN, NEGATE if sign == "-" else ADD))
+        elif sign:
+            raise Rejected("outside grammar")
+        else:
+            done.append([(VARIABLE, float(variable))] if variable else _number(number))
+            operand = True
+    if not operand:
+        raise Rejected("outside grammar")
+    settle(1)
+    if waiting or len(done) != 1:
+        raise Rejected("outside grammar")
+    return _steps(done[0])
+
+
+def _translated(template: str | None) -> dict:
+    if template is None:
+        return {"program": None, "reason": "unbound name"}
     try:
-        return template is not None and parse_template(template) is not None
-    except UnsupportedFormula:
-        return False
-
-
-@F.pandas_udf(T.DoubleType())
-def evaluate_template(template: pd.Series, values: pd.Series) -> pd.Series:
-    """Templates beyond the compiled ones: each distinct template of the batch is evaluated on vectors."""
-    out: dict = {}
-    for text, at in template.groupby(template).groups.items():
-        if not is_supported(text):
-            continue
-        rows = np.array([np.asarray(v, dtype="float64") for v in values.loc[at]])
-        failed = np.zeros(len(at), dtype=bool)
-
-        def apply(op, a, b, failed=failed):
-            if isinstance(op, (ast.Div, ast.Mod)):
-                failed |= np.equal(b, 0)
-                return np.divide(a, b) if isinstance(op, ast.Div) else np.fmod(a, b)
-            return {ast.Add: np.add, ast.Sub: np.subtract, ast.Mult: np.multiply}[type(op)](a, b)
-
-        try:
-            with np.errstate(all="ignore"):
-                result = _walk(parse_template(text), lambda i, rows=rows: rows[:, i], apply)
-        except (ZeroDivisionError, IndexError):
-            continue
-        result = np.broadcast_to(np.asarray(result, dtype="float64"), (len(at),))
-        out.update((i, v) for i, v, bad in zip(at, result, failed) if not bad)
-    return pd.Series([out.get(i) for i in template.index], index=template.index, dtype="object")
-
-
-def compiled_templates(rules: DataFrame, template_col: str = "template") -> tuple[list[str], bool]:
-    """Distinct templates of a rule table, at most MAX_COMPILED_TEMPLATES, and whether there are more."""
-    rows = (
-        rules.select(template_col).where(F.col(template_col).isNotNull()).distinct()
-        .limit(MAX_COMPILED_TEMPLATES + 1).collect()
-    )
-    texts = sorted(r[0] for r in rows)
-    return texts[:MAX_COMPILED_TEMPLATES], len(texts) > MAX_COMPILED_TEMPLATES
-
-
-def arithmetic(template: Column, values: Column, templates: list[str], more: bool = False) -> Column:
-    """Value of `template` over the array `values`; null where the formula fails."""
-    picked = F.lit(None).cast("double") if not more else evaluate_template(template, values)
-    branch = None
-    for text in templates:
-        col = template_column(text, values)
-        branch = F.when(template == text, col) if branch is None else branch.when(template == text, col)
-    return picked if branch is None else branch.otherwise(picked)
+        return {"program": [{"op": op, "x": x} for op, x in translate(template)], "reason": None}
+    except Rejected as e:
+        return {"program": None, "reason": str(e)}
+
+
+@F.pandas_udf(
+    T.StructType([
+        T.StructField("program", T.ArrayType(T.StructType([T.StructField("op", T.IntegerType()), T.StructField("x", T.DoubleType())]))),
+        T.StructField("reason", T.StringType()),
+    ])
+)
+def translated(template: pd.Series) -> pd.DataFrame:
+    """Program of each template, or why there is none; each distinct template of a batch is translated once."""
+    made = {t: _translated(t) for t in template.dropna().unique()}
+    none = _translated(None)
+    return pd.DataFrame([made[t] if isinstance(t, str) else none for t in template], columns=["program", "reason"])
+
+
+def evaluate(program: Column, values: Column) -> Column:
+    """Value of a program over the array `values`. Null where there is no program, or something is divided by zero."""
+
+    def step(stack: Column, s: Column) -> Column:
+        b, a = F.get(stack, F.size(stack) - 1), F.get(stack, F.size(stack) - 2)
+        result = (
+            F.when(s["op"] == ADD, a + b).when(s["op"] == SUBTRACT, a - b).when(s["op"] == MULTIPLY, a * b)
+            .when(s["op"] == DIVIDE, F.try_divide(a, b)).when(s["op"] == REMAINDER, F.when(b != 0, a % b))
+        )
+        return (
+            F.when(s["op"] == NUMBER, F.concat(stack, F.array(s["x"])))
+            .when(s["op"] == VARIABLE, F.concat(stack, F.array(F.get(values, s["x"].cast("int")))))
+            .when(s["op"] == NEGATE, F.concat(F.slice(stack, F.lit(1), F.size(stack) - 1), F.array(-b)))
+            .otherwise(F.concat(F.slice(stack, F.lit(1), F.size(stack) - 2), F.array(result)))
+        )
+
+    return F.aggregate(program, F.array().cast("array<double>"), step, lambda stack: F.get(stack, F.lit(0)))

@@ -63,21 +63,16 @@ def parse_call(expr: Column) -> Column:
 
 
 def variable_name(index: Column) -> Column:
-    """0 -> a, 25 -> z, 26 -> aa, 702 -> aaa (up to three letters)."""
-    i = index.cast("int")
-
-    def letter(k: Column) -> Column:
-        return F.char(F.lit(97) + k)
-
-    two = i - 26
-    three = i - 702
-    return (
-        F.when(i < 26, letter(i))
-        .when(i < 702, F.concat(letter((two / 26).cast("int")), letter(two % 26)))
-        .otherwise(
-            F.concat(letter((three / 676).cast("int")), letter((three / 26).cast("int") % 26), letter(three % 26))
-        )
+    """0 -> a, 25 -> z, 26 -> aa, 702 -> aaa, and so on: seven letters, enough for any array."""
+    digits = F.aggregate(
+        F.sequence(F.lit(1), F.lit(7)),
+        F.struct((index.cast("long") + 1).alias("n"), F.lit("").alias("s")),
+        lambda a, _: F.struct(
+            F.when(a["n"] > 0, F.floor((a["n"] - 1) / 26)).otherwise(F.lit(0)).cast("long").alias("n"),
+            F.when(a["n"] > 0, F.concat(F.char(F.lit(97) + (a["n"] - 1) % 26), a["s"])).otherwise(a["s"]).alias("s"),
+        ),
     )
+    return digits["s"]
 
 
 def formula_tokens(formula: Column) -> Column:

@@ -146,25 +146,99 @@ def operand_spans(
     return ticks.select(*by, "idx", "tick", "value", (F.col("slot") * slide_ms + offset).alias("snapshot_ms"))
 
 
-def bind_spans(spans: DataFrame, attributes: DataFrame, arity: int) -> DataFrame:
-    """Rules over several devices: `attributes`, tick, snapshot_ms, v_0 .. v_{arity-1}, all bound."""
-    by = rule_key(spans)
-    wide = spans.groupBy(*by, "tick").agg(
+def operand_events(
+    slots: DataFrame | None, firings: DataFrame | None, deps: DataFrame, derived: DataFrame | None,
+    constants: DataFrame | None, slide_ms: int, width: int,
+) -> DataFrame:
+    """Operands of rules over several devices or over derived points, only at window ends that hold them.
+
+    Columns: the rule's key, idx, tick (minute number), snapshot_ms; where the operand changes also its value and `before`,
+    the value it replaces. A reading is in at most `width` snapshots, a derived value in that of its own tick, so
+    rows follow the readings, however far apart they are. A constant is a change before all ticks.
+    """
+    by = rule_key(deps)
+    operand = list(dict.fromkeys([*by, "idx", "company_id", "device_id", "property_name"]))
+    parts = []
+    if slots is not None:
+        parts.append(
+            operand_slots(slots, deps).join(firings, [*DEVICE, "slot"]).select(*operand, "slot", "value", "firings")
+        )
+    if derived is not None:
+        d = derived.select(*SERIES, F.expr(f"tick_ms div {slide_ms} - 1").alias("slot"), "value", "snapshot_ms")
+        parts.append(
+            operand_slots(d, deps, "snapshot_ms").select(
+                *operand, "slot", "value", F.array((F.col("snapshot_ms") - F.col("slot") * slide_ms).cast("int")).alias("firings")
+            )
+        )
+    if constants is not None:
+        d = deps.withColumnRenamed("dep_device_code", "device_id").withColumnRenamed("dep_point_code", "property_name")
+        parts.append(
+            d.join(constants, SERIES).where(F.col("const").isNotNull()).select(
+                *operand, F.lit(None).cast("bigint").alias("slot"), F.col("const").alias("value"),
+                F.array(F.lit(None).cast("int")).alias("firings"),
+            )
+        )
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    w = Window.partitionBy(*operand).orderBy(F.col("slot").asc_nulls_first())
+    rows = rows.withColumns({"_next": F.lead("slot").over(w), "before": F.lag("value").over(w)})
+    # in the snapshots up to the one that holds the operand's next reading
+    count = F.coalesce(F.least(F.size("firings"), (F.col("_next") - F.col("slot")).cast("int")), F.size("firings"))
+    held = F.when(count > 0, F.slice("firings", F.lit(1), count)).otherwise(F.slice("firings", 1, 1))
+    events = rows.select(*by, "idx", "slot", "value", "before", count.alias("_n"), F.posexplode(held).alias("_i", "_offset"))
+    first = F.col("_i") == 0
+    return events.select(
+        *by, "idx", F.coalesce(F.col("slot") + 1 + F.col("_i"), F.lit(-(2**62))).alias("tick"),
+        F.when(F.col("_n") > 0, F.col("slot") * slide_ms + F.col("_offset")).alias("snapshot_ms"),
+        F.when(first, F.col("value")).alias("value"), F.when(first, F.col("before")).alias("before"),
+    )
+
+
+def _upto(by: Sequence[str]):
+    return Window.partitionBy(*by).orderBy("tick").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def bind_events(events: DataFrame, attributes: DataFrame, arity: int) -> DataFrame:
+    """Rules over several devices: `attributes`, tick, snapshot_ms, v_0 .. v_{arity-1}, all bound.
+
+    An operand keeps its last value. A rule has one row per tick before its values are carried on.
+    """
+    by = rule_key(events)
+    wide = events.groupBy(*by, "tick").agg(
         F.max("snapshot_ms").alias("snapshot_ms"),
         *[F.max(F.when(F.col("idx") == i, F.col("value"))).alias(f"v_{i}") for i in range(arity)],
     )
-    rows = wide.where(F.col("snapshot_ms").isNotNull()).join(attributes, by)
+    kept = wide.withColumns({f"v_{i}": F.last(f"v_{i}", ignorenulls=True).over(_upto(by)) for i in range(arity)})
+    rows = kept.where(F.col("snapshot_ms").isNotNull()).join(attributes, by)
     return rows.where(all_bound(arity, F.col("n_required")))
 
 
-def rollup(spans: DataFrame, children: DataFrame) -> DataFrame:
-    """Sum and mean over the children of roll-up rules at every firing at which all children have a value.
+def rollup(events: DataFrame, children: DataFrame) -> DataFrame:
+    """Sum over the children of roll-up rules at every firing at which all children have a value.
 
-    `children` holds the rule's key and `n_children`. The sums are combined before the shuffle.
+    `children` holds the rule's key and `n_children`. Changes are combined per rule and tick before and after the
+    shuffle, then summed up along the ticks; values that are no finite numbers are counted aside, so they leave no trace
+    once they are replaced.
     """
-    by = rule_key(spans)
-    sums = spans.groupBy(*by, "tick").agg(
-        F.max("snapshot_ms").alias("snapshot_ms"), F.sum("value").alias("total"), F.count("value").alias("_known")
+    by = rule_key(events)
+    is_change = F.col("value").isNotNull()
+    kinds = {
+        "_nan": lambda c: F.isnan(c), "_up": lambda c: c == float("inf"), "_down": lambda c: c == float("-inf"),
+    }
+    finite = lambda c: F.when(c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")), 0.0).otherwise(c)
+    changes = {
+        "total": finite(F.col("value")) - finite(F.col("before")),
+        "_known": F.col("before").isNull().cast("int"),
+        **{n: F.coalesce(is_kind(F.col("value")).cast("int"), F.lit(0)) - F.coalesce(is_kind(F.col("before")).cast("int"), F.lit(0)) for n, is_kind in kinds.items()},
+    }
+    sums = events.groupBy(*by, "tick").agg(
+        F.max("snapshot_ms").alias("snapshot_ms"), *[F.sum(F.when(is_change, c)).alias(n) for n, c in changes.items()]
+    )
+    sums = sums.withColumns({n: F.sum(n).over(_upto(by)) for n in changes})
+    whole = sums.where(F.col("snapshot_ms").isNotNull()).join(children, by).where(F.col("_known") == F.col("n_children"))
+    total = (
+        F.when((F.col("_nan") > 0) | ((F.col("_up") > 0) & (F.col("_down") > 0)), float("nan"))
+        .when(F.col("_up") > 0, float("inf")).when(F.col("_down") > 0, float("-inf")).otherwise(F.col("total"))
     )
-    whole = sums.where(F.col("snapshot_ms").isNotNull()).join(children, by)
-    return whole.where(F.col("_known") == F.col("n_children")).drop("_known")
+    return whole.withColumn("total", total).drop("_known", *kinds)

@@ -16,34 +16,17 @@ from pyspark.sql import functions as F
 from pointloom.schemas import DEVICE, MINUTE_MS, SERIES, WINDOW_SLOTS
 
 
-def _rank_bits(slide_ms: int) -> int:
-    return 63 - int(slide_ms).bit_length()
-
-
-def arrival_rank(slide_ms: int = MINUTE_MS) -> Column:
-    """One long that orders the readings of a slot by (ts_ms, seq); lets the reduction use hash aggregation."""
-    bits = _rank_bits(slide_ms)
-    seq = F.coalesce(F.col("seq"), F.lit(0))
-    in_range = (seq >= 0) & (seq < F.lit(1 << bits))
-    checked = F.when(in_range, seq).otherwise(F.raise_error(F.lit(f"seq must be in [0, 2^{bits})")).cast("bigint"))
-    return F.shiftleft(F.pmod(F.col("ts_ms"), F.lit(slide_ms)).cast("bigint"), bits) + checked
+def arrival() -> Column:
+    """Order of readings: by time, then by arrival number, whatever its values; a missing one comes first."""
+    return F.struct("ts_ms", F.coalesce(F.col("seq"), F.lit(-(2**63))).alias("seq"))
 
 
 def slot_latest(readings: DataFrame, slide_ms: int = MINUTE_MS) -> DataFrame:
     """Latest reading per (series, slot): columns SERIES, slot, value, ts_ms. Unnamed points are dropped."""
-    bits = _rank_bits(slide_ms)
-    ranked = readings.where(F.col("property_name").isNotNull()).select(
-        *SERIES,
-        F.expr(f"(ts_ms - pmod(ts_ms, {slide_ms})) div {slide_ms}").alias("slot"),
-        "value",
-        arrival_rank(slide_ms).alias("_rank"),
-    )
-    latest = ranked.groupBy(*SERIES, "slot").agg(
-        F.max_by("value", "_rank").alias("value"), F.max("_rank").alias("_rank")
-    )
-    return latest.withColumn(
-        "ts_ms", F.col("slot") * slide_ms + F.shiftright("_rank", bits)
+    named = readings.where(F.col("property_name").isNotNull()).select(
+        *SERIES, F.expr(f"(ts_ms - pmod(ts_ms, {slide_ms})) div {slide_ms}").alias("slot"), "value", "ts_ms", "seq"
     )
+    return named.groupBy(*SERIES, "slot").agg(F.max_by("value", arrival()).alias("value"), F.max("ts_ms").alias("ts_ms"))
 
 
 def successor_slots(slots: DataFrame, width: int = WINDOW_SLOTS, by: Sequence[str] = tuple(SERIES)) -> DataFrame:
@@ -98,7 +81,7 @@ def device_firings(readings: DataFrame, slide_ms: int = MINUTE_MS, width: int =
 
 def snapshot_runs(readings: DataFrame, slide_ms: int = MINUTE_MS, width: int = WINDOW_SLOTS) -> DataFrame:
     """Slot rows with the snapshot times of their device: (SERIES, slot, value, ts_ms, firings)."""
-    slots = slot_latest(readings, slide_ms).drop("_rank")
+    slots = slot_latest(readings, slide_ms)
     return slots.join(device_firings(readings, slide_ms, width), [*DEVICE, "slot"])
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointloom.functions.formula import compile_same_device, parse_call, parse_formula, strip_controls
@@ -124,7 +124,7 @@ def compile_points(points: DataFrame, objects: DataFrame) -> DataFrame:
             F.col("_call"), F.col("_parsed"),
         ),
     )
-    return rows.select(
+    compiled = rows.select(
         "data_id", "object_id",
         F.col("company_id").cast("string").alias("company_id"),
         F.col("object_code").alias("device_code"),
@@ -138,6 +138,10 @@ def compile_points(points: DataFrame, objects: DataFrame) -> DataFrame:
         F.coalesce("status", F.lit(0)).alias("enabled"),
         F.col("_c.reason").alias("reason"),
     )
+    # the newest good row of a key is the rule, as in a table with that unique key
+    w = Window.partitionBy(*RULE_KEY, F.col("reason").isNull()).orderBy(F.col("data_id").desc())
+    older = F.col("reason").isNull() & (F.row_number().over(w) > 1)
+    return compiled.withColumn("reason", F.when(older, "duplicate key").otherwise(F.col("reason")))
 
 
 def rule_rows(compiled: DataFrame) -> DataFrame:
@@ -193,7 +197,8 @@ def rollup_dependencies(rules: DataFrame, objects: DataFrame, models: DataFrame)
     )
     parents = objects.select("company_id", F.col("object_code").alias("device_code"), "object_id")
     placed = resolve_model(wanted, models).join(parents, ["company_id", "device_code"])
+    # an object that was replaced under a new id leaves its old row: its code still counts once
     return expand_children(placed, objects).select(
         F.col("company_id").cast("string").alias("company_id"), "device_code", "point_code",
         F.col("child_code").alias("dep_device_code"), "dep_point_code",
-    )
+    ).distinct()

@@ -7,19 +7,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pointloom.functions.arithmetic import arithmetic, compiled_templates, template_text
+from pointloom.functions.arithmetic import PROGRAM, evaluate, template_text, translated
 from pointloom.functions.calendar import period_key
+from pointloom.functions.formula import constant_value
 from pointloom.functions.once import with_once
-from pointloom.operators.binding import all_bound, bind_spans, bound_runs, operand_spans, rollup
+from pointloom.operators.binding import all_bound, bind_events, bound_runs, operand_events, operand_spans, rollup
 from pointloom.operators.constants import active_constants
 from pointloom.operators.snapshot import device_firings, slot_latest
 from pointloom.plans.compile import DEPS, PARAMS, rollup_dependencies
 from pointloom.plans.lineage import materialize
 from pointloom.plans.registry import ARITHMETIC, CALCULATIONS, ROLLUPS, FiredContext
-from pointloom.schemas import MINUTE_MS, RULE_KEY, WINDOW_SLOTS
+from pointloom.schemas import MINUTE_MS, RULE_KEY, TICK, WINDOW_SLOTS
 
-MAX_LEVELS = 4
-PIVOT_LIMIT = 64  # operands bound as columns; longer formulas bind as one array
+WIDE_OPERANDS = 16  # operands bound as columns; longer formulas bind as one array, with the same results
 
 
 def active_rules(rules: DataFrame) -> DataFrame:
@@ -29,15 +29,34 @@ def active_rules(rules: DataFrame) -> DataFrame:
 
 @dataclass
 class RuleSet:
-    """Rule rows taken apart: `rules` one row per rule, `deps` one row per operand, `constants` values by series."""
+    """Rule rows taken apart: `rules` one row per rule that can fire, `deps` one row per operand, `constants` values by series.
+
+    `arity`: most operands by route, as far as they are bound as columns. `groups`: which (level, route, long, periodic) there
+    are. `rejected`: (RULE_KEY, reason) of rules that never fire.
+    """
 
     rules: DataFrame
     deps: DataFrame
     constants: DataFrame
-    templates: list[str]
-    more_templates: bool
     arity: dict[str, int]
     max_level: int
+    groups: frozenset[tuple[int, str, bool, bool]]
+    rejected: DataFrame
+
+    def has(self, level: int, route: str, long: bool = False, periodic: bool | None = None) -> bool:
+        return any((level, route, long, p) in self.groups for p in ((False, True) if periodic is None else (periodic,)))
+
+
+def periodic_kinds() -> list[str]:
+    return [name for name, c in CALCULATIONS.items() if c.period is not None]
+
+
+def newest_rules(rules: DataFrame) -> DataFrame:
+    """One row per RULE_KEY: that of the greatest `seq` where there is such a column, else the greatest row."""
+    rest = [c for c in rules.columns if c not in RULE_KEY]
+    order = [c for c in ("seq", "data_id") if c in rest]
+    first = [*order, *[c for c in rest if c not in order]]
+    return rules.groupBy(*RULE_KEY).agg(F.max(F.struct(*first)).alias("_r")).select(*RULE_KEY, "_r.*").select(*rules.columns)
 
 
 def operands(rules: DataFrame) -> DataFrame:
@@ -56,11 +75,11 @@ def operands(rules: DataFrame) -> DataFrame:
     )
 
 
-def rule_levels(rules: DataFrame, deps: DataFrame, max_levels: int = MAX_LEVELS) -> tuple[DataFrame, int]:
-    """(RULE_KEY, level) of rules that depend on derived points, and the highest level.
+def rule_levels(rules: DataFrame, deps: DataFrame) -> tuple[DataFrame, int, DataFrame]:
+    """(RULE_KEY, level) of rules that depend on derived points, the highest level, and the rules that never settle.
 
-    Level n rules depend on rules up to level n-1. Rules on a cycle, or deeper than `max_levels`, stay over and come
-    out with level `max_levels` + 1.
+    Level n rules depend on rules up to level n-1, as many levels as the rules have. Those left when no rule settles any more
+    are on a cycle or depend on one.
     """
     point = ["company_id", "dep_device_code", "dep_point_code"]
 
@@ -72,62 +91,85 @@ def rule_levels(rules: DataFrame, deps: DataFrame, max_levels: int = MAX_LEVELS)
     left = deps.join(results(rules), point, "left_semi").select(*RULE_KEY, *point[1:])
     levels = left.select(*RULE_KEY, F.lit(0).alias("level")).limit(0)
     if left.isEmpty():
-        return levels, 0
+        return levels, 0, left.select(*RULE_KEY).limit(0)
     left = materialize(left.distinct())
-    for level in range(1, max_levels + 1):
-        if level > 1 and left.isEmpty():
-            return levels, level - 1
+    level = 0
+    while not left.isEmpty():
         waiting = left.join(results(left), point, "left_semi").select(*RULE_KEY).distinct()
-        ready = left.select(*RULE_KEY).distinct().join(waiting, RULE_KEY, "left_anti")
+        ready = materialize(left.select(*RULE_KEY).distinct().join(waiting, RULE_KEY, "left_anti"))
+        if ready.isEmpty():
+            break
+        level += 1
         levels = levels.unionByName(ready.withColumn("level", F.lit(level)))
-        left = materialize(left.join(waiting, RULE_KEY, "left_semi"))
-    rest = left.select(*RULE_KEY).distinct().withColumn("level", F.lit(max_levels + 1))
-    return levels.unionByName(rest), max_levels
+        left = materialize(left.join(ready, RULE_KEY, "left_anti"))
+    return levels, level, left.select(*RULE_KEY).distinct()
 
 
-def prepare_rules(
-    rules: DataFrame, objects: DataFrame | None = None, models: DataFrame | None = None, max_levels: int = MAX_LEVELS
-) -> RuleSet:
+def prepare_rules(rules: DataFrame, objects: DataFrame | None = None, models: DataFrame | None = None) -> RuleSet:
     """Take RULE rows apart for the engine. Roll-up rules need the object and model tables.
 
-    Rules of an unknown calculation, formulas outside the grammar and rules on a cycle do not fire.
+    Rules that can't fire are set aside with a reason: unknown calculation, formula outside the grammar or with a name that
+    is no operand, no operand at all, no child, and rules on a cycle.
     """
+    rules = newest_rules(rules)
     live = active_rules(rules).where(F.col("expr_type") != 2)
-    own = live.where(~((F.col("expr_type") == 1) & F.col("expr").isin(*ROLLUPS)))
+    is_rollup = (F.col("expr_type") == 1) & F.coalesce(F.col("expr").isin(*ROLLUPS), F.lit(False))
+    own = live.where(~is_rollup)
     variables = F.transform(
         F.filter(F.from_json("depends_on", DEPS), lambda d: d["point_code"].isNotNull() & d["var"].isNotNull()),
         lambda d: d["var"],
     )
     devices = F.array_distinct(F.transform(F.from_json("depends_on", DEPS), lambda d: d["device_code"]))
     is_formula = F.col("expr_type") == 0
-    own_templates = with_once(own, "_template", F.when(is_formula, template_text(F.col("expr"), variables)))
-    heads = own_templates.select(
+    own = with_once(own, "_template", F.when(is_formula, template_text(F.col("expr"), variables)))
+    own_heads = own.select(
         *RULE_KEY,
         F.when(is_formula, F.lit(ARITHMETIC)).otherwise(F.col("expr")).alias("kind"),
-        F.col("_template").alias("template"),
+        F.when(is_formula, translated("_template")).alias("_t"),
         F.from_json("params", PARAMS).alias("parameters"),
-        F.when(is_formula, F.size(variables)).otherwise(F.lit(1)).alias("n_required"),
-        (F.size(devices) > 1).alias("many_devices"),
-    ).where(F.col("kind").isin(*CALCULATIONS) | F.col("template").isNotNull())
+        F.coalesce(F.when(is_formula, F.size(variables)).otherwise(F.lit(1)), F.lit(0)).alias("n_required"),
+        F.coalesce(F.size(devices) > 1, F.lit(False)).alias("many_devices"),
+        F.coalesce(F.size(F.filter(F.from_json("depends_on", DEPS), lambda d: d["point_code"].isNotNull())), F.lit(0)).alias("n_deps"),
+    )
+    heads = own_heads.select(
+        *RULE_KEY, "kind", F.col("_t.program").alias("program"), "parameters", "n_required", "many_devices", "n_deps",
+        F.when(F.col("kind") == ARITHMETIC, F.coalesce("_t.reason", F.when(F.col("n_required") == 0, "no operand")))
+        .otherwise(F.when(~F.coalesce(F.col("kind").isin(*CALCULATIONS), F.lit(False)), "unknown calculation")).alias("reason"),
+    )
     deps = operands(own)
     if objects is not None:
-        wanted = live.where((F.col("expr_type") == 1) & F.col("expr").isin(*ROLLUPS))
+        wanted = live.where(is_rollup)
         children = rollup_dependencies(wanted, objects, models)
+        counts = children.groupBy(*RULE_KEY).agg(F.count("*").cast("int").alias("n_required"))
         heads = heads.unionByName(
-            wanted.join(children.groupBy(*RULE_KEY).agg(F.count("*").cast("int").alias("n_required")), RULE_KEY).select(
-                *RULE_KEY, F.col("expr").alias("kind"), F.lit(None).cast("string").alias("template"),
-                F.from_json("params", PARAMS).alias("parameters"), "n_required", F.lit(True).alias("many_devices"),
+            wanted.join(counts, RULE_KEY, "left").select(
+                *RULE_KEY, F.col("expr").alias("kind"), F.lit(None).cast(PROGRAM).alias("program"),
+                F.from_json("params", PARAMS).alias("parameters"), F.coalesce("n_required", F.lit(0)).alias("n_required"),
+                F.lit(True).alias("many_devices"), F.coalesce("n_required", F.lit(0)).alias("n_deps"), F.when(F.col("n_required").isNull(), "no child").alias("reason"),
             )
         )
         deps = deps.unionByName(
             children.select(*RULE_KEY, F.lit(0).alias("idx"), F.lit(None).cast("string").alias("var"), "dep_device_code", "dep_point_code")
         )
+    else:
+        heads = heads.unionByName(
+            live.where(is_rollup).select(
+                *RULE_KEY, F.col("expr").alias("kind"), F.lit(None).cast(PROGRAM).alias("program"), F.from_json("params", PARAMS).alias("parameters"),
+                F.lit(0).alias("n_required"), F.lit(True).alias("many_devices"), F.lit(0).alias("n_deps"),
+                F.lit("no child").alias("reason"),
+            )
+        )
     deps = materialize(deps)
     heads = materialize(heads.withColumn("rule_id", F.monotonically_increasing_id()))  # ids are fixed by writing
-    levels, depth = rule_levels(heads, deps, max_levels)
+    rejected = heads.where(F.col("reason").isNotNull()).select(*RULE_KEY, "reason")
+    heads = heads.where(F.col("reason").isNull()).drop("reason")
+    levels, depth, cycles = rule_levels(heads, deps.join(heads.select(*RULE_KEY), RULE_KEY, "left_semi"))
+    if not cycles.isEmpty():
+        rejected = rejected.unionByName(cycles.withColumn("reason", F.lit("cycle")))
+        heads = heads.join(cycles, RULE_KEY, "left_anti")
     if depth > 0:
         heads = heads.join(levels, RULE_KEY, "left").withColumn("level", F.coalesce("level", F.lit(0)))
-        heads = materialize(heads.where(F.col("level") <= max_levels))
+        heads = materialize(heads)
     else:
         heads = heads.withColumn("level", F.lit(0))
     heads = heads.withColumn(
@@ -136,33 +178,36 @@ def prepare_rules(
         .when(F.col("many_devices") | (F.col("level") > 0), "spans")
         .otherwise("runs"),
     )
-    sizes = heads.groupBy("route").agg(F.max("n_required").alias("n")).collect()
-    templates, more = compiled_templates(heads.where(F.col("n_required") <= PIVOT_LIMIT))
-    long_formula = any(r["route"] != "rollup" and r["n"] > PIVOT_LIMIT for r in sizes)
+    long = (F.col("route") != "rollup") & (F.col("n_required") > WIDE_OPERANDS)
+    found = heads.groupBy("level", "route", long.alias("long"), F.col("kind").isin(*periodic_kinds()).alias("periodic")).agg(
+        F.max("n_required").alias("n")
+    ).collect()  # a few rows a level
+    arity: dict[str, int] = {}
+    for r in found:
+        arity[r["route"]] = max(arity.get(r["route"], 0), min(r["n"], WIDE_OPERANDS))
     return RuleSet(
-        heads, deps, active_constants(rules), templates, more or long_formula,
-        {r["route"]: min(r["n"], PIVOT_LIMIT) for r in sizes}, depth,
+        heads, deps, active_constants(rules), arity, depth,
+        frozenset((r["level"], r["route"], r["long"], r["periodic"]) for r in found), rejected,
     )
 
 
-def _computed(rs: RuleSet, arity: int):
-    return arithmetic(F.col("template"), F.array(*[F.col(f"v_{i}") for i in range(arity)]), rs.templates, rs.more_templates)
+def _computed(arity: int):
+    return evaluate(F.col("program"), F.array(*[F.col(f"v_{i}") for i in range(arity)]))
 
 
-def _same_device(slots: DataFrame, firings: DataFrame, rs: RuleSet, slide_ms: int, width: int) -> DataFrame:
+def _same_device(heads: DataFrame, slots: DataFrame, firings: DataFrame, rs: RuleSet, slide_ms: int, width: int) -> DataFrame:
     arity = rs.arity["runs"]
-    heads = rs.rules.where((F.col("route") == "runs") & (F.col("n_required") <= PIVOT_LIMIT))
     consts = (
         rs.deps.withColumnRenamed("dep_device_code", "device_id").withColumnRenamed("dep_point_code", "property_name")
         .join(rs.constants, ["company_id", "device_id", "property_name"])
         .groupBy(*RULE_KEY)
         .agg(F.array(*[F.max(F.when(F.col("idx") == i, F.col("const"))) for i in range(arity)]).alias("consts"))
     )
-    attributes = ["kind", "template", "parameters", "n_required"]
-    deps = rs.deps.join(heads.select(*RULE_KEY, "rule_id", *attributes), RULE_KEY).join(consts, RULE_KEY, "left")
+    deps = rs.deps.join(heads.select(*RULE_KEY, "rule_id"), RULE_KEY).join(consts, RULE_KEY, "left")
     deps = deps.withColumn("consts", F.coalesce("consts", F.array_repeat(F.lit(None).cast("double"), arity)))
-    runs = bound_runs(slots, firings, deps.drop("var"), arity, attributes, width)
-    runs = runs.where(all_bound(arity, F.col("n_required"))).withColumn("computed", _computed(rs, arity))
+    runs = bound_runs(slots, firings, deps.drop("var"), arity, (), width)
+    runs = runs.join(heads.select("rule_id", "kind", "program", "parameters", "n_required"), "rule_id")
+    runs = runs.where(all_bound(arity, F.col("n_required"))).withColumn("computed", _computed(arity))
     return runs.select(
         "rule_id", *RULE_KEY, "kind", "parameters", F.col("v_0").alias("value"), "computed", "slot",
         F.posexplode(F.slice("firings", F.lit(1), F.col("n"))).alias("_i", "_offset"),
@@ -173,43 +218,44 @@ def _same_device(slots: DataFrame, firings: DataFrame, rs: RuleSet, slide_ms: in
     )
 
 
-def _spans_of(heads: DataFrame, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int) -> DataFrame:
-    deps = rs.deps.join(heads.select(*RULE_KEY, "rule_id"), RULE_KEY).drop("var", "device_code", "point_code")
-    return operand_spans(slots, firings, deps, derived, rs.constants, slide_ms, width)
+def _deps_of(heads: DataFrame, rs: RuleSet) -> DataFrame:
+    return rs.deps.join(heads.select(*RULE_KEY, "rule_id"), RULE_KEY).drop("var", "device_code", "point_code")
 
 
 def _many_devices(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int) -> DataFrame:
     arity = max(rs.arity.get("spans", 1), rs.arity.get("runs", 1) if slots is None else 1)
-    spans = _spans_of(heads, slots, firings, rs, derived, slide_ms, width)
-    attributes = heads.select("rule_id", *RULE_KEY, "kind", "template", "parameters", "n_required")
-    bound = bind_spans(spans, attributes, arity)
+    events = operand_events(slots, firings, _deps_of(heads, rs), derived, rs.constants, slide_ms, width)
+    attributes = heads.select("rule_id", *RULE_KEY, "kind", "program", "parameters", "n_required")
+    bound = bind_events(events, attributes, arity)
     return bound.select(
-        "rule_id", *RULE_KEY, "kind", "parameters", F.col("v_0").alias("value"), _computed(rs, arity).alias("computed"),
+        "rule_id", *RULE_KEY, "kind", "parameters", F.col("v_0").alias("value"), _computed(arity).alias("computed"),
         (F.col("tick") * slide_ms).alias("tick_ms"), "snapshot_ms",
     )
 
 
 def _long_formulas(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int) -> DataFrame:
     """Formulas with more operands than are bound as columns: values gathered per firing, at most one per operand."""
-    spans = _spans_of(heads, slots, firings, rs, derived, slide_ms, width)
+    spans = operand_spans(slots, firings, _deps_of(heads, rs), derived, rs.constants, slide_ms, width)
     gathered = spans.groupBy("rule_id", "tick").agg(
         F.max("snapshot_ms").alias("snapshot_ms"),
         F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("_v"),
     )
     rows = gathered.where(F.col("snapshot_ms").isNotNull()).join(
-        heads.select("rule_id", *RULE_KEY, "kind", "template", "parameters", "n_required"), "rule_id"
+        heads.select("rule_id", *RULE_KEY, "kind", "program", "parameters", "n_required"), "rule_id"
     ).where(F.size("_v") == F.col("n_required"))
     values = F.transform("_v", lambda x: x["value"])
     return rows.select(
         "rule_id", *RULE_KEY, "kind", "parameters", F.get(values, F.lit(0)).alias("value"),
-        arithmetic(F.col("template"), values, [], True).alias("computed"),
+        evaluate(F.col("program"), values).alias("computed"),
         (F.col("tick") * slide_ms).alias("tick_ms"), "snapshot_ms",
     )
 
 
 def _rollups(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int) -> DataFrame:
-    spans = _spans_of(heads, slots, firings, rs, derived, slide_ms, width)
-    sums = rollup(spans, heads.select("rule_id", *RULE_KEY, "kind", F.col("n_required").alias("n_children")))
+    deps = _deps_of(heads, rs)
+    # each child is an operand of its own: its series stands for its number
+    events = operand_events(slots, firings, deps, derived, rs.constants, slide_ms, width)
+    sums = rollup(events, heads.select("rule_id", *RULE_KEY, "kind", F.col("n_required").alias("n_children")))
     value = F.when(F.col("kind") == "CHILD_AVG", F.col("total") / F.col("n_children")).otherwise(F.col("total"))
     return sums.select(
         (F.col("tick") * slide_ms).alias("tick_ms"), "snapshot_ms", "company_id",
@@ -266,36 +312,57 @@ def calculate(rows: DataFrame) -> DataFrame:
     ).where(F.col("value").isNotNull())
 
 
+def without_period(fired: DataFrame) -> DataFrame:
+    """Rows of calculations that need no period, as `calculate` takes them."""
+    return fired.withColumns({f"_{a}": F.lit(None).cast("double") for a in AGGREGATES})
+
+
 def derive(
     readings: DataFrame, rules: DataFrame | RuleSet, objects: DataFrame | None = None, models: DataFrame | None = None,
-    tz: str = "UTC", slide_ms: int = MINUTE_MS, width: int = WINDOW_SLOTS, max_levels: int = MAX_LEVELS,
+    tz: str = "UTC", slide_ms: int = MINUTE_MS, width: int = WINDOW_SLOTS,
 ) -> DataFrame:
     """All derived points of all firings: (tick_ms, snapshot_ms, company_id, device_id, property_name, value).
 
-    Rules on derived points run after those they depend on, level by level.
+    Rules on derived points run after those they depend on, level by level; the results of a level are written once.
     """
-    rs = rules if isinstance(rules, RuleSet) else prepare_rules(rules, objects, models, max_levels)
-    slots = slot_latest(readings, slide_ms).drop("_rank")
+    rs = rules if isinstance(rules, RuleSet) else prepare_rules(rules, objects, models)
+    slots = slot_latest(readings, slide_ms)
     firings = device_firings(readings, slide_ms, width)
+    if rs.max_level > 0:
+        slots, firings = materialize(slots), materialize(firings)
+    periodic = F.col("kind").isin(*periodic_kinds())
+    long = F.col("n_required") > WIDE_OPERANDS
     made: list[DataFrame] = []
     for level in range(rs.max_level + 1):
-        derived = None
-        if level > 0:
-            made = [materialize(_union(made))]
-            derived = made[0]
         here = rs.rules.where(F.col("level") == level)
-        args = (slots, firings, rs, derived, slide_ms, width)
-        if level == 0 and "runs" in rs.arity:
-            made.append(calculate(with_period_aggregates(_same_device(slots, firings, rs, slide_ms, width), tz)))
-        if "spans" in rs.arity:
-            heads = here.where((F.col("route") == "spans") & (F.col("n_required") <= PIVOT_LIMIT))
-            made.append(calculate(with_period_aggregates(_many_devices(heads, *args), tz)))
-        if "rollup" in rs.arity:
-            made.append(_rollups(here.where(F.col("route") == "rollup"), *args))
-        if rs.more_templates:
-            long = here.where((F.col("route") != "rollup") & (F.col("n_required") > PIVOT_LIMIT))
-            made.append(calculate(with_period_aggregates(_long_formulas(long, *args), tz)))
-    return _union(made)
+        args = (slots, firings, rs, _union(made) if level > 0 else None, slide_ms, width)
+        parts: list[DataFrame] = []
+        for of_period in (False, True):
+            aggregated = (lambda rows: with_period_aggregates(rows, tz)) if of_period else without_period
+            some = here.where(periodic if of_period else ~periodic)
+            if rs.has(level, "runs", False, of_period):
+                parts.append(calculate(aggregated(_same_device(some.where((F.col("route") == "runs") & ~long), slots, firings, rs, slide_ms, width))))
+            if rs.has(level, "spans", False, of_period):
+                parts.append(calculate(aggregated(_many_devices(some.where((F.col("route") == "spans") & ~long), *args))))
+            if rs.has(level, "runs", True, of_period) or rs.has(level, "spans", True, of_period):
+                parts.append(calculate(aggregated(_long_formulas(some.where((F.col("route") != "rollup") & long), *args))))
+        if rs.has(level, "rollup"):
+            parts.append(_rollups(here.where(F.col("route") == "rollup"), *args))
+        if parts:
+            made.append(materialize(_union(parts)) if rs.max_level > 0 else _union(parts))
+    return _union(made) if made else readings.sparkSession.createDataFrame([], TICK)
+
+
+def rejected_rule_rows(rules: DataFrame, objects: DataFrame | None = None, models: DataFrame | None = None) -> DataFrame:
+    """(RULE_KEY, reason) of RULE rows that never fire: what `prepare_rules` sets aside, constants that are no numbers, and
+    all but the newest row of a key.
+    """
+    kept = newest_rules(rules)
+    constants = active_rules(kept).where((F.col("expr_type") == 2) & constant_value(F.col("expr")).isNull())
+    twice = rules.groupBy(*RULE_KEY).count().where(F.col("count") > 1)
+    return prepare_rules(rules, objects, models).rejected.unionByName(
+        constants.select(*RULE_KEY, F.lit("unreadable constant").alias("reason"))
+    ).unionByName(twice.select(*RULE_KEY, F.lit("duplicate key").alias("reason")))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointloom.functions.arithmetic import arithmetic, compiled_templates, template_text
+from pointloom.functions.arithmetic import evaluate, template_text, translated
 from pointloom.functions.bits import bit_at
 from pointloom.functions.formula import compile_same_device, parse_call, parse_formula
 from pointloom.operators import asof, binding, constants, series, snapshot, topology
@@ -313,12 +313,11 @@ def arithmetic_formulas(spark, d):
     variables = F.transform(F.from_json("depends_on", compiler.DEPS), lambda v: v["var"])
     texts = rules.select(
         F.col("company_id"), F.col("device_code").alias("device_id"), "point_code",
-        template_text(F.col("expr"), variables).alias("template"),
+        translated(template_text(F.col("expr"), variables))["program"].alias("program"),
     )
-    templates, more = compiled_templates(texts)
     readings = sample.telemetry(spark, d).join(texts, ["company_id", "device_id"])
     values = F.array("value", (F.col("seq") % 3).cast("double"))
-    out = readings.select("seq", "point_code", rounded(arithmetic(F.col("template"), values, templates, more)).alias("result"))
+    out = readings.select("seq", "point_code", rounded(evaluate(F.col("program"), values)).alias("result"))
     return out.where(F.col("result").isNotNull())
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +29,8 @@ _CORE = TICK.fieldNames()
 
 
 def _function_rules(ticks: DataFrame, rs: RuleSet) -> DataFrame:
-    """Function rules on measured points: their aggregates come with the ticks."""
-    heads = rs.rules.where((F.col("level") == 0) & F.col("kind").isin(*CALCULATIONS))
+    """Function rules on one measured point: their aggregates come with the ticks."""
+    heads = rs.rules.where((F.col("level") == 0) & (F.col("n_deps") == 1) & F.col("kind").isin(*CALCULATIONS))
     deps = rs.deps.where(F.col("idx") == 0).join(heads.select(*RULE_KEY, "kind", "parameters"), RULE_KEY)
 
     def of_period(aggregate: str) -> Column:
@@ -55,32 +56,31 @@ def derive_batch(
     """
     known = last_values.select(*SERIES, F.col("value").alias("const"))
     known = known.unionByName(rs.constants.join(known.select(*SERIES), SERIES, "left_anti"))
-    state = RuleSet(rs.rules, rs.deps, known, rs.templates, rs.more_templates, rs.arity, rs.max_level)
+    state = replace(rs, constants=known)
     present = ticks.select(*_CORE)
     made = [_function_rules(ticks, rs)]
-    left = []
+    left, written = [], 0
     for level in range(rs.max_level + 1):
         if level > 0:
-            made = [materialize(engine._union(made))]
-            present = ticks.select(*_CORE).unionByName(made[0].select(*_CORE))
+            made = [*made[:written], materialize(engine._union(made[written:]))]  # each level's results once
+            written = len(made)
+            present = engine._union([ticks.select(*_CORE), *[m.select(*_CORE) for m in made]])
         here = rs.rules.where(F.col("level") == level)
         args = (None, None, state, present, slide_ms, width)
-        short = here.where((F.col("route") != "rollup") & (F.col("n_required") <= engine.PIVOT_LIMIT))
-        short = short.where((F.col("kind") == ARITHMETIC) | (F.col("level") > 0))
-        fired = with_period_aggregates(engine._many_devices(short, *args), tz, carried if level > 0 else None)
-        if level > 0:
-            fired = materialize(fired)
-            newest = F.max_by(F.struct("_period", *[f"_{a}" for a in engine.AGGREGATES]), "tick_ms")
-            left.append(fired.where(F.col("kind") != ARITHMETIC).groupBy(*RULE_KEY).agg(newest.alias("_n")).select(*RULE_KEY, "_n.*"))
+        short = here.where((F.col("route") != "rollup") & (F.col("n_required") <= engine.WIDE_OPERANDS))
+        # a function rule of several points fires with any of them, on the value of the first
+        short = short.where((F.col("kind") == ARITHMETIC) | (F.col("level") > 0) | (F.col("n_deps") > 1))
+        fired = materialize(with_period_aggregates(engine._many_devices(short, *args), tz, carried))
+        newest = F.max_by(F.struct("_period", *[f"_{a}" for a in engine.AGGREGATES]), "tick_ms")
+        left.append(fired.where(F.col("kind") != ARITHMETIC).groupBy(*RULE_KEY).agg(newest.alias("_n")).select(*RULE_KEY, "_n.*"))
         made.append(calculate(fired))
-        if "rollup" in rs.arity:
+        if rs.has(level, "rollup"):
             made.append(engine._rollups(here.where(F.col("route") == "rollup"), *args))
-        if rs.more_templates:
-            long = here.where((F.col("route") != "rollup") & (F.col("n_required") > engine.PIVOT_LIMIT))
+        if rs.has(level, "spans", True) or rs.has(level, "runs", True):
+            long = here.where((F.col("route") != "rollup") & (F.col("n_required") > engine.WIDE_OPERANDS))
             made.append(calculate(with_period_aggregates(engine._long_formulas(long, *args), tz)))
-    fresh = engine._union(left) if left else carried
-    if left:
-        fresh = fresh.unionByName(carried.join(fresh.select(*RULE_KEY), RULE_KEY, "left_anti"))
+    fresh = engine._union(left)
+    fresh = fresh.unionByName(carried.join(fresh.select(*RULE_KEY), RULE_KEY, "left_anti"))
     return engine._union(made), fresh
 
 
@@ -107,7 +107,7 @@ def batch_function(
         write_derived(derived, out_path, batch_id)
         results = spark.read.schema(derived.schema).parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
         # only series that are operands of formulas or roll-ups need to be remembered
-        remembered = rs.deps.join(rs.rules.where((F.col("kind") == ARITHMETIC) | (F.col("route") == "rollup") | (F.col("level") > 0)), RULE_KEY, "left_semi").select(
+        remembered = rs.deps.join(rs.rules.where((F.col("kind") == ARITHMETIC) | (F.col("route") == "rollup") | (F.col("level") > 0) | (F.col("n_deps") > 1)), RULE_KEY, "left_semi").select(
             "company_id", F.col("dep_device_code").alias("device_id"), F.col("dep_point_code").alias("property_name")
         ).distinct()
         seen = ticks.select(*LAST_VALUES.fieldNames()).unionByName(results.select(*LAST_VALUES.fieldNames()))

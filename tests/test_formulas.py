@@ -1,5 +1,8 @@
 """Formula parsing and evaluation, against plain Python where possible."""
 
+import ast
+import math
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -63,33 +66,80 @@ def test_bits(spark):
     assert [bit(-5, 2), bit(5.9, 1), bit(float("nan"), 1), bit(1e300, 1), bit(1, 65)] == [1, 1, None, None, 1]
 
 
-leaf = st.sampled_from(["v_0", "v_1", "v_2", "2", "3", "0", "0.5", "10"])
+def test_names_have_no_limit(spark):
+    names = {i: one(spark, variable_name(F.lit(i))) for i in (18278, 18279, 475253, 475254)}
+    assert names == {18278: "aaaa", 18279: "aaab", 475253: "zzzz", 475254: "aaaaa"}
+
+
+leaf = st.sampled_from(["v_0", "v_1", "v_2", "2", "3", "0", "0.5", "10", ".5", "2e1"])
 formulas = st.recursive(
     leaf,
-    lambda e: st.one_of(st.tuples(e, st.sampled_from("+-*/%"), e).map(lambda t: f"({t[0]} {t[1]} {t[2]})"), e.map(lambda x: f"-{x}")),
+    lambda e: st.one_of(
+        st.tuples(e, st.sampled_from("+-*/%"), e).map(lambda t: f"({t[0]} {t[1]} {t[2]})"), e.map(lambda x: f"-{x}"),
+        st.tuples(e, st.sampled_from("+-*/%"), e, st.sampled_from("+-*/%"), e).map(lambda t: "".join(t)),
+    ),
     max_leaves=8,
 )
 
 
+def plain_value(text, values):
+    """By Python's own grammar: whole numbers stay whole among themselves, dividing by zero gives None."""
+
+    def walk(node):
+        if isinstance(node, ast.Name):
+            return values[int(node.id[2:])]
+        if isinstance(node, ast.Constant):
+            return node.value
+        if isinstance(node, ast.UnaryOp):
+            return -walk(node.operand) if isinstance(node.op, ast.USub) else walk(node.operand)
+        a, b = walk(node.left), walk(node.right)
+        if a is None or b is None:
+            return None
+        if isinstance(node.op, (ast.Div, ast.Mod)):
+            if b == 0:
+                raise ZeroDivisionError
+            if isinstance(a, int) and isinstance(b, int):
+                q = abs(a) // abs(b) * (1 if (a < 0) == (b < 0) else -1)
+                return q if isinstance(node.op, ast.Div) else a - q * b
+            return a / b if isinstance(node.op, ast.Div) else math.fmod(a, b)
+        return {ast.Add: lambda: a + b, ast.Sub: lambda: a - b, ast.Mult: lambda: a * b}[type(node.op)]()
+
+    try:
+        return float(walk(ast.parse(text, mode="eval").body))
+    except ZeroDivisionError:
+        return None
+
+
+def values_of(spark, rows):
+    df = spark.createDataFrame(rows, "template STRING, v ARRAY<DOUBLE>")
+    return [r.x for r in df.select(ar.evaluate(ar.translated("template")["program"], F.col("v")).alias("x")).collect()]
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(formulas, min_size=20, max_size=20, unique=True))
-def test_compiled_and_vectorised_formulas_agree(spark, texts):
+def test_programs_agree_with_plain_evaluation(spark, texts):
     rows = [(t, [float(a), float(b), 1.5]) for t in texts for a in (0, 7) for b in (-2, 3)]
-    df = spark.createDataFrame(rows, "template STRING, v ARRAY<DOUBLE>")
-    both = df.select(
-        ar.arithmetic(F.col("template"), F.col("v"), texts).alias("a"),
-        ar.arithmetic(F.col("template"), F.col("v"), [], True).alias("b"),
-    ).collect()
-    for r in both:
-        assert (r.a is None) == (r.b is None)
-        assert r.a is None or r.a == pytest.approx(r.b, nan_ok=True)
-
-
-def test_more_templates_than_are_compiled(spark, monkeypatch):
-    monkeypatch.setattr(ar, "MAX_COMPILED_TEMPLATES", 2)
-    texts = [f"v_0 + {i}" for i in range(5)]
-    df = spark.createDataFrame([(t, [1.0]) for t in texts], "template STRING, v ARRAY<DOUBLE>")
-    some, more = ar.compiled_templates(df)
-    assert len(some) == 2 and more
-    out = df.select(ar.arithmetic(F.col("template"), F.col("v"), some, more).alias("x")).collect()
-    assert sorted(r.x for r in out) == [1.0, 2.0, 3.0, 4.0, 5.0]
+    for (t, v), got in zip(rows, values_of(spark, rows)):
+        want = plain_value(t, v)
+        assert (got is None) == (want is None), (t, v)
+        assert got is None or got == pytest.approx(want, nan_ok=True), (t, v)
+
+
+def test_any_number_and_length_of_formulas(spark):
+    n = 1500
+    rows = [(f"v_0 + {i}", [1.0]) for i in range(n)]
+    rows += [("+".join(f"v_{i}" for i in range(2000)), [1.0] * 2000), ("(" * 1200 + "v_0" + ")" * 1200, [3.0]), ("-" * 1201 + "v_0", [3.0])]
+    rows += [("1+(" * 900 + "v_0" + ")" * 900, [2.0])]
+    assert values_of(spark, rows) == [*[1.0 + i for i in range(n)], 2000.0, 3.0, -3.0, 902.0]
+
+
+@pytest.mark.parametrize(
+    ("text", "reason"),
+    [
+        (None, "unbound name"), ("", "outside grammar"), ("v_0 v_1", "outside grammar"), ("v_0 ** 2", "outside grammar"), ("(v_0", "outside grammar"),
+        ("v_0)", "outside grammar"), ("v_0 +", "outside grammar"), ("1_000", "outside grammar"), ("v_0 > 1", "outside grammar"), ("007", "outside grammar"),
+        ("v_0 + 1" + "0" * 401, "number out of range"), ("v_0 + 1e999", "number out of range"), ("v_0 + 1/0", "divides by zero"), ("()", "outside grammar"),
+    ],
+)
+def test_bad_formulas_have_a_reason(text, reason):
+    assert ar._translated(text) == {"program": None, "reason": reason}
