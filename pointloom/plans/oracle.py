@@ -301,6 +301,36 @@ def _arg(i: int) -> str:
     return f"regexp_replace(trim({_ARGS}[{i}]), '^[''\"‘’“”]|[''\"‘’“”]$', '', 'g')"
 
 
+# point -> (expr if not 'a', names in order of first use) of its text as a same-device formula
+_SAME_DEVICE: dict[str, tuple[str | None, list[str]]] = {
+    "revenue": ("'a*b + a/2'", ["purchase", "price"]), "mix": ("'(a+b)/2'", ["a", "b"]), "cross": ("'a-b*0.5'", ["a", "b"]),
+    "chain": ("'a*2 - b'", ["r", "p"]), "weighted": ("'a*b/100'", ["s", "c"]), "ratio": ("'a/(b-1)'", ["e", "bit"]),
+    "price": ("coalesce(try_cast(formula AS json) ->> '$.formula', formula)", []), "signup": ("'12'", []), "blank": ("' '", []),
+    "broken": ("'{\"a\":'", ["formula"]),
+    **{k: (None, [v]) for k, v in {
+        "plain": "price", "chainDay": "DAY_DIFF", "clickDay": "click", "week": "click", "clickMonth": "click", "clickYear": "click", "viewHour": "view",
+        "viewAll": "view", "purStat": "purchase", "errBit": "error", "short": "error", "bad": "x", "plantSum": "BUILDING", "plantAvg": "BUILDING", "noModel": "NOPE",
+    }.items()},
+}
+
+
+def _same_device(i: int) -> str:
+    def deps(names: list[str]) -> str:
+        return "concat(" + ", ".join([f"'{';' if k else ''}{chr(97 + k)}=', object_id, '.{n}'" for k, n in enumerate(names)] or ["''"]) + ")"
+
+    return " ".join(f"WHEN data_code = '{c}' THEN {expr if i == 0 else deps(names)}" for c, (expr, names) in _SAME_DEVICE.items() if i or expr)
+
+
+# rules that list operands: code -> what must be present, values of its operands
+_FIRES = {
+    "mix": ("click IS NOT NULL OR view IS NOT NULL", "k_click", "k_view"), "ratio": ("error IS NOT NULL", "k_error", "k_error"),
+    "weighted": ("click IS NOT NULL OR signup IS NOT NULL", "k_signup", "k_click"), "revenue": ("purchase IS NOT NULL", "NULL", "NULL"),
+    "chain": ("purchase IS NOT NULL", "NULL", "NULL"),
+    **{c: (f"{t} IS NOT NULL", f"k_{t}", None) for c, t in {
+        "clickDay": "click", "clickMonth": "click", "clickYear": "click", "viewHour": "view", "viewAll": "view", "purStat": "purchase", "errBit": "error",
+    }.items()},
+}
+
 _BITS = "CASE WHEN seq % 2 = 0 THEN -value ELSE value END"
 _FUNCTION_POINTS = "('clickDay', 'viewHour', 'viewAll', 'clickMonth', 'clickYear', 'purStat', 'errBit', 'chainDay')"
 _ASOF = "FROM probes p ASOF LEFT JOIN history h ON p.company_id = h.company_id AND p.device_id = h.device_id AND p.property_name = h.property_name AND p.ts_ms >= h.timestamp"
@@ -372,9 +402,7 @@ ALL: dict[str, str] = {
         f"CASE WHEN len({_ARGS}) > 1 THEN {_arg(2)} END AS arg1 FROM points WHERE regexp_full_match(formula, '[a-zA-Z0-9_]+\\s*\\(.*\\)')"
     ),
     "compile_same_device": with_(**CONFIG) + (
-        "SELECT data_id, CASE data_code WHEN 'revenue' THEN 'a*b + a/2' ELSE 'a' END AS expr, CASE data_code WHEN 'revenue' THEN "
-        "concat('a=', object_id, '.purchase;b=', object_id, '.price') WHEN 'plain' THEN concat('a=', object_id, '.price') ELSE "
-        "concat('a=', object_id, '.purchase') END AS depends_on FROM points WHERE data_code IN ('revenue', 'plain', 'purStat')"
+        f"SELECT data_id, CASE {_same_device(0)} ELSE 'a' END AS expr, CASE {_same_device(1)} END AS depends_on FROM points WHERE formula IS NOT NULL"
     ),
     "compile_functions": with_(**CONFIG_RULES) + (
         "SELECT data_id, expr, expr_type, concat(depends_on ->> '$[0].var', '=', depends_on ->> '$[0].device_code', '.', depends_on ->> '$[0].point_code') AS depends_on, "
@@ -400,16 +428,20 @@ ALL: dict[str, str] = {
         "SELECT DISTINCT r.company_id, r.device_code, r.point_code, p.model_code FROM rules r JOIN "
         "(SELECT object_id, data_code, CASE data_code WHEN 'noModel' THEN 'NOPE' ELSE 'BUILDING' END AS model_code FROM points WHERE data_code IN ('plantSum', 'plantAvg', 'noModel')) p "
         "ON r.point_code = p.data_code AND r.device_code = concat('P', p.object_id) JOIN "
-        "(SELECT unnest([parent_id, (parent_id + 1) % 10 + 1]) AS parent, m.object_code AS model_code FROM objects o JOIN models m USING (model_id) WHERE o.parent_id IS NOT NULL AND o.object_id % 5 = 0) t "
+        "(SELECT unnest(CASE WHEN o.object_id % 5 = 0 THEN [parent_id, (parent_id + 1) % 10 + 1] ELSE [parent_id] END) AS parent, m.object_code AS model_code FROM objects o JOIN models m USING (model_id) WHERE o.parent_id IS NOT NULL) t "
         "ON t.parent = p.object_id AND t.model_code = p.model_code"
     ),
-    "trigger_rules": with_(**BASE) + (
-        "SELECT tick_ms, company_id, device_id AS device_code, 'mix' AS point_code FROM known WHERE click IS NOT NULL OR view IS NOT NULL UNION ALL "
-        "SELECT tick_ms, company_id, device_id, 'ratio' FROM known WHERE error IS NOT NULL"
+    "trigger_rules": with_(**BASE, **CROSS) + " UNION ALL ".join(
+        [f"SELECT tick_ms, company_id, device_id AS device_code, '{c}' AS point_code FROM known WHERE {fires}" for c, (fires, _, _) in _FIRES.items()]
+        + ["SELECT tick_ms, company_id, device_id, 'cross' FROM cross_wide"]
     ),
-    "bind_variables": with_(**BASE) + (
-        "SELECT tick_ms, company_id, device_id AS device_code, 'mix' AS point_code, k_click AS v_0, k_view AS v_1 FROM known WHERE (click IS NOT NULL OR view IS NOT NULL) AND k_click IS NOT NULL AND k_view IS NOT NULL UNION ALL "
-        "SELECT tick_ms, company_id, device_id, 'ratio', k_error, k_error FROM known WHERE error IS NOT NULL"
+    "bind_variables": with_(**BASE, **CROSS) + " UNION ALL ".join(
+        [
+            f"SELECT tick_ms, company_id, device_id AS device_code, '{c}' AS point_code, cast({a} AS double) AS v_0, cast({b or 'NULL'} AS double) AS v_1 "
+            f"FROM known WHERE ({fires}) AND {a} IS NOT NULL" + (f" AND {b} IS NOT NULL" if b else "")
+            for c, (fires, a, b) in _FIRES.items()
+        ]
+        + ["SELECT tick_ms, company_id, device_id, 'cross', a, b FROM cross_known WHERE a IS NOT NULL AND b IS NOT NULL"]
     ),
     "constant_points": with_(**BASE) + (
         f"SELECT tick_ms, company_id, device_id, 'price' AS property_name, cast({PRICE} AS double) AS value FROM known UNION ALL "
@@ -417,8 +449,8 @@ ALL: dict[str, str] = {
     ),
     "arithmetic_formulas": with_(**LIVE_RULES, telemetry=telemetry(), devs="SELECT cast(company_id AS varchar) AS company_id, object_code AS device_id FROM objects WHERE parent_id IS NOT NULL") + (
         f"SELECT seq, point_code, {rnd('result')} AS result FROM (SELECT seq, point_code, CASE point_code WHEN 'mix' THEN (value + seq % 3) / 2 WHEN 'cross' THEN value - (seq % 3) * 0.5 "
-        "WHEN 'weighted' THEN value * (seq % 3) / 100 WHEN 'ratio' THEN CASE WHEN seq % 3 <> 1 THEN value / (seq % 3 - 1) END END AS result "
-        "FROM telemetry JOIN devs USING (company_id, device_id), (VALUES ('mix'), ('cross'), ('weighted'), ('ratio')) p(point_code)) WHERE result IS NOT NULL"
+        "WHEN 'weighted' THEN value * (seq % 3) / 100 WHEN 'ratio' THEN CASE WHEN seq % 3 <> 1 THEN value / (seq % 3 - 1) END WHEN 'revenue' THEN value * (seq % 3) + value / 2 WHEN 'chain' THEN value * 2 - seq % 3 END AS result "
+        "FROM telemetry JOIN devs USING (company_id, device_id), (VALUES ('mix'), ('cross'), ('weighted'), ('ratio'), ('revenue'), ('chain')) p(point_code)) WHERE result IS NOT NULL"
     ),
     "bit_at": with_(telemetry=telemetry()) + (
         f"SELECT seq, cast(bit AS int) AS bit, cast((cast(floor(abs(value)) AS bigint) * sign({_BITS})::bigint >> (bit - 1)::bigint) & 1 AS double) AS bit_value FROM telemetry, range(1, 10) r(bit)"

@@ -224,9 +224,11 @@ def parse_call_query(spark, d):
 
 @query
 def compile_same_device_query(spark, d):
-    """The products of two quantities and the arithmetic texts of the point table, as same-device formulas."""
-    rows = sample.point_conf(spark, d).where(F.col("data_code").isin("revenue", "plain", "purStat"))
-    text = F.coalesce(F.get(parse_call(F.col("formula"))["args"], F.lit(0)), F.col("formula"))
+    """The text of every point with a formula (first argument, formula field, or all of it) as a same-device formula."""
+    rows = sample.point_conf(spark, d).where(F.col("formula").isNotNull())
+    text = F.coalesce(
+        F.get(parse_call(F.col("formula"))["args"], F.lit(0)), F.get_json_object("formula", "$.formula"), F.col("formula")
+    )
     rows = rows.withColumn("c", compile_same_device(text, F.col("company_id"), F.col("object_id").cast("string")))
     return rows.select("data_id", "c.expr", listed(F.col("c.depends_on")).alias("depends_on"))
 
@@ -275,8 +277,9 @@ def upsert_rules_query(spark, d):
 
 @query
 def affected_rules(spark, d):
-    moved = sample.object_changes(spark, d).where(F.col("op") == "u")
-    images = moved.select(F.from_json("before", OBJECT).alias("o")).unionByName(moved.select(F.from_json("after", OBJECT).alias("o"))).select("o.parent_id", "o.model_id")
+    records = sample.object_changes(spark, d)
+    images = records.select(F.explode(F.array("before", "after")).alias("image")).where(F.col("image").isNotNull())
+    images = images.select(F.from_json("image", OBJECT).alias("o")).select("o.parent_id", "o.model_id")
     compiled = compiler.compile_points(sample.point_conf(spark, d), sample.objects(spark, d))
     return topology.affected_rules(images, sample.models(spark, d), compiler.rollup_watches(compiled)).select(
         F.col("company_id").cast("string").alias("company_id"), "device_code", "point_code", "model_code"
@@ -285,9 +288,9 @@ def affected_rules(spark, d):
 
 # ---- rules on telemetry ---------------------------------------------------------------------------------------
 def _formula_deps(spark, d) -> DataFrame:
-    """Operands of the same-device formula rules `mix` and `ratio`."""
-    rules = engine.active_rules(_rules(spark, d)).where(F.col("point_code").isin("mix", "ratio"))
-    return engine.operands(rules).withColumn("n_required", F.lit(2))
+    """Operands of all rules that list any."""
+    deps = engine.operands(engine.active_rules(_rules(spark, d)))
+    return deps.join(deps.groupBy(*RULE_KEY).agg(F.count("*").cast("int").alias("n_required")), RULE_KEY)
 
 
 @query
@@ -309,7 +312,7 @@ def constant_points(spark, d):
 @query
 def arithmetic_formulas(spark, d):
     """Formulas of the rule table over pairs of quantities: every event's value and its successor number."""
-    rules = _rules(spark, d).where((F.col("expr_type") == 0) & F.col("point_code").isin("mix", "ratio", "cross", "weighted"))
+    rules = _rules(spark, d).where(F.col("expr_type") == 0)
     variables = F.transform(F.from_json("depends_on", compiler.DEPS), lambda v: v["var"])
     texts = rules.select(
         F.col("company_id"), F.col("device_code").alias("device_id"), "point_code",
