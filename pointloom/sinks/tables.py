@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,16 @@ def derived_to_kafka(messages: DataFrame, topic: str, servers: str, checkpoint:
     )
 
 
+def kafka_writer(topic: str, servers: str, **options: str) -> Callable[[DataFrame, int], None]:
+    """Writes a batch's messages (`value`) to Kafka, keyed by device; a batch that runs again sends them again."""
+
+    def write(messages: DataFrame, batch_id: int) -> None:
+        keyed = messages.select(F.concat_ws("/", "company_id", "device_id").alias("key"), "value")
+        keyed.write.format("kafka").options(**{**PRODUCER, "kafka.bootstrap.servers": servers, "topic": topic, **options}).save()
+
+    return write
+
+
 def preview(df: DataFrame, rows: int = 20):
     """Print results: a console query for a stream, the first rows of a batch."""
     if df.isStreaming:

@@ -11,7 +11,7 @@ _CORRUPT = {"columnNameOfCorruptRecord": "_bad"}
 
 
 def read_telemetry(spark: SparkSession, fmt: str = "kafka", path: str | None = None, **options: str) -> DataFrame:
-    """Stream of raw messages with one column `value`.
+    """Stream of raw messages with the column `value`; from Kafka also `partition` and `offset`, the order of arrival.
 
     Kafka: pass `kafka_bootstrap_servers`, `subscribe` and any other source option; a new query starts at the
     latest offsets. Other formats (text, parquet) stream the files below `path`.
@@ -20,7 +20,7 @@ def read_telemetry(spark: SparkSession, fmt: str = "kafka", path: str | None = N
         defaults = {"startingOffsets": "latest"}
         renamed = {("kafka.bootstrap.servers" if k == "kafka_bootstrap_servers" else k): v for k, v in options.items()}
         df = spark.readStream.format("kafka").options(**{**defaults, **renamed}).load()
-        return df.select(F.col("value").cast("string").alias("value"))
+        return df.select(F.col("value").cast("string").alias("value"), "partition", "offset")
     reader = spark.readStream.format(fmt).options(**options)
     if fmt != "text":
         reader = reader.schema("value STRING")
@@ -168,9 +168,15 @@ def rejects(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def to_readings(points: DataFrame, seq: Column | None = None) -> DataFrame:
-    """POINT rows as READING rows. `seq` numbers the arrivals; readings of one millisecond are ordered by it."""
+    """POINT rows as READING rows. `seq` numbers the arrivals; readings of one millisecond are ordered by it.
+
+    Without `seq` it is the message's `offset` where there is one: messages of a device are keyed alike, so they come in
+    one partition, in which offsets tell their order.
+    """
+    if seq is None:
+        seq = F.col("offset") if "offset" in points.columns else F.lit(0)
     return points.select(
-        (F.lit(0) if seq is None else seq).cast("bigint").alias("seq"),
+        seq.cast("bigint").alias("seq"),
         "company_id", "device_id", "project_id", "gateway_code", "property_name",
         F.col("property_num_value").alias("value"), "ts_ms",
     )

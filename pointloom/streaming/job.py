@@ -16,7 +16,9 @@ from pointloom.plans.engine import RuleSet, calculate, prepare_rules, with_perio
 from pointloom.plans.lineage import materialize
 from pointloom.plans.registry import ARITHMETIC, CALCULATIONS
 from pointloom.schemas import MINUTE_MS, RULE_KEY, SERIES, TICK, WINDOW_SLOTS, struct
+from pointloom.sinks.encode import encode_envelope
 from pointloom.sinks.tables import VersionedTable, write_derived
+from pointloom.sources.telemetry import decode, to_readings
 from pointloom.streaming.snapshots import stream_snapshots, stream_ticks
 from pointloom.streaming.state import stream_device_state
 
@@ -87,9 +89,12 @@ def derive_batch(
 def batch_function(
     spark: SparkSession, rules: Loader, out_path: str, state_path: str, objects: Loader | None = None,
     models: Loader | None = None, tz: str = "UTC", slide_ms: int = MINUTE_MS, width: int = WINDOW_SLOTS,
+    write: Callable[[DataFrame, int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The foreachBatch function. Rules are loaded anew each time, so a changed rule counts from the next batch on.
 
+    `write` gets each batch's derived points once they are stored, for a sink of its own (`sinks.tables.kafka_writer`).
+
     All it keeps is in tables versioned by batch: a batch that runs again starts from the same state and replaces
     what it wrote.
     """
@@ -106,6 +111,8 @@ def batch_function(
         derived, carried = derive_batch(ticks, rs, before, carry.read(before=batch_id), tz, slide_ms, width)
         write_derived(derived, out_path, batch_id)
         results = spark.read.schema(derived.schema).parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        if write:
+            write(results, batch_id)
         # only series that are operands of formulas or roll-ups need to be remembered
         remembered = rs.deps.join(rs.rules.where((F.col("kind") == ARITHMETIC) | (F.col("route") == "rollup") | (F.col("level") > 0) | (F.col("n_deps") > 1)), RULE_KEY, "left_semi").select(
             "company_id", F.col("dep_device_code").alias("device_id"), F.col("dep_point_code").alias("property_name")
@@ -122,12 +129,23 @@ def batch_function(
 
 def derive_stream(
     readings: DataFrame, rules: Loader, out_path: str, state_path: str, checkpoint: str, objects: Loader | None = None,
-    models: Loader | None = None, tz: str = "UTC", delay: str = "30 seconds",
+    models: Loader | None = None, tz: str = "UTC", delay: str = "30 seconds", write: Callable[[DataFrame, int], None] | None = None,
 ) -> DataStreamWriter:
     """The whole job over a stream of readings; call `.trigger(...).start()` on the result.
 
     Needs the RocksDB state store: spark.sql.streaming.stateStore.providerClass.
     """
     ticks = stream_device_state(stream_ticks(stream_snapshots(readings, delay)), tz)
-    run = batch_function(readings.sparkSession, rules, out_path, state_path, objects, models, tz)
+    run = batch_function(readings.sparkSession, rules, out_path, state_path, objects, models, tz, write=write)
     return ticks.writeStream.outputMode("append").foreachBatch(run).option("checkpointLocation", checkpoint)
+
+
+def telemetry_stream(
+    raw: DataFrame, rules: Loader, out_path: str, state_path: str, checkpoint: str, write: Callable[[DataFrame, int], None], **options
+) -> DataStreamWriter:
+    """From raw messages (`sources.telemetry.read_telemetry`) to result messages: `write` gets each batch's messages."""
+
+    def encoded(derived: DataFrame, batch_id: int) -> None:
+        write(encode_envelope(derived), batch_id)
+
+    return derive_stream(to_readings(decode(raw)), rules, out_path, state_path, checkpoint, write=encoded, **options)

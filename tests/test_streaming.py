@@ -1,5 +1,6 @@
 """Stream against batch, late rows, restart from the checkpoint."""
 
+import json
 import time
 
 from helpers import MIN, T0, readings, results, rule, rules
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 from pointloom.operators.snapshot import latest_snapshot, snapshot_ticks
 from pointloom.plans.engine import derive
 from pointloom.schemas import READING
-from pointloom.streaming.job import derive_stream
+from pointloom.sources.telemetry import decode, to_readings
+from pointloom.streaming.job import derive_stream, telemetry_stream
 from pointloom.streaming.snapshots import stream_snapshots
 
 FAR = 10 * 24 * 60 * MIN
@@ -112,6 +114,33 @@ def test_changed_rule_counts_from_the_next_batch(spark, tmp_path):
     assert {v for (t, _, _), v in got.items() if t > 40} == {101.0}
 
 
+def test_from_messages_to_messages(spark, tmp_path):
+    """Readings of one millisecond are ordered by offset; results come out as messages of all devices and function rules."""
+    def message(device, name, value, ms):
+        body = {"meter": device, "datas": [{"nm": name, "v": value, "ts": (T0 + ms) // 1000}]}
+        return json.dumps({"topic": "/data/x/y/gw/396/161", "payload": json.dumps(body)})
+
+    sent = [("D0", "a", 1, 0), ("D0", "a", 5, 0), ("D1", "b", 2, 30_000), ("D0", "a", 7, 20 * MIN), ("D1", "b", 4, 21 * MIN), ("S", "s", 0, FAR)]
+    rows = [(message(*m), 0, i) for i, m in enumerate(sent)]
+    spark.createDataFrame(rows, "value STRING, partition INT, offset BIGINT").coalesce(1).write.parquet(str(tmp_path / "in"))
+    raw = spark.readStream.schema("value STRING, partition INT, offset BIGINT").parquet(str(tmp_path / "in"))
+    table = rules(spark, rule("x", "a+b", [("a", "D0", "a"), ("b", "D1", "b")]), rule("h", "HOUR_DIFF", [("a", "D0", "a"), ("b", "D1", "b")], 1))
+    out: list = []
+    job = telemetry_stream(
+        raw, lambda s: table, str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "cp"), lambda m, i: out.extend(r.value for r in m.collect())
+    )
+    run(job)
+    got = {}
+    for text in out:
+        payload = json.loads(json.loads(text)["payload"])
+        for d in payload["datas"]:
+            got[(int(payload["mid"].split("-")[1]), payload["meter"], d["nm"])] = d["v"]
+    readings_of = to_readings(decode(spark.createDataFrame(rows, "value STRING, partition INT, offset BIGINT")))
+    want = {(r.tick_ms, r.device_id, r.property_name): r.value for r in derive(readings_of, table).collect()}
+    assert got == want and got[(T0 + MIN, "D0", "x")] == 7.0
+    assert {v for (_, _, p), v in got.items() if p == "h"} == {0.0, 2.0}
+
+
 def test_ticks_of_stream_and_batch_share_the_function(spark):
     r = readings(spark, [("D0", "a", 1, 0)])
     assert snapshot_ticks(r).columns == ["tick_ms", "snapshot_ms", "company_id", "device_id", "property_name", "value"]
