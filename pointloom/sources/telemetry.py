@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pointloom.functions.once import with_once
 from pointloom.schemas import ENVELOPE, FLAT_POINT, PAYLOAD, POINT
 
 _CORRUPT = {"columnNameOfCorruptRecord": "_bad"}
@@ -46,14 +47,18 @@ def lenient_long(text: Column) -> Column:
     return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def _parsed(raw: DataFrame, value_col: str) -> DataFrame:
-    """Adds the parsed forms and `route`: envelope, flat, or the reason for a reject."""
+def _parsed(raw: DataFrame, value_col: str, once: bool = True) -> DataFrame:
+    """Adds the parsed forms and `route`: envelope, flat, or the reason for a reject.
+
+    `once`: for uses that filter by route, which would otherwise repeat the parsing for each mention of it.
+    """
+    add = with_once if once else DataFrame.withColumn
     value = F.col(value_col)
     nested = value.rlike(r'"payload"\s*:\s*[\{\[]')
-    df = raw.withColumn("_msg", F.from_json(value, ENVELOPE, _CORRUPT))
+    df = add(raw, "_msg", F.from_json(value, ENVELOPE, _CORRUPT))
     has_payload = F.coalesce(F.col("_msg.payload"), F.lit("")) != ""
-    df = df.withColumn("_body", F.when(has_payload & ~nested, F.from_json("_msg.payload", PAYLOAD, _CORRUPT)))
-    df = df.withColumn("_flat", F.when(~has_payload, F.from_json(value, FLAT_POINT, _CORRUPT)))
+    df = add(df, "_body", F.when(has_payload & ~nested, F.from_json("_msg.payload", PAYLOAD, _CORRUPT)))
+    df = add(df, "_flat", F.when(~has_payload, F.from_json(value, FLAT_POINT, _CORRUPT)))
     flat_number_bad = F.lit(False)
     for name, typ in (
         ("property_num_value", "double"), ("timestamp", "bigint"), ("create_date", "bigint"), ("data_date", "bigint"),
@@ -122,7 +127,7 @@ def decode_flat(raw: DataFrame, value_col: str = "value") -> DataFrame:
 def decode(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """All points of a mixed message table, each message parsed once."""
     keep = _keep(raw, value_col)
-    parsed = _parsed(raw, value_col)
+    parsed = _parsed(raw, value_col, once=False)  # its explode already keeps parsing in one place
     t = topic_fields(F.col("_msg.topic"))
     empty = F.array().cast("array<struct<nm:string,v:string,ts:string>>")
     flat = F.col("_route") == "flat"
