@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy step takes at once; with its 8-byte arrays it stays below about 100 MB.
@@ -38,6 +39,11 @@ def materialize(df: DataFrame, name: str = "part") -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Python workers of this machine also find this package from then on, wherever they start."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -68,10 +74,6 @@ def map_texts(
     return inner.mapInArrow(run, schema)
 
 
-def both_null_or_equal(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of each node of `edges` (a, b): equal roots exactly for connected nodes.
 

@@ -143,4 +143,4 @@ def op9_token_counts(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_tokens over a byte-level vocabulary of 50,256 entries."""
     import public_tokenizers
 
-    return token_counts(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return token_counts(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), keep=["doc_id"])
