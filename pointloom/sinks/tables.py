@@ -97,10 +97,17 @@ def upsert_rule_table(spark: SparkSession, path: str, order: str = "seq"):
     return apply
 
 
+def merge_statement(target: str, staging: str) -> str:
+    """The statement that merges the staging table into the rule table, whose unique key is RULE_KEY (MySQL's form)."""
+    names = RULE.fieldNames()
+    set_ = ", ".join(f"{c} = VALUES({c})" for c in names if c not in RULE_KEY)
+    return f"INSERT INTO {target} ({', '.join(names)}) SELECT {', '.join(names)} FROM {staging} ON DUPLICATE KEY UPDATE {set_}"
+
+
 def jdbc_upsert(updates: DataFrame, staging_table: str, order: str = "seq", **options: str) -> None:
     """Load the newest update of each rule into a staging table over JDBC.
 
-    The database then merges it with one statement, e.g. INSERT .. SELECT .. ON DUPLICATE KEY UPDATE.
+    The database then merges it by `merge_statement`.
     """
     rows = newest(updates, RULE_KEY, order).select(*RULE.fieldNames())
     rows.write.format("jdbc").options(**{"batchsize": "10000", **options, "dbtable": staging_table}).mode("overwrite").save()

@@ -142,3 +142,14 @@ def test_history_is_pruned_by_partition_and_time(spark, sf_dir, tmp_path):
 def test_kafka_reader_only_needs_its_jar(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         telemetry.read_telemetry(spark, kafka_bootstrap_servers="localhost:1", subscribe="t")
+
+
+def test_merge_statement_names_every_column_once():
+    from pointloom.sinks.tables import merge_statement
+
+    assert merge_statement("rule", "stage") == (
+        "INSERT INTO rule (company_id, device_code, point_code, point_type, value_type, expr_type, expr, depends_on, params, enabled) "
+        "SELECT company_id, device_code, point_code, point_type, value_type, expr_type, expr, depends_on, params, enabled FROM stage "
+        "ON DUPLICATE KEY UPDATE point_type = VALUES(point_type), value_type = VALUES(value_type), expr_type = VALUES(expr_type), "
+        "expr = VALUES(expr), depends_on = VALUES(depends_on), params = VALUES(params), enabled = VALUES(enabled)"
+    )
