@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pointloom.llm.chunks import write_chunks
 from pointloom.llm.common import STEP_BYTES, components, map_texts, materialize
 from pointloom.llm.links import forest
 from pointloom.llm.textbytes import LOWER, SPACE, encode, mix, parts, words
@@ -266,17 +267,22 @@ def distinct_documents(docs: DataFrame, width: int = 5, distance: int = WIDE_DIS
     are one group.
     """
     words64 = [f"_fp{k}" for k in range(WIDE_WORDS)]
+    columns = docs.columns
+    others = [c for c in columns if c not in ("doc_id", "text")]
+    if not others:  # a struct needs a field
+        return distinct_documents(docs.withColumn("_none", F.lit(None).cast("int")), width, distance).select("doc_id", "text")
 
     def run(texts) -> list[pa.Array]:
         fp = wide_fingerprints(encode(texts), width).view(np.int64)
         return [pa.array(np.ascontiguousarray(fp[:, k])) for k in range(WIDE_WORDS)]
 
     marked = map_texts(docs, "text", run, ", ".join(f"{c} long" for c in words64))
-    rows = materialize(marked.withColumns({"_node": F.xxhash64(*words64), "_row": F.monotonically_increasing_id()}), "marked")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("best")
-    nodes = materialize(
-        rows.groupBy(F.col("_node").alias("node")).agg(best, *[F.min(c).alias(c) for c in words64]), "nodes"
+    chunks, _ = write_chunks(marked.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("_rest"), "doc_id", "text", *words64), "text")
+    rows = chunks.select("chunk", F.posexplode("row").alias("at", "r")).select(
+        F.xxhash64(*[f"r.{c}" for c in words64]).alias("node"), *[F.col(f"r.{c}").alias(c) for c in words64],
+        F.struct(F.col("r.doc_id").isNull().alias("none"), F.col("r.doc_id").alias("doc_id"), "chunk", "at").alias("place"),
     )
+    nodes = materialize(rows.groupBy("node").agg(F.min("place").alias("best"), *[F.min(c).alias(c) for c in words64]), "nodes")
     places = block_places(nodes.count())
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,5 +301,20 @@ def distinct_documents(docs: DataFrame, width: int = 5, distance: int = WIDE_DIS
     roots = components(links_by_block(keyed, words64, distance))
     kept = nodes.select("node", "best").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(
         F.min("best").alias("best")
-    ).select(F.col("best._row").alias("_row"))
-    return rows.join(materialize(kept, "kept"), "_row", "left_semi").select(*docs.columns)
+    ).groupBy(F.col("best.chunk").alias("chunk")).agg(F.collect_list("best.at").alias("kept"))  # at most the rows of a chunk
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            column = lambda c: b.column(b.schema.get_field_index(c))  # noqa: E731, B023
+            for i in range(b.num_rows):
+                at = sorted(column("kept")[i].as_py())
+                sizes = np.frombuffer(column("sizes")[i].as_py(), dtype=np.int32)
+                stop = np.cumsum(np.maximum(sizes, 0)).tolist()
+                body, rows = column("body")[i].as_py(), column("row")[i].values.take(pa.array(at))
+                texts = [None if sizes[k] < 0 else body[stop[k] - sizes[k] : stop[k]].decode() for k in at]
+                made = {"doc_id": rows.field("doc_id"), "text": pa.array(texts, pa.string())}
+                rest = rows.field("_rest")
+                yield pa.RecordBatch.from_arrays([made[c] if c in made else rest.field(c) for c in columns], names=columns)
+
+    joined = chunks.join(materialize(kept, "kept"), "chunk").select("chunk", "sizes", "body", "row", "kept")
+    return joined.mapInArrow(take, docs.schema)

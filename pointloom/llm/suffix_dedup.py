@@ -8,7 +8,7 @@ Where which strings meet. In every string of `length` bytes, the gram (short sub
 strings have anchors of equal hash. The starts that share one anchor are neighbours, and the bytes of their strings are
 the anchor's context. So strings can only be equal inside contexts of one anchor hash, and:
 
-1. Texts are gathered into chunks of about CHUNK bytes, written once, bucketed by chunk, and never shuffled.
+1. Texts are gathered into chunks (module chunks), written once, bucketed by chunk, and never shuffled.
 2. Each chunk sends, by anchor hash, the hash of each context (its first copy in the chunk only). A hash that comes once
    needs no more. Whole copies of an earlier context are duplicates in all their starts: this is the pre-aggregation that
    keeps copies, however many, out of what follows.
@@ -24,24 +24,20 @@ first bytes, so that a passage in a third of all documents doesn't meet in one t
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
 from pointloom.llm.bwt import equal_prefix_groups
-from pointloom.llm.common import STEP_BYTES, materialize, new_path
+from pointloom.llm.chunks import write_chunks
+from pointloom.llm.common import STEP_BYTES, materialize
 from pointloom.llm.textbytes import BASE, INVERSE, U64, mix, parts, powers, windows8
 
 LENGTH = 100
-#: Bytes of text in a chunk, in a segment of a very long text, in a bucket of anchors, and in one transform.
-CHUNK = 1 << 21
+#: Bytes of text in a segment of a very long text, in a bucket of anchors, and in one transform.
 SEGMENT = 1 << 19
 BUCKET = 1 << 24
 BIN = 1 << 20
@@ -194,62 +190,6 @@ def _ids(column: pa.Array) -> np.ndarray:
     return column.cast(pa.int64()).fill_null(-(2**63)).to_numpy(zero_copy_only=False)
 
 
-def write_chunks(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int, int]:
-    """(chunk long, row array<struct of all other columns>, sizes binary, body binary), bytes of text, buckets of the table."""
-    spark = docs.sparkSession
-    others = [c for c in docs.columns if c != text]
-    flat = docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text}`").cast("string").alias("_body"))
-    total = flat.agg(F.sum(F.octet_length("_body"))).first()[0] or 0
-    plain = flat.drop("_body").schema
-    out = spark.createDataFrame([], "chunk long, sizes binary, body binary").schema.add("row", ArrayType(plain))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, n = TaskContext.get().partitionId(), 0
-        held: list[pa.RecordBatch] = []
-        size = 0
-
-        def chunk() -> pa.RecordBatch:
-            nonlocal n
-            t = pa.Table.from_batches(held).combine_chunks()
-            body = t.column("_body").cast(pa.binary()).to_pylist()
-            sizes = np.array([-1 if x is None else len(x) for x in body], dtype=np.int32)
-            rows = pa.StructArray.from_arrays(
-                [pa.concat_arrays(t.column(c).chunks) for c in others], fields=[t.schema.field(c) for c in others]
-            )
-            n += 1
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([task << 32 | (n - 1)], pa.int64()), pa.array([sizes.tobytes()], pa.binary()),
-                    pa.array([b"".join(x or b"" for x in body)], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
-                ],
-                names=out.names,
-            )
-
-        for batch in batches:
-            length = pc.binary_length(batch.column(batch.num_columns - 1)).fill_null(0).to_numpy(zero_copy_only=False)
-            start = 0
-            for i in range(batch.num_rows):
-                size += int(length[i])
-                if size >= CHUNK:
-                    held.append(batch.slice(start, i + 1 - start))
-                    yield chunk()
-                    held, size, start = [], 0, i + 1
-            if start < batch.num_rows:
-                held.append(batch.slice(start))
-        if held:
-            yield chunk()
-
-    buckets = int(min(50_000, max(8, total >> 24)))
-    name = f"llm_chunks_{uuid.uuid4().hex}"
-    (
-        flat.mapInArrow(run, out).write.bucketBy(buckets, "chunk").sortBy("chunk").format("parquet")
-        .option("path", new_path(spark, "chunks")).option("compression", "zstd").option("parquet.block.size", str(1 << 24))
-        .option("parquet.page.size.row.check.min", "1").saveAsTable(name)
-    )
-    return spark.table(name), int(total), buckets
-
-
 def _chunk_of(batch: pa.RecordBatch, i: int, doc_id: str, length: int) -> Chunk:
     rows = batch.column(batch.schema.get_field_index("row"))[i].values
     sizes = np.frombuffer(batch.column(batch.schema.get_field_index("sizes"))[i].as_py(), dtype=np.int32)
@@ -491,7 +431,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: s
     lower = {n.lower() for n in names} | {text.lower()}
     others = [c for c in docs.columns if c.lower() not in lower]
     source = docs.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text}`"))
-    chunks, total, _ = write_chunks(source, doc_id, text)
+    chunks, total = write_chunks(source, text)
     buckets = max(8, -(-total // BUCKET))
     codes = materialize(anchor_codes(chunks, doc_id, length, buckets), "codes")
     sent = materialize(contexts_and_plans(chunks, codes, doc_id, length, buckets), "contexts")

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from pointloom.llm import chunks
 from pointloom.llm import suffix_dedup as S
 from pointloom.llm.bwt import equal_prefix_groups
 
@@ -79,7 +80,7 @@ def test_equals_brute_force(spark, monkeypatch, length):
     rng = random.Random(length)
     rows = list(zip(rng.sample(range(-50, 5000), 120), hard_texts(rng, 120)))
     rows[0] = (None, rows[0][1])
-    monkeypatch.setattr(S, "CHUNK", 3000)
+    monkeypatch.setattr(chunks, "CHUNK", 3000)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in S.dedup(df, length).collect()}
     assert got == brute(rows, length)
