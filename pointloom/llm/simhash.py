@@ -218,11 +218,8 @@ def op8_simhash(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame
     )
 
 
-#: The stage's fingerprint: words of 64 bits, and the bits that may differ. Similar texts (0.8 of their shingles) differ
-#: in 39 of 256 bits on average, texts of similarity 0.7 in 49, others in about 128.
+#: Fingerprints of 256 bits and a distance for estimates of similarity; the stage itself compares shingles.
 WIDE_WORDS, WIDE_DISTANCE = 4, 47
-#: Share of pairs of similarity 0.8 that may share no block.
-MISSED = 0.05
 
 
 def wide_fingerprints(texts: list[bytes], width: int) -> np.ndarray:
@@ -244,61 +241,161 @@ def wide_fingerprints(texts: list[bytes], width: int) -> np.ndarray:
     return out
 
 
-def block_places(n: int) -> np.ndarray:
-    """(table, bit): which bits of a wide fingerprint make each block.
+#: Near copies have at least NEAR[0] / NEAR[1] of their distinct shingles in common (Jaccard).
+NEAR = (4, 5)
+#: Each of TABLES keys of a text joins the least of LEASTS hash functions over its shingles. A pair of similarity s shares
+#: none with probability (1 - s^LEASTS)^TABLES: 0.00006 at 0.8, less above, at any number of texts.
+TABLES, LEASTS = 32, 6
+#: Most texts of either side whose shingles are compared in memory at once.
+PART = 1024
 
-    Blocks are cut from shuffles of all bits, each shuffle used up before the next. They are wide enough for about eight
-    of n unrelated fingerprints a block, and as many that pairs of similarity 0.8 share one but for MISSED of them. Within one
-    shuffle, pairs with fewer differing bits than it has blocks always share one.
+
+def shingle_sets(texts: list[bytes], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For parts of the texts: (distinct shingle hashes, ascending in each text; where each text begins, and the end)."""
+    for s in parts([len(t) for t in texts], STEP_BYTES):
+        held = texts[s]
+        hashes, owner = shingle_hashes(held, width)
+        order = np.lexsort((hashes, owner))
+        hashes, owner = hashes[order], owner[order]
+        new = np.ones(len(hashes), dtype=bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+        yield hashes[new], np.searchsorted(owner[new], np.arange(len(held) + 1))
+
+
+def set_keys(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each text's shingle set, its TABLES keys); texts without words have number 0."""
+    seeds = np.random.default_rng(7).integers(0, 2**63, (TABLES, LEASTS), dtype=np.uint64)
+    nodes, keys = np.zeros(len(texts), np.uint64), np.zeros((len(texts), TABLES), np.uint64)
+    done = 0
+    for hashes, cuts in shingle_sets(texts, width):
+        some = np.flatnonzero(np.diff(cuts))
+        if len(some):
+            begin, at = cuts[some], done + some
+            nodes[at] = mix(np.add.reduceat(mix(hashes), begin) + np.diff(cuts)[some].astype(np.uint64))
+            for t in range(TABLES):
+                key = np.full(len(some), t, dtype=np.uint64)
+                for seed in seeds[t]:
+                    key = mix(key) ^ np.minimum.reduceat(mix(hashes ^ seed), begin)
+                keys[at, t] = mix(key)
+        done += len(cuts) - 1
+    return nodes, keys
+
+
+def near_links(label: np.ndarray, pivot: np.ndarray, flat: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what all near pairs of a pivot and another set connect, beyond equal labels. Sets: flat[cuts[i] : cuts[i + 1]]."""
+    _, flat = np.unique(flat, return_inverse=True)
+    size, label = np.diff(cuts), label.copy()
+    mark = np.zeros(int(flat.max(initial=0)) + 1, dtype=np.int32)
+    found: list[tuple[int, int]] = []
+    for i in np.flatnonzero(pivot).tolist():
+        if (label == label[i]).all():
+            break
+        mark[flat[cuts[i] : cuts[i + 1]]] = 1
+        both = np.add.reduceat(mark[flat], cuts[:-1])
+        mark[flat[cuts[i] : cuts[i + 1]]] = 0
+        near = np.flatnonzero((NEAR[1] * both >= NEAR[0] * (size + size[i] - both)) & (label != label[i]))
+        others, first = np.unique(label[near], return_index=True)
+        found += [(i, j) for j in near[first].tolist()]
+        label[np.isin(label, others)] = label[i]
+    return np.array([i for i, _ in found], dtype=np.int64), np.array([j for _, j in found], dtype=np.int64)
+
+
+def checked(edges: DataFrame, sets: DataFrame) -> DataFrame:
+    """The edges (a, b) whose shingle sets are near."""
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"_{c}"))
+    both = edges.join(side("a"), "a").join(side("b"), "b").select(
+        "a", "b", F.size(F.array_intersect("_a", "_b")).alias("n"), (F.size("_a") + F.size("_b")).alias("sum")
+    )
+    return both.where(NEAR[1] * F.col("n") >= NEAR[0] * (F.col("sum") - F.col("n"))).select("a", "b")
+
+
+def rest_links(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): what the near pairs inside buckets connect beyond `roots`.
+
+    Only buckets whose members have different roots count, and in them only pairs of a member outside the least member's
+    component with any member. Both sides are dealt out in parts of PART, so a large component is sent once for each part
+    of the few outside it, not once for each of its own parts.
     """
-    bits = max(16, int(n).bit_length() - 3)
-    differ = np.arccos(0.8 * 2 / 1.8) / np.pi
-    tables = int(np.ceil(np.log(MISSED) / np.log(1 - (1 - differ) ** bits)))
-    rng = np.random.default_rng(7)
-    each = 64 * WIDE_WORDS // bits
-    places = np.concatenate([rng.permutation(64 * WIDE_WORDS)[: each * bits].reshape(each, bits) for _ in range(-(-tables // each))])
-    return places[:tables]
+    rooted = members.select("v", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = materialize(rooted.select("v", "node", "root"), "members")
+    mixed = rooted.groupBy("v").agg(
+        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min_by("root", "node").alias("home")
+    ).where("low < high and n > 2").select("v", "n", "home")  # pairs are compared already
+    rest = materialize(rooted.join(mixed, "v").withColumn("pivot", F.col("root") != F.col("home")), "rest")
+    sizes = rest.where("pivot").groupBy("v").agg(F.ceil(F.count("*") / PART).cast("int").alias("few"))
+    rest = rest.join(sizes, "v").withColumn("many", F.ceil(F.col("n") / PART).cast("int"))
+    own = lambda c: F.pmod(F.xxhash64("node"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    dealt = rest.where("pivot").withColumn("p", own("few")).withColumn("q", every("many")).select("v", "p", "q", "node", "root", "pivot").union(
+        rest.withColumn("q", own("many")).withColumn("p", every("few")).select("v", "p", "q", "node", "root", F.lit(False))
+    )
+
+    def compare(t: pa.Table) -> pa.Table:
+        node, sets_of = t.column("node").to_numpy(), t.column("shingles").combine_chunks()
+        if isinstance(sets_of, pa.ChunkedArray):
+            sets_of = pa.concat_arrays(sets_of.chunks)
+        cuts = np.r_[0, np.cumsum(sets_of.value_lengths().to_numpy())]
+        i, j = near_links(t.column("root").to_numpy(), t.column("pivot").to_numpy(), sets_of.flatten().to_numpy(), cuts)
+        return pa.table({"a": pa.array(node[i], pa.int64()), "b": pa.array(node[j], pa.int64())})
 
+    return dealt.join(sets, "node").groupBy("v", "p", "q").applyInArrow(compare, "a long, b long")
 
-def distinct_documents(docs: DataFrame, width: int = 5, distance: int = WIDE_DISTANCE) -> DataFrame:
+
+def distinct_documents(docs: DataFrame, width: int = 5) -> DataFrame:
     """One row of each group of near copies, with the columns of `docs`: that of the least doc_id (null last).
 
-    Near: at least about 0.8 of the word shingles in common, by wide fingerprints. Equal texts, null and empty ones too,
-    are one group.
+    Near: at least NEAR of the distinct word shingles in common. Pairs that share one of TABLES keys are candidates, and all
+    links are checked on the shingles. First each bucket of a key is linked to its least member; then, in buckets that are
+    not one component by that, the pairs that could still join two. Equal sets of shingles, texts without words
+    and null among them, are one group.
     """
-    words64 = [f"_fp{k}" for k in range(WIDE_WORDS)]
     columns = docs.columns
     others = [c for c in columns if c not in ("doc_id", "text")]
     if not others:  # a struct needs a field
-        return distinct_documents(docs.withColumn("_none", F.lit(None).cast("int")), width, distance).select("doc_id", "text")
+        return distinct_documents(docs.withColumn("_none", F.lit(None).cast("int")), width).select("doc_id", "text")
 
     def run(texts) -> list[pa.Array]:
-        fp = wide_fingerprints(encode(texts), width).view(np.int64)
-        return [pa.array(np.ascontiguousarray(fp[:, k])) for k in range(WIDE_WORDS)]
+        nodes, keys = set_keys(encode(texts), width)
+        ends = np.arange(len(nodes) + 1, dtype=np.int32) * TABLES
+        return [pa.array(nodes.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64).ravel()))]
 
-    marked = map_texts(docs, "text", run, ", ".join(f"{c} long" for c in words64))
-    chunks, _ = write_chunks(marked.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("_rest"), "doc_id", "text", *words64), "text")
+    marked = map_texts(docs, "text", run, "_node long, _keys array<long>")
+    chunks, _ = write_chunks(marked.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("_rest"), "doc_id", "text", "_node", "_keys"), "text")
     rows = chunks.select("chunk", F.posexplode("row").alias("at", "r")).select(
-        F.xxhash64(*[f"r.{c}" for c in words64]).alias("node"), *[F.col(f"r.{c}").alias(c) for c in words64],
+        F.col("r._node").alias("node"), F.col("r._keys").alias("keys"),
         F.struct(F.col("r.doc_id").isNull().alias("none"), F.col("r.doc_id").alias("doc_id"), "chunk", "at").alias("place"),
     )
-    nodes = materialize(rows.groupBy("node").agg(F.min("place").alias("best"), *[F.min(c).alias(c) for c in words64]), "nodes")
-    places = block_places(nodes.count())
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        value = np.uint64(1) << np.arange(places.shape[1], dtype=np.uint64)
+    nodes = materialize(rows.groupBy("node").agg(F.min("place").alias("best"), F.first("keys").alias("keys")), "nodes")
+    keyed = nodes.where("node <> 0").select("node", F.explode("keys").alias("v"))
+    # of buckets with the same members, one
+    buckets = keyed.groupBy("v").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("hub"), F.max("node").alias("top")
+    ).where("hub < top").groupBy("n", "x", "hub", "top").agg(F.min("v").alias("v")).select("v", "hub")
+    members = materialize(keyed.join(materialize(buckets, "buckets"), "v").select("v", "hub", "node"), "members")
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.stack([b.column(i + 1).to_numpy() for i in range(WIDE_WORDS)], axis=1)
-            bits = np.unpackbits(fp.view(np.uint8), axis=1, bitorder="little")
-            for t, place in enumerate(places):
-                v = (bits[:, place] * value).sum(axis=1, dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [*b.columns, pa.array(np.full(len(v), t, np.int32)), pa.array(v)], names=["node", *words64, "c", "v"]
-                )
-
-    fields = ", ".join(["node long", *[f"{c} long" for c in words64], "c int, v long"])
-    keyed = nodes.select("node", *words64).mapInArrow(blocks, fields)
-    roots = components(links_by_block(keyed, words64, distance))
+            column = lambda c: b.column(b.schema.get_field_index(c))  # noqa: E731, B023
+            for i in range(b.num_rows):
+                sizes = np.frombuffer(column("sizes")[i].as_py(), dtype=np.int32)
+                stop = np.cumsum(np.maximum(sizes, 0)).tolist()
+                body, asked, done = column("body")[i].as_py(), column("asked")[i].as_py(), 0
+                texts = [body[stop[k["at"]] - sizes[k["at"]] : stop[k["at"]]] for k in asked]
+                for hashes, cuts in shingle_sets(texts, width):
+                    held = pa.array([k["node"] for k in asked[done : done + len(cuts) - 1]], pa.int64())
+                    lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(hashes.view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([held, lists], names=["node", "shingles"])
+                    done += len(cuts) - 1
+
+    asked = nodes.join(members.select("node").distinct(), "node").groupBy(F.col("best.chunk").alias("chunk")).agg(
+        F.collect_list(F.struct(F.col("best.at").alias("at"), "node")).alias("asked")  # at most the rows of a chunk
+    )
+    texts = chunks.join(materialize(asked, "asked"), "chunk").select("sizes", "body", "asked")
+    sets = materialize(texts.mapInArrow(shingled, "node long, shingles array<long>"), "sets")
+    stars = materialize(members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
+    links = materialize(checked(stars, sets), "links")
+    more = materialize(rest_links(members, components(links), sets), "links")
+    roots = components(links.union(more))
     kept = nodes.select("node", "best").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(
         F.min("best").alias("best")
     ).groupBy(F.col("best.chunk").alias("chunk")).agg(F.collect_list("best.at").alias("kept"))  # at most the rows of a chunk

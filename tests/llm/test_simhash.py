@@ -108,3 +108,27 @@ def test_stage_keeps_one_of_each_group(spark):
     extra = [d for d in kept if d is None or 1000 <= d < 6000]
     assert len(extra) <= 3  # of 90 near copies at most a few escape
     assert H.distinct_documents(df.limit(0)).count() == 0
+
+
+def jaccard(x, y, width=5):
+    sets = []
+    for t in (x, y):
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_stage_finds_all_pairs_at_the_threshold(spark):
+    rng = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    rows = []
+    for g in range(400):
+        a = [rng.choice(vocabulary) for _ in range(104)]
+        b = list(a)
+        for k in (10, 90, *([50] if g % 2 else [])):  # 5 shingles each: similarity 90 / 110 or 85 / 115
+            b[k] = "new"
+        rows += [(2 * g, " ".join(a)), (2 * g + 1, " ".join(b))]
+    near = {rows[i + 1][0] for i in range(0, 800, 2) if jaccard(rows[i][1], rows[i + 1][1]) >= 0.8}
+    assert len(near) == 200
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.doc_id for r in H.distinct_documents(df).collect()} == {i for i, _ in rows} - near
