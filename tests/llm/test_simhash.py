@@ -132,3 +132,63 @@ def test_stage_finds_all_pairs_at_the_threshold(spark):
     assert len(near) == 200
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert {r.doc_id for r in H.distinct_documents(df).collect()} == {i for i, _ in rows} - near
+
+
+def test_stage_keeps_what_is_no_near_copy(spark, monkeypatch):
+    rng = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    make = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    rows = []
+    for n in (8, 9, 10):  # only the last word differs: similarity 0.6, 0.67, 0.71
+        for _ in range(20):
+            a = make(n)
+            rows += [" ".join(a), " ".join([*a[:-1], "other"])]
+    for _ in range(30):  # similarity 0.74
+        a = make(104)
+        b = list(a)
+        b[10] = b[50] = b[90] = "new"
+        rows += [" ".join(a), " ".join(b)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    assert H.distinct_documents(df).count() == len(rows)
+
+
+def test_stage_equals_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(H, "PART", 3)
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    rows = []
+    for _ in range(3):  # families whose members are near some others only
+        base = [rng.choice(vocabulary) for _ in range(150)]
+        for _ in range(45):
+            w = list(base)
+            for k in rng.sample(range(150), rng.choice([1, 2, 3, 4, 6])):
+                w[k] = rng.choice(vocabulary)
+            rows.append(" ".join(w))
+    rng.shuffle(rows)
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if label[i] != label[j] and jaccard(rows[i], rows[j]) >= 0.8:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    assert 10 < len(set(label)) < 120
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in H.distinct_documents(df).collect()} == set(label)
+
+
+def test_near_links_join_what_all_pairs_join():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**62, 40)
+    sets = [np.unique(np.r_[rng.permutation(base)[: rng.integers(33, 41)], rng.integers(0, 2**62, rng.integers(0, 5))]) for _ in range(60)]
+    start = np.where(np.arange(60) < 25, 0, np.arange(60))
+    cuts = np.r_[0, np.cumsum([len(x) for x in sets])]
+    i, j = H.near_links(start, start != 0, np.concatenate(sets), cuts)
+
+    def joined(edges):
+        label = start.copy()
+        for x, y in edges:
+            label[label == max(label[x], label[y])] = min(label[x], label[y])
+        return label.tolist()
+
+    size = lambda x, y: len(np.intersect1d(sets[x], sets[y])) / len(np.union1d(sets[x], sets[y]))
+    assert joined(zip(i, j)) == joined((x, y) for x in range(60) for y in range(x) if size(x, y) >= 0.8)
