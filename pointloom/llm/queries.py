@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pointloom.llm import chats, embeddings, licences, mixing, packing, simhash, suffix_dedup, syncmers, token_counts
+from pointloom.llm import chats, embeddings, licences, mixing, packing, resample, simhash, suffix_dedup, syncmers, token_counts
 from pointloom.llm.common import table
 from pointloom.llm.toxicity import op10_toxicity as _toxicity
 
@@ -49,6 +49,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.op9_token_counts(table(spark, sf_dir, "documents"))
 
 
-ALL = {f.__name__: f for f in (op1_suffix_array, op2_embeddings, op3_packing, op4_licences, op5_fingerprints, op6_chats, op7_mixing, op8_simhash, op9_token_counts, op10_toxicity)}
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.op13_resampling(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
-SQL: dict[str, str] = {"op7_mixing": mixing.OP7_SQL}
+
+ALL = {f.__name__: f for f in (op1_suffix_array, op2_embeddings, op3_packing, op4_licences, op5_fingerprints, op6_chats, op7_mixing, op8_simhash, op9_token_counts, op10_toxicity, op13_resampling)}
+
+SQL: dict[str, str] = {"op7_mixing": mixing.OP7_SQL, "op13_resampling": resample.OP13_SQL}
