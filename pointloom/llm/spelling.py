@@ -33,9 +33,9 @@ from pointloom.llm.common import materialize
 
 GROUPS = 32
 #: Words of a cell, and branches of the upper trie that may be cut at each level.
-CELL, UPPER = 6_000, 20_000
+CELL, UPPER = 20_000, 20_000
 #: Below this many words a branch of a cell is a leaf.
-LEAF = 12
+LEAF = 16
 #: Pairs that are verified at a time.
 PAIRS = 1 << 20
 
@@ -115,40 +115,54 @@ class Words:
         return out
 
 
-def branch(counts: np.ndarray, count: int, plus: np.ndarray, minus: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Searches that may go down the edge `count`, by their own counts, with what is left of their budgets."""
-    more = count - counts.astype(np.int16)
-    at = np.flatnonzero((more == 0) | ((more == 1) & plus) | ((more == -1) & minus))
-    return at, plus[at] & (more[at] != 1), minus[at] & (more[at] != -1)
+#: What is left of a budget (1: a surplus, 2: a deficit, 3: both) beyond an edge, by edge count minus own count plus 2, and budget.
+LEFT = np.full((5, 4), 255, dtype=np.uint8)
+LEFT[1, 2:] = (0, 1)
+LEFT[2] = range(4)
+LEFT[3, 1::2] = (0, 2)
+LEFT = LEFT.ravel()
+
+
+def branch(more: np.ndarray, budget: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Searches that may go down an edge with `more` than their own count, and what is left of their budgets."""
+    left = LEFT[(np.clip(more, -2, 2) + 2) * 4 + budget]
+    at = np.flatnonzero(left < 255)
+    return at, left[at]
 
 
 def visits(vectors: np.ndarray, edges: dict[bytes, list[int]], upper: set[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
-    """(cell, searches that reach it, whether without spending): depth first through the upper trie."""
+    """(cell, searches that reach it, their budgets): depth first through the upper trie."""
     everyone = np.arange(len(vectors))
+    start = np.full(len(vectors), 3, dtype=np.uint8)
     if not upper:
-        yield b"", everyone, np.ones(len(vectors), dtype=bool)
+        yield b"", everyone, start
         return
-    stack = [(b"", everyone, *(np.ones(len(vectors), dtype=bool) for _ in range(2)))]
+    columns = vectors.T.astype(np.int16)
+    stack = [(b"", everyone, start)]
     while stack:
-        prefix, who, plus, minus = stack.pop()
+        prefix, who, budget = stack.pop()
+        own = columns[len(prefix)][who]
         for count in edges.get(prefix, ()):
-            at, p, m = branch(vectors[who, len(prefix)], count, plus, minus)
+            at, left = branch(count - own, budget)
             if len(at):
                 child = prefix + bytes([count])
                 if child in upper:
-                    stack.append((child, who[at], p, m))
+                    stack.append((child, who[at], left))
                 else:
-                    yield child, who[at], p & m
+                    yield child, who[at], left
+
 
+def search(home: int, vectors: np.ndarray, budget: np.ndarray, depth: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidate pairs (search, word): the first `home` rows are words of the trie, all rows search it; each pair once.
 
-def search(home: int, vectors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Candidate pairs (search, word): the first `home` rows are words of the trie, all rows search it; each pair once."""
+    The words agree in their first `depth` counts, and `budget` is what the searches have left beyond them.
+    """
     order = np.lexsort(vectors[:home, ::-1].T)
-    sorted_ = vectors[order]
-    everyone = np.arange(len(vectors))
-    stack = [(0, home, 0, everyone, *(np.ones(len(vectors), dtype=bool) for _ in range(2)))]
+    sorted_ = vectors[order].T.copy()
+    columns = vectors.T.astype(np.int16)
+    stack = [(0, home, depth, np.arange(len(vectors)), budget)]
     while stack:
-        low, high, depth, who, plus, minus = stack.pop()
+        low, high, depth, who, budget = stack.pop()
         if high - low <= LEAF or depth == GROUPS:
             for first in range(low, high, max(1, PAIRS // len(who))):
                 words = order[first : min(high, first + max(1, PAIRS // len(who)))]
@@ -156,20 +170,20 @@ def search(home: int, vectors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndar
                 once = (a >= home) | (a < b)
                 yield a[once], b[once]
             continue
-        column = sorted_[low:high, depth]
-        cuts = np.r_[0, np.flatnonzero(column[1:] != column[:-1]) + 1, high - low]
-        own = vectors[who, depth]
+        column = sorted_[depth, low:high]
+        cuts = [0, *(np.flatnonzero(column[1:] != column[:-1]) + 1).tolist(), high - low]
+        own = columns[depth][who]
         for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-            at, p, m = branch(own, int(column[x]), plus, minus)
+            at, left = branch(int(column[x]) - own, budget)
             if len(at):
-                stack.append((low + x, low + y, depth + 1, who[at], p, m))
+                stack.append((low + x, low + y, depth + 1, who[at], left))
 
 
-def cell_pairs(words: list[str], home: int, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def cell_pairs(words: list[str], home: int, group: np.ndarray, budget: np.ndarray | None = None, depth: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Near pairs of a cell: its own words come first, visitors behind them."""
     held = Words(words)
     left, right, waiting, n = [], [], [], 0
-    made = search(home, held.vectors(group))
+    made = search(home, held.vectors(group), np.full(len(words), 3, dtype=np.uint8) if budget is None else budget, depth)
 
     def verify() -> None:
         a, b = (np.concatenate(x) for x in zip(*waiting, strict=True))
@@ -264,29 +278,27 @@ def near_words(words: DataFrame) -> DataFrame:
             v = np.frombuffer(b"".join(b.column(2).to_pylist()), dtype=np.uint8).reshape(b.num_rows, GROUPS)
             own: list[bytes] = [b""] * b.num_rows
             found = list(visits(v, edges, upper))
-            for cell, who, unspent in found:
-                for i in who[unspent]:
-                    if not upper or v[i, : len(cell)].tobytes() == cell:
-                        own[i] = cell
-            for cell, who, _ in found:
-                who = np.array([i for i in who if own[i] <= cell], dtype=np.int64)
-                if len(who):
-                    rows = pa.array(who)
-                    home = np.array([own[i] == cell for i in who])
+            for cell, who, budget in found:
+                for i in who[budget == 3]:  # nothing spent: its own counts
+                    own[i] = cell
+            for cell, who, budget in found:
+                met = np.array([own[i] <= cell for i in who])
+                if met.any():
+                    rows = pa.array(who[met])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([cell] * len(who), pa.binary()), pa.array(home), b.column(0).take(rows), b.column(1).take(rows)],
-                        names=["cell", "home", "word", "n"],
+                        [pa.array([cell] * len(rows), pa.binary()), pa.array(budget[met].astype(np.int8)), b.column(0).take(rows), b.column(1).take(rows)],
+                        names=["cell", "budget", "word", "n"],
                     )
 
     def find(cell: pa.Table) -> pa.Table:
-        home = cell.column("home").to_numpy()
-        order = np.argsort(~home, kind="stable")
+        budget = cell.column("budget").to_numpy().astype(np.uint8)
+        order = np.argsort(budget < 3, kind="stable")  # those at home have spent nothing
         words_ = cell.column("word").take(pa.array(order)).to_pylist()
         n = cell.column("n").to_numpy()[order]
-        a, b = cell_pairs(words_, int(home.sum()), group)
+        a, b = cell_pairs(words_, int((budget == 3).sum()), group, budget[order], len(cell.column("cell")[0].as_py()))
         return pa.Table.from_batches([summary(words_, n, a, b)])
 
-    dealt = coded.mapInArrow(route, "cell binary, home boolean, word string, n long")
+    dealt = coded.mapInArrow(route, "cell binary, budget byte, word string, n long")
     met = dealt.groupBy("cell").applyInArrow(find, "word string, n_near long, best_n long, best string")
     best = F.min(F.struct((-F.col("best_n")).alias("less"), F.col("best").alias("word")))
     return met.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("_b")).select(
