@@ -24,10 +24,10 @@ CHUNK = 1 << 21
 MOST_BUCKETS = 50_000
 
 
-def write_chunks(docs: DataFrame, text: str) -> tuple[DataFrame, int]:
+def write_chunks(docs: DataFrame, text: str, most: int = CHUNK) -> tuple[DataFrame, int]:
     """(table of chunk long, sizes binary, body binary, row array<struct of all other columns>; bytes of text).
 
-    `sizes` are the 32-bit lengths of the texts in `body`, -1 for null. The table has at least as many buckets as the session
+    A chunk ends with the text that brings it to `most` bytes. `sizes` are the 32-bit lengths of the texts in `body`, -1 for null. The table has at least as many buckets as the session
     has shuffle partitions: with fewer, a join would rather shuffle it than use them.
     """
     spark = docs.sparkSession
@@ -65,7 +65,7 @@ def write_chunks(docs: DataFrame, text: str) -> tuple[DataFrame, int]:
             start = 0
             for i in range(batch.num_rows):
                 size += int(length[i])
-                if size >= CHUNK:
+                if size >= most:
                     held.append(batch.slice(start, i + 1 - start))
                     yield chunk()
                     held, size, start = [], 0, i + 1

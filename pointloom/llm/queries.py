@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pointloom.llm import chats, embeddings, licences, mixing, packing, resample, simhash, spelling, suffix_dedup, syncmers, token_counts
+from pointloom.llm import chats, embeddings, licences, lm, mixing, packing, resample, simhash, spelling, suffix_dedup, syncmers, token_counts
 from pointloom.llm.common import table
 from pointloom.llm.toxicity import op10_toxicity as _toxicity
 
@@ -49,6 +49,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.op9_token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.op11_lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.op12_spelling(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,6 @@ def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.op13_resampling(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-ALL = {f.__name__: f for f in (op1_suffix_array, op2_embeddings, op3_packing, op4_licences, op5_fingerprints, op6_chats, op7_mixing, op8_simhash, op9_token_counts, op10_toxicity, op12_spelling, op13_resampling)}
+ALL = {f.__name__: f for f in (op1_suffix_array, op2_embeddings, op3_packing, op4_licences, op5_fingerprints, op6_chats, op7_mixing, op8_simhash, op9_token_counts, op10_toxicity, op11_lm_scores, op12_spelling, op13_resampling)}
 
 SQL: dict[str, str] = {"op7_mixing": mixing.OP7_SQL, "op12_spelling": spelling.OP12_SQL, "op13_resampling": resample.OP13_SQL}
