@@ -10,9 +10,10 @@ Scores then use the counts of all learning documents.
 Counting is exact over all documents. Texts are written once in chunks (see `chunks`). A chunk sends the sorted hashes of its
 distinct n-grams with their counts, cut by the leading bits into buckets, so a common n-gram is sent once a chunk; a bucket
 adds up and answers with counts in the same order; answers go back to the chunks. Neither texts nor n-grams are sent.
-Buckets hold about `ENTRIES` entries, however large the corpus. Words and n-grams are told apart by 64 bits: two of
-10^9 words are mistaken for each other with a probability of 3 %, one looked up among them with 5 * 10^-11. An entry is a
-whole chunk's, so the share of a single n-gram in a bucket is at most one entry a chunk.
+Buckets hold about `ENTRIES` entries, however large the corpus. Words are told apart by 64 bits and longer
+n-grams by 56: of 10^9 words some two are mistaken for each other with a probability of 3 %, and one looked up among 10^9 is
+mistaken with 5 * 10^-11, a longer n-gram with 1.4 * 10^-8. An entry is a whole chunk's, so the share of a single n-gram in a
+bucket is at most one entry a chunk.
 
 A null or empty text is its end alone. Texts are never cut: a very long one makes a chunk of its own. Repeated rows each count
 and each get a row; rows of one id are held out together; a null id is hashed as the empty text. Without learning documents
@@ -34,6 +35,8 @@ from pointloom.llm.common import STEP_BYTES, materialize
 from pointloom.llm.textbytes import LOWER, U64, RangeHash, mix, parts, words
 
 CHUNK = 1 << 23
+#: Bits of the hashes by length of the n-gram.
+BITS = (64, 56, 56)
 ENTRIES = 1 << 21
 #: Values of the hashes for the end of a text and for what is before it.
 END, BEGIN = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
@@ -87,7 +90,7 @@ class Tokens:
         second[self.first] = BEGIN
         two = mix(before * U64(0xD1342543DE82EF95) + one)
         three = mix(mix(second * U64(0xAF251AF3B0F025B5) + before) * U64(0xB564EF22EC7AECE5) + one)
-        self.grams = [one, two, three]
+        self.grams = [g >> U64(64 - bits) for g, bits in zip((one, two, three), BITS, strict=True)]
 
     def of(self, documents: np.ndarray) -> np.ndarray:
         """Which places belong to the chosen texts."""
@@ -100,11 +103,11 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[first], np.diff(np.r_[first, len(values)])
 
 
-def cuts(values: np.ndarray, bits: int) -> np.ndarray:
-    """Where each bucket begins in sorted hashes, and their end."""
+def cuts(values: np.ndarray, bits: int, width: int) -> np.ndarray:
+    """Where each bucket begins in sorted hashes of `width` bits, and their end; the leading `bits` name the bucket."""
     if not bits:
         return np.array([0, len(values)])
-    return np.r_[np.searchsorted(values, np.arange(1 << bits, dtype=U64) << U64(64 - bits)), len(values)]
+    return np.r_[np.searchsorted(values, np.arange(1 << bits, dtype=U64) << U64(width - bits)), len(values)]
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Tokens, pa.StructArray, list]]:
@@ -131,7 +134,7 @@ def gram_counts(chunks: DataFrame, bits: int) -> DataFrame:
                 for j in (KEPT, DELETED):
                     some, n = distinct(gram[t.of(kind == j)])
                     count[j, np.searchsorted(all_, some)] = n
-                at = cuts(all_, bits)
+                at = cuts(all_, bits, BITS[k])
                 used = np.flatnonzero(np.diff(at))
                 spans = [(int(at[u]), int(at[u + 1])) for u in used]
                 yield pa.RecordBatch.from_arrays(
