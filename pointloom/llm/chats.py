@@ -11,14 +11,17 @@ call it uses; its result stands right behind it. So sorting by the place puts ev
 result behind its call, wherever the result row came in.
 
 Faults are listed, never dropped: a call's id given twice (the first by turn and slot counts), a call without result, a
-result without call, a second result, use of an unknown id, a cycle, an unknown tool, arguments that are no JSON object,
-missing, unknown or wrongly typed arguments. Calls on a cycle keep their own turn at level -1. Null texts are written as
+result without call, a second result, use of an unknown id, a cycle, an unknown tool, arguments that are no JSON object
+(NaN and infinite numbers, numbers out of range, a key given twice, half a surrogate pair and more than DEEPEST levels of nesting
+count as such; the text is then written as it is), missing, unknown or wrongly typed arguments. Calls on a cycle keep their own turn at level -1. Null texts are written as
 null. Null ids link with nothing. Repeated rows are further calls or results of the same id.
+Texts are taken whole, whatever their length; an empty table gives no rows. Only the six columns of a message are read, so others can't clash.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Iterator
 
@@ -31,6 +34,8 @@ from pointloom.llm.common import materialize
 
 MESSAGE = "conv_id long, turn long, role string, text string, calls array<struct<id string, name string, arguments string>>, call_id string"
 KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list}
+#: Levels of nesting up to which arguments are taken as JSON.
+DEEPEST = 300
 _USE = re.compile(r"\$result:(.+)\Z", re.S)
 
 #: Tools by name: {argument: (type, required)}.
@@ -44,19 +49,73 @@ def canonical(value) -> str:
 
 def used_ids(value) -> list[str]:
     """Ids of the calls whose results a JSON value uses."""
-    if isinstance(value, str):
-        m = _USE.match(value)
-        return [m[1]] if m else []
-    inner = value.values() if isinstance(value, dict) else value if isinstance(value, list) else ()
-    return sorted({i for v in inner for i in used_ids(v)})
+    found, waiting = set(), [value]
+    while waiting:
+        v = waiting.pop()
+        if isinstance(v, str):
+            m = _USE.match(v)
+            found.update([m[1]] if m else [])
+        elif isinstance(v, (dict, list)):
+            waiting.extend(v.values() if isinstance(v, dict) else v)
+    return sorted(found)
+
+
+class Fault(ValueError):
+    """Arguments that can't be taken as JSON; the message says why."""
+
+
+def _number(text: str) -> float:
+    value = float(text)
+    if not math.isfinite(value):
+        raise Fault("arguments hold a number out of range")
+    return value
+
+
+def _constant(name: str):
+    raise Fault("arguments are not JSON")  # NaN and Infinity are no JSON
+
+
+def _object(pairs: list[tuple[str, object]]) -> dict:
+    made = dict(pairs)
+    if len(made) < len(pairs):
+        raise Fault("arguments hold a key twice")
+    return made
+
+
+def _too_deep(value) -> bool:
+    level = [value]
+    for _ in range(DEEPEST):
+        level = [w for v in level if isinstance(v, (dict, list)) for w in (v.values() if isinstance(v, dict) else v)]
+        if not level:
+            return False
+    return True
+
+
+def parse_arguments(text: str | None):
+    """The JSON value of an argument text, which `canonical` can write again; Fault if there is none."""
+    try:
+        value = json.loads(text or "", parse_float=_number, parse_constant=_constant, object_pairs_hook=_object)
+    except Fault:
+        raise
+    except RecursionError as e:
+        raise Fault("arguments are nested too deeply") from e
+    except ValueError as e:
+        raise Fault("arguments are not JSON") from e
+    if _too_deep(value):
+        raise Fault("arguments are nested too deeply")
+    try:
+        canonical(value).encode()
+    except UnicodeEncodeError as e:
+        raise Fault("arguments hold half a surrogate pair") from e
+    return value
 
 
 def check_call(name: str | None, arguments: str | None, tools: Tools) -> tuple[object, list[str]]:
     """(parsed arguments or the raw text, faults) of a call."""
     try:
-        value = json.loads(arguments or "")
-    except (ValueError, RecursionError):
-        return arguments, ["arguments are not JSON"]
+        value = parse_arguments(arguments)
+    except Fault as e:
+        return arguments, [str(e)]
     if not isinstance(value, dict):
         return value, ["arguments are not an object"]
     if name not in tools:

@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy step takes at once; with its 8-byte arrays it stays below about 100 MB.
@@ -47,6 +47,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def set_aside(names: list[str], alias: str) -> Column:
+    """The named columns as one struct, so that their names meet no others. A struct needs a field, so none are one null."""
+    return F.struct(*([F.col(f"`{c}`") for c in names] or [F.lit(None).cast("int").alias("_")])).alias(alias)
+
+
 def map_texts(
     df: DataFrame, text: str, fn: Callable[[list], list[pa.Array]], added: str, keep: list[str] | None = None
 ) -> DataFrame:

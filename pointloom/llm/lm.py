@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointloom.llm.chunks import write_chunks
-from pointloom.llm.common import STEP_BYTES, materialize
+from pointloom.llm.common import STEP_BYTES, materialize, set_aside
 from pointloom.llm.textbytes import LOWER, U64, RangeHash, mix, parts, words
 
 CHUNK = 1 << 23
@@ -292,8 +292,7 @@ def lm_scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: s
     names = {f.name for f in new} | ({text.lower()} if keep is None else set())
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
     source = docs.select(
-        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in kept]).alias("kept"),
-        kinds(F.col(f"`{doc_id}`"), F.coalesce(held_out, F.lit(False))).alias("kind"), F.col(f"`{text}`").alias("text"),
+        set_aside(kept, "kept"), kinds(F.col(f"`{doc_id}`"), F.coalesce(held_out, F.lit(False))).alias("kind"), F.col(f"`{text}`").alias("text"),
     )
     chunks, size = write_chunks(source, "text", CHUNK)
     bits = max(0, int(np.ceil(np.log2(max(1, size // 6) / ENTRIES))))

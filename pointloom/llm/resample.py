@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pointloom.llm.common import STEP_BYTES, map_texts, materialize
+from pointloom.llm.common import STEP_BYTES, map_texts, materialize, set_aside
 from pointloom.llm.textbytes import parts
 
 #: What stands between words, in lower-cased text: all of ASCII but digits and letters.
@@ -146,7 +146,7 @@ def resample(
     gain = gains(docs, target, text, n, buckets)
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ADDED]
     held = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")
+        set_aside(kept, "row"), F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")
     )
 
     def run(texts: pa.Array) -> list[pa.Array]:

@@ -9,6 +9,10 @@ each such choice of blocks is one table keyed by their bits, and any close pair
 runs of at most BUCKET fingerprints; a larger bucket is dealt out as pairs of hashed parts. Inside a run all distances are
 computed in numpy, and only a spanning forest of the links leaves it, never all pairs. Components of that forest are the
 groups; no link between different fingerprints is lost.
+
+Texts are taken whole, whatever their length; rows of one id each count; an empty table gives no rows. `groups` reads id and
+text alone; `distinct_documents` keeps all columns, whatever their names. That function, the stage of the corpus pipeline, tells
+near copies by their shingles (see there); it shares only the shingles with the fingerprints above.
 """
 
 from __future__ import annotations
@@ -19,11 +23,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointloom.llm.chunks import write_chunks
-from pointloom.llm.common import STEP_BYTES, components, map_texts, materialize
+from pointloom.llm.common import STEP_BYTES, components, map_texts, materialize, set_aside
 from pointloom.llm.links import forest
 from pointloom.llm.textbytes import LOWER, SPACE, encode, mix, parts, words
 
@@ -218,34 +222,13 @@ def op8_simhash(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame
     )
 
 
-#: Fingerprints of 256 bits and a distance for estimates of similarity; the stage itself compares shingles.
-WIDE_WORDS, WIDE_DISTANCE = 4, 47
-
-
-def wide_fingerprints(texts: list[bytes], width: int) -> np.ndarray:
-    """Fingerprints of WIDE_WORDS words of 64 bits each, from the shingles' hashes mixed again for each word."""
-    out = np.zeros((len(texts), WIDE_WORDS), dtype=np.uint64)
-    done = 0
-    for s in parts([len(t) for t in texts], STEP_BYTES // 2):
-        held = texts[s]
-        hashes, owner = shingle_hashes(held, width)
-        wide = np.stack([mix(hashes * np.uint64(2 * k + 1)) for k in range(WIDE_WORDS)], axis=1)
-        cuts = np.searchsorted(owner, np.arange(len(held) + 1))
-        for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
-            ones = np.zeros(64 * WIDE_WORDS, dtype=np.int64)
-            for at in range(a, b, 255):  # sums of up to 255 bits fit a byte
-                bits = np.unpackbits(wide[at : min(at + 255, b)].view(np.uint8), axis=1, bitorder="little")
-                ones += np.add.reduce(bits, axis=0, dtype=np.uint8)
-            out[done + i] = np.packbits(ones * 2 > b - a, bitorder="little").view(np.uint64)
-        done += len(held)
-    return out
-
-
 #: Near copies have at least NEAR[0] / NEAR[1] of their distinct shingles in common (Jaccard).
 NEAR = (4, 5)
 #: Each of TABLES keys of a text joins the least of LEASTS hash functions over its shingles. A pair of similarity s shares
 #: none with probability (1 - s^LEASTS)^TABLES: 0.00006 at 0.8, less above, at any number of texts.
 TABLES, LEASTS = 32, 6
+#: Parts that the members of one key are dealt out in when something is said of all of them.
+SALTS = 64
 #: Most texts of either side whose shingles are compared in memory at once.
 PART = 1024
 
@@ -300,10 +283,16 @@ def near_links(label: np.ndarray, pivot: np.ndarray, flat: np.ndarray, cuts: np.
     return np.array([i for i, _ in found], dtype=np.int64), np.array([j for _, j in found], dtype=np.int64)
 
 
+def _salt(node: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit("salt"), node), F.lit(SALTS)).cast("int")
+
+
 def checked(edges: DataFrame, sets: DataFrame) -> DataFrame:
     """The edges (a, b) whose shingle sets are near."""
     side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"_{c}"))
-    both = edges.join(side("a"), "a").join(side("b"), "b").select(
+    edges = edges.withColumn("salt", _salt("a"))  # a hub of many edges meets them in as many parts
+    hubs = edges.select("b", "salt").distinct().join(side("b"), "b")
+    both = edges.join(side("a"), "a").join(hubs, ["b", "salt"]).select(
         "a", "b", F.size(F.array_intersect("_a", "_b")).alias("n"), (F.size("_a") + F.size("_b")).alias("sum")
     )
     return both.where(NEAR[1] * F.col("n") >= NEAR[0] * (F.col("sum") - F.col("n"))).select("a", "b")
@@ -317,13 +306,19 @@ def rest_links(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFra
     of the few outside it, not once for each of its own parts.
     """
     rooted = members.select("v", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = materialize(rooted.select("v", "node", "root"), "members")
-    mixed = rooted.groupBy("v").agg(
-        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min_by("root", "node").alias("home")
+    rooted = materialize(rooted.select("v", _salt("node").alias("salt"), "node", "root"), "members")
+    # summed up by part first, and what is known of a key goes back to its parts: no task holds all members of a key
+    parted = materialize(rooted.groupBy("v", "salt").agg(
+        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("node", "root")).alias("first")
+    ), "parts")
+    mixed = parted.groupBy("v").agg(
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("first")["root"].alias("home")
     ).where("low < high and n > 2").select("v", "n", "home")  # pairs are compared already
-    rest = materialize(rooted.join(mixed, "v").withColumn("pivot", F.col("root") != F.col("home")), "rest")
-    sizes = rest.where("pivot").groupBy("v").agg(F.ceil(F.count("*") / PART).cast("int").alias("few"))
-    rest = rest.join(sizes, "v").withColumn("many", F.ceil(F.col("n") / PART).cast("int"))
+    mixed = parted.select("v", "salt").join(mixed, "v")
+    rest = materialize(rooted.join(mixed, ["v", "salt"]).withColumn("pivot", F.col("root") != F.col("home")), "rest")
+    outside = rest.where("pivot").groupBy("v", "salt").agg(F.count("*").alias("n")).groupBy("v").agg(F.ceil(F.sum("n") / PART).cast("int").alias("few"))
+    sizes = rest.select("v", "salt").distinct().join(outside, "v")
+    rest = rest.join(sizes, ["v", "salt"]).withColumn("many", F.ceil(F.col("n") / PART).cast("int"))
     own = lambda c: F.pmod(F.xxhash64("node"), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     dealt = rest.where("pivot").withColumn("p", own("few")).withColumn("q", every("many")).select("v", "p", "q", "node", "root", "pivot").union(
@@ -346,21 +341,19 @@ def distinct_documents(docs: DataFrame, width: int = 5) -> DataFrame:
 
     Near: at least NEAR of the distinct word shingles in common. Pairs that share one of TABLES keys are candidates, and all
     links are checked on the shingles. First each bucket of a key is linked to its least member; then, in buckets that are
-    not one component by that, the pairs that could still join two. Equal sets of shingles, texts without words
-    and null among them, are one group.
+    not one component by that, the pairs that could still join two. Sets of
+    shingles are told apart by 64 bits of their sum; equal sets, texts without words and null among them, are one group.
     """
     columns = docs.columns
     others = [c for c in columns if c not in ("doc_id", "text")]
-    if not others:  # a struct needs a field
-        return distinct_documents(docs.withColumn("_none", F.lit(None).cast("int")), width).select("doc_id", "text")
 
     def run(texts) -> list[pa.Array]:
         nodes, keys = set_keys(encode(texts), width)
         ends = np.arange(len(nodes) + 1, dtype=np.int32) * TABLES
         return [pa.array(nodes.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64).ravel()))]
 
-    marked = map_texts(docs, "text", run, "_node long, _keys array<long>")
-    chunks, _ = write_chunks(marked.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("_rest"), "doc_id", "text", "_node", "_keys"), "text")
+    marked = map_texts(docs.select(set_aside(others, "_rest"), "doc_id", "text"), "text", run, "_node long, _keys array<long>")
+    chunks, _ = write_chunks(marked.select("_rest", "doc_id", "text", "_node", "_keys"), "text")
     rows = chunks.select("chunk", F.posexplode("row").alias("at", "r")).select(
         F.col("r._node").alias("node"), F.col("r._keys").alias("keys"),
         F.struct(F.col("r.doc_id").isNull().alias("none"), F.col("r.doc_id").alias("doc_id"), "chunk", "at").alias("place"),

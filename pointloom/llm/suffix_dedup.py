@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from pointloom.llm.bwt import equal_prefix_groups
 from pointloom.llm.chunks import write_chunks
-from pointloom.llm.common import STEP_BYTES, materialize
+from pointloom.llm.common import STEP_BYTES, materialize, set_aside
 from pointloom.llm.textbytes import BASE, INVERSE, U64, mix, parts, powers, windows8
 
 LENGTH = 100
@@ -476,7 +476,9 @@ def op1_suffix_array(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """Rows of `docs` with their repeated passages cut out, with the columns of `docs`; n_chars follows the text."""
-    out = dedup(docs, kept="text")
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    out = dedup(docs.select(set_aside(others, "rest"), "doc_id", "text"), kept="text")
+    made = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        made["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return out.select(*[made[c] if c in made else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])

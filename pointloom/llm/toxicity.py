@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointloom.llm.common import STEP_BYTES, map_texts
+from pointloom.llm.common import STEP_BYTES, map_texts, set_aside
 from pointloom.llm.textbytes import LOWER, U64, RangeHash, encode, parts, words
 
 BITS = 18
@@ -188,4 +188,5 @@ def op10_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_civil(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of `docs` that are not predicted toxic, with the columns of `docs`."""
-    return score(docs, fit(docs, labels)).where("predicted = 0").select(*docs.columns)
+    held = docs.select(set_aside(docs.columns, "row"), "text")
+    return score(held, fit(docs, labels)).where("predicted = 0").select("row.*")

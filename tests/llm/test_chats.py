@@ -104,3 +104,28 @@ def test_query(spark, sf_dir):
     got = rows_of(ALL["op6_chats"](spark, sf_dir))
     assert got == brute(messages, C.TOOLS)
     assert {"cycle"} != {f for r in got for f in r[8]} and any("missing" in f or "unknown tool" in f for r in got for f in r[8])
+
+
+BAD = {
+    '{"a": "\\ud800"}': "arguments hold half a surrogate pair", '{"a": ' + "[" * 1000 + "]" * 1000 + "}": "arguments are nested too deeply",
+    '{"a": ' + "[" * 200_000 + "]" * 200_000 + "}": "arguments are nested too deeply", '{"a": NaN}': "arguments are not JSON",
+    '{"a": -Infinity}': "arguments are not JSON", '{"a": 1e999}': "arguments hold a number out of range", '{"a": 1, "a": 2}': "arguments hold a key twice",
+    '{"b": {"c": 1, "c": 1}}': "arguments hold a key twice", "[1": "arguments are not JSON", "": "arguments are not JSON", "[1]": "arguments are not an object",
+}
+
+
+def test_arguments_that_are_no_json_are_faults(spark):
+    import json
+
+    tools = {"t": {"a": ("string", False)}}
+    calls = [(str(i), "t", a) for i, a in enumerate([*BAD, '{"a": "' + "x" * 300_000 + '"}', '{"a": "\\ud83d\\ude00"}'])]
+    rows = spark.createDataFrame([(1, 0, "assistant", None, calls, None, 3)], C.MESSAGE + ", checked int")
+    out = C.format_chats(rows, tools).collect()
+    faults = {r.id: list(r.faults) for r in out if r.kind == "call"}
+    for i, fault in enumerate(BAD.values()):
+        assert fault in faults[str(i)]
+    assert not [f for f in faults[str(len(BAD))] + faults[str(len(BAD) + 1)] if f.startswith("arguments")]
+    message = json.loads(next(r.json for r in out if r.kind == "message"), parse_constant=lambda c: 1 / 0)
+    written = [c["function"]["arguments"] for c in message["tool_calls"]]
+    assert written[: len(BAD)] == [*list(BAD)[:-1], [1]] and written[-1] == {"a": "\U0001f600"}
+    assert C.format_chats(rows.limit(0), tools).count() == 0
