@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pointloom.operators.exact import limb_range, limbs, with_total
 from pointloom.operators.snapshot import slot_latest, spread
 from pointloom.schemas import DEVICE, MINUTE_MS, RULE_KEY, SERIES, WINDOW_SLOTS
 
@@ -217,18 +218,20 @@ def bind_events(events: DataFrame, attributes: DataFrame, arity: int) -> DataFra
 def rollup(events: DataFrame, children: DataFrame) -> DataFrame:
     """Sum over the children of roll-up rules at every firing at which all children have a value.
 
-    `children` holds the rule's key and `n_children`. Changes are combined per rule and tick before and after the
-    shuffle, then summed up along the ticks; values that are no finite numbers are counted aside, so they leave no trace
-    once they are replaced.
+    `children` holds the rule's key and `n_children`; `events` is read twice, so it should be a written table. Changes are
+    combined per rule and tick before and after the shuffle, then summed up along the ticks. Sums are exact (see `exact`):
+    a value leaves no trace once it is replaced, however large it was. Values that are no finite numbers are counted aside.
     """
     by = rule_key(events)
     is_change = F.col("value").isNotNull()
     kinds = {
         "_nan": lambda c: F.isnan(c), "_up": lambda c: c == float("inf"), "_down": lambda c: c == float("-inf"),
     }
-    finite = lambda c: F.when(c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")), 0.0).otherwise(c)
+    of = limb_range(events, "value", "before")
+    finite = lambda c: F.when(~F.isnan(c) & (F.abs(c) < float("inf")), F.col(c))
+    parts = [f"_limb_{i}" for i in range(len(of))]
     changes = {
-        "total": finite(F.col("value")) - finite(F.col("before")),
+        **{n: new - old for n, new, old in zip(parts, limbs(finite("value"), of), limbs(finite("before"), of), strict=True)},
         "_known": F.col("before").isNull().cast("int"),
         **{n: F.coalesce(is_kind(F.col("value")).cast("int"), F.lit(0)) - F.coalesce(is_kind(F.col("before")).cast("int"), F.lit(0)) for n, is_kind in kinds.items()},
     }
@@ -237,6 +240,7 @@ def rollup(events: DataFrame, children: DataFrame) -> DataFrame:
     )
     sums = sums.withColumns({n: F.sum(n).over(_upto(by)) for n in changes})
     whole = sums.where(F.col("snapshot_ms").isNotNull()).join(children, by).where(F.col("_known") == F.col("n_children"))
+    whole = with_total(whole, parts, of, "total")
     total = (
         F.when((F.col("_nan") > 0) | ((F.col("_up") > 0) & (F.col("_down") > 0)), float("nan"))
         .when(F.col("_up") > 0, float("inf")).when(F.col("_down") > 0, float("-inf")).otherwise(F.col("total"))

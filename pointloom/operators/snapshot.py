@@ -22,11 +22,18 @@ def arrival() -> Column:
 
 
 def slot_latest(readings: DataFrame, slide_ms: int = MINUTE_MS) -> DataFrame:
-    """Latest reading per (series, slot): columns SERIES, slot, value, ts_ms. Unnamed points are dropped."""
+    """Latest reading per (series, slot): columns SERIES, slot, value, ts_ms. Unnamed points are dropped.
+
+    Two hash aggregations with plain numbers as keys and buffers: one row per (series, slot, time) of the latest arrival,
+    then the latest time. Readings are never sorted.
+    """
     named = readings.where(F.col("property_name").isNotNull()).select(
         *SERIES, F.expr(f"(ts_ms - pmod(ts_ms, {slide_ms})) div {slide_ms}").alias("slot"), "value", "ts_ms", "seq"
     )
-    return named.groupBy(*SERIES, "slot").agg(F.max_by("value", arrival()).alias("value"), F.max("ts_ms").alias("ts_ms"))
+    arrived = F.coalesce(F.col("seq"), F.lit(-(2**63)))
+    by_time = named.groupBy(*SERIES, "slot", "ts_ms").agg(F.max_by("value", arrived).alias("value"))
+    time = F.coalesce(F.col("ts_ms"), F.lit(-(2**63)))
+    return by_time.groupBy(*SERIES, "slot").agg(F.max_by("value", time).alias("value"), F.max("ts_ms").alias("ts_ms"))
 
 
 def successor_slots(slots: DataFrame, width: int = WINDOW_SLOTS, by: Sequence[str] = tuple(SERIES)) -> DataFrame:

@@ -254,7 +254,7 @@ def _long_formulas(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, w
 def _rollups(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int) -> DataFrame:
     deps = _deps_of(heads, rs)
     # each child is an operand of its own: its series stands for its number
-    events = operand_events(slots, firings, deps, derived, rs.constants, slide_ms, width)
+    events = materialize(operand_events(slots, firings, deps, derived, rs.constants, slide_ms, width))
     sums = rollup(events, heads.select("rule_id", *RULE_KEY, "kind", F.col("n_required").alias("n_children")))
     value = F.when(F.col("kind") == "CHILD_AVG", F.col("total") / F.col("n_children")).otherwise(F.col("total"))
     return sums.select(

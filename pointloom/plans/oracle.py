@@ -457,6 +457,14 @@ ALL: dict[str, str] = {
     ),
     "rollup_sum": derived("plantSum"),
     "rollup_avg": derived("plantAvg"),
+    "rollup_spikes": with_(**{**BASE, "telemetry": f"SELECT * REPLACE ({sample.SPIKED.replace('D ', ' ')} AS value) FROM ({telemetry()})"}, **PLANT)
+    + "SELECT tick_ms, snapshot_ms, company_id, device_id, property_name, "
+    + f"CASE WHEN abs(value) < 1e15 THEN {rnd('value')} ELSE round(value / 1e9, 0) END AS value FROM ("
+    + " UNION ALL BY NAME ".join(
+        f"SELECT tick_ms, any_value(snapshot_ms) AS snapshot_ms, company_id, concat('P', parent_id) AS device_id, '{code}' AS property_name, "
+        f"cast(sum(cast(value AS DECIMAL(38, 10))) AS double){of} AS value FROM plant_known GROUP BY ALL HAVING count(value) = count(*)"
+        for code, of in (("plantSum", ""), ("plantAvg", " / count(*)"))
+    ) + ")",
     "arithmetic": derived("mix", "ratio", "revenue", "weighted"),
     "cross_device": derived("cross"),
     "bit_rules": derived("errBit"),

@@ -350,6 +350,18 @@ def _derive(*codes: str, support: tuple[str, ...] = ()) -> Query:
 
 ALL["rollup_sum"] = _derive("plantSum")
 ALL["rollup_avg"] = _derive("plantAvg")
+
+
+@query
+def rollup_spikes(spark, d):
+    """Roll-ups over readings of which some are very large, so that sums of changes would lose the rest."""
+    readings = sample.telemetry(spark, d).withColumn("value", F.expr(sample.SPIKED))
+    rules = materialize(_rules(spark, d)).where(F.col("point_code").isin("plantSum", "plantAvg"))
+    out = engine.derive(readings, rules, sample.objects(spark, d), sample.models(spark, d))
+    value = F.when(F.abs("value") < 1e15, rounded("value")).otherwise(F.round(F.col("value") / 1e9, 0))
+    return out.select("tick_ms", "snapshot_ms", *SERIES, value.alias("value"))
+
+
 ALL["arithmetic"] = _derive("mix", "ratio", "revenue", "weighted")
 ALL["cross_device"] = _derive("cross")
 ALL["bit_rules"] = _derive("errBit")

@@ -37,6 +37,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Every 29th reading made very large, with either sign.
+SPIKED = "CASE WHEN seq % 29 = 3 THEN 100000000000000000.0D WHEN seq % 29 = 17 THEN -100000000000000000.0D ELSE value END"
+
+
 def telemetry(spark: SparkSession, sf_dir: str, dense: bool = True) -> DataFrame:
     """READING rows from `events`: one series per user and event type."""
     return table(spark, sf_dir, "events").selectExpr(*telemetry_columns(SPARK_MS, dense))
