@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from pointloom.schemas import RULE, RULE_KEY
@@ -60,39 +61,85 @@ def upsert_rules(current: DataFrame, updates: DataFrame, order: str = "seq") ->
     return kept.unionByName(last)
 
 
-class VersionedTable:
-    """A small table replaced as a whole by each batch: one folder per version, complete once it has _SUCCESS.
+class LogTable:
+    """A keyed table kept as a base and a log of changed rows: a batch writes the keys it changed, whatever the table's size.
 
-    Batch n builds version n from the newest complete version below n, so running a batch again gives the same
-    table, and readers never see a half-written version.
+    Each version is a folder, complete once it has _SUCCESS: `log/log_version=n` holds the rows that batch n put in or replaced,
+    `base/base_version=n` the whole table after batch n. A reader takes, for each key, the row of the newest version. Batch
+    n builds on what lies below version n, so running a batch again gives the same table, and readers never see a
+    half-written version. After `every` batches the log is merged into a new base; what lies below the base before that is
+    deleted, so folders stay few, and the last batch can still run again.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str, schema, keys: Sequence[str], every: int = 16):
+        self.spark, self.path, self.schema, self.keys, self.every = spark, path.rstrip("/"), schema, list(keys), every
 
-    def versions(self) -> list[int]:
+    def _fs(self):
         jvm = self.spark._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/version=*/_SUCCESS")) or []
+        return jvm, root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _folder(self, kind: str, version: int) -> str:
+        return f"{self.path}/{kind}/{kind}_version={version}"
+
+    def versions(self, kind: str = "log") -> list[int]:
+        """Complete versions, oldest first."""
+        jvm, fs = self._fs()
+        done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{kind}/{kind}_version=*/_SUCCESS")) or []
         return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
 
+    def _base(self, before: int | None) -> int | None:
+        return max((v for v in self.versions("base") if before is None or v < before), default=None)
+
     def read(self, before: int | None = None) -> DataFrame:
-        found = [v for v in self.versions() if before is None or v < before]
-        if not found:
+        """The table as of the versions below `before` (default: all)."""
+        return self._merged(self._base(before), before)
+
+    def _logs(self, base: int | None, before: int | None) -> list[int]:
+        return [v for v in self.versions() if (base is None or v > base) and (before is None or v < before)]
+
+    def _merged(self, base: int | None, before: int | None) -> DataFrame:
+        logs = self._logs(base, before)
+        parts = []
+        if base is not None:
+            whole = self.spark.read.schema(self.schema).parquet(self._folder("base", base))
+            if not logs:
+                return whole
+            parts.append(whole.withColumn("_version", F.lit(base).cast("bigint")))
+        if logs:
+            schema = T.StructType([*self.schema.fields, T.StructField("log_version", T.LongType())])
+            rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/log").parquet(*[self._folder("log", v) for v in logs])
+            parts.append(rows.withColumnRenamed("log_version", "_version"))
+        if not parts:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={found[-1]}")
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return newest(rows, self.keys, "_version").select(*self.schema.fieldNames())
+
+    def write(self, changed: DataFrame, version: int) -> None:
+        """Put in or replace rows, one a key."""
+        changed.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(self._folder("log", version))
+        base = self._base(version)
+        if len(self._logs(base, version + 1)) >= self.every:
+            self._merged(base, version + 1).write.mode("overwrite").parquet(self._folder("base", version))
+            self._forget(base)
+
+    def _forget(self, base: int | None) -> None:
+        """Delete the log up to a base, and the bases below it."""
+        if base is None:
+            return
+        jvm, fs = self._fs()
+        for kind, last in (("log", base), ("base", base - 1)):
+            for v in self.versions(kind):
+                if v <= last:
+                    fs.delete(jvm.org.apache.hadoop.fs.Path(self._folder(kind, v)), True)
 
 
 def upsert_rule_table(spark: SparkSession, path: str, order: str = "seq"):
     """A foreachBatch function that keeps the rule table at `path` current."""
-    table = VersionedTable(spark, path, RULE)
+    table = LogTable(spark, path, RULE, RULE_KEY)
 
     def apply(updates: DataFrame, batch_id: int) -> None:
-        table.write(upsert_rules(table.read(before=batch_id), updates, order), batch_id)
+        table.write(newest(updates, RULE_KEY, order), batch_id)
 
     return apply
 

@@ -17,7 +17,7 @@ from pointloom.plans.lineage import materialize
 from pointloom.plans.registry import ARITHMETIC, CALCULATIONS
 from pointloom.schemas import MINUTE_MS, RULE_KEY, SERIES, TICK, WINDOW_SLOTS, struct
 from pointloom.sinks.encode import encode_envelope
-from pointloom.sinks.tables import VersionedTable, write_derived
+from pointloom.sinks.tables import LogTable, write_derived
 from pointloom.sources.telemetry import decode, to_readings
 from pointloom.streaming.snapshots import stream_snapshots, stream_ticks
 from pointloom.streaming.state import stream_device_state
@@ -52,7 +52,7 @@ def derive_batch(
     ticks: DataFrame, rs: RuleSet, last_values: DataFrame, carried: DataFrame, tz: str = "UTC",
     slide_ms: int = MINUTE_MS, width: int = WINDOW_SLOTS,
 ) -> tuple[DataFrame, DataFrame]:
-    """Derived points of one micro-batch, and the aggregates that rules on derived points carry to the next.
+    """Derived points of one micro-batch, and the aggregates that its rules on derived points carry to the next.
 
     `ticks` comes from `stream_device_state`; `last_values` holds the operands seen in earlier batches.
     """
@@ -81,9 +81,7 @@ def derive_batch(
         if rs.has(level, "spans", True) or rs.has(level, "runs", True):
             long = here.where((F.col("route") != "rollup") & (F.col("n_required") > engine.WIDE_OPERANDS))
             made.append(calculate(with_period_aggregates(engine._long_formulas(long, *args), tz)))
-    fresh = engine._union(left)
-    fresh = fresh.unionByName(carried.join(fresh.select(*RULE_KEY), RULE_KEY, "left_anti"))
-    return engine._union(made), fresh
+    return engine._union(made), engine._union(left)
 
 
 def batch_function(
@@ -95,12 +93,12 @@ def batch_function(
 
     `write` gets each batch's derived points once they are stored, for a sink of its own (`sinks.tables.kafka_writer`).
 
-    All it keeps is in tables versioned by batch: a batch that runs again starts from the same state and replaces
-    what it wrote.
+    All it keeps is in tables versioned by batch, to which a batch adds the rows it changed: a batch that runs again starts
+    from the same state and replaces what it wrote.
     """
     root = state_path.rstrip("/")
-    last = VersionedTable(spark, f"{root}/last_values", LAST_VALUES)
-    carry = VersionedTable(spark, f"{root}/carried", CARRIED)
+    last = LogTable(spark, f"{root}/last_values", LAST_VALUES, SERIES)
+    carry = LogTable(spark, f"{root}/carried", CARRIED, RULE_KEY)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         path = f"{root}/ticks/batch_id={batch_id}"
@@ -118,9 +116,9 @@ def batch_function(
             "company_id", F.col("dep_device_code").alias("device_id"), F.col("dep_point_code").alias("property_name")
         ).distinct()
         seen = ticks.select(*LAST_VALUES.fieldNames()).unionByName(results.select(*LAST_VALUES.fieldNames()))
-        newest = before.unionByName(seen.where(F.col("value").isNotNull()).join(remembered, SERIES, "left_semi")).groupBy(*SERIES).agg(
-            F.max_by("value", "tick_ms").alias("value"), F.max("tick_ms").alias("tick_ms")
-        )
+        seen = seen.where(F.col("value").isNotNull()).join(remembered, SERIES, "left_semi")
+        touched = before.join(seen.select(*SERIES).distinct(), SERIES, "left_semi").select(*LAST_VALUES.fieldNames())
+        newest = touched.unionByName(seen).groupBy(*SERIES).agg(F.max_by("value", "tick_ms").alias("value"), F.max("tick_ms").alias("tick_ms"))
         last.write(newest, batch_id)
         carry.write(carried, batch_id)
 

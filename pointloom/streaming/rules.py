@@ -19,7 +19,7 @@ from pointloom.operators.topology import affected_rules
 from pointloom.plans.compile import compile_points, rollup_watches, rule_rows
 from pointloom.plans.lineage import materialize
 from pointloom.schemas import MODEL, OBJECT, POINT_CONF, RULE, RULE_KEY
-from pointloom.sinks.tables import VersionedTable, upsert_rules
+from pointloom.sinks.tables import LogTable
 from pointloom.sources.changes import row_image
 
 TABLES = {"point": (POINT_CONF, "data_id"), "object": (OBJECT, "object_id"), "model": (MODEL, "model_id")}
@@ -30,14 +30,15 @@ def _state(schema: T.StructType) -> T.StructType:
 
 
 def current_rows(before: DataFrame, changes: DataFrame, schema: T.StructType, key: str) -> DataFrame:
-    """State of one table after `changes`: its rows with the number of their last change, deleted ones marked.
+    """Rows of one table that `changes` name, with the number of their last change, deleted ones marked.
 
     A change that is older than what is known of its row has no effect, in whatever batch it comes.
     """
     rows = row_image(changes).withColumn("_r", F.from_json("image", schema)).where(F.col(f"_r.{key}").isNotNull())
     fresh = rows.select("_r.*", F.col("seq").alias("_seq"), (F.col("op") == "d").alias("_gone"))
     names = [c for c in before.columns if c != key]
-    newest = before.unionByName(fresh).groupBy(key).agg(F.max_by(F.struct(*names), F.col("_seq")).alias("_s"))
+    touched = before.join(fresh.select(key).distinct(), key, "left_semi").select(*before.columns)
+    newest = touched.unionByName(fresh).groupBy(key).agg(F.max_by(F.struct(*names), F.col("_seq")).alias("_s"))
     return newest.select(key, "_s.*").select(*before.columns)
 
 
@@ -54,8 +55,8 @@ def sync_function(
     `write` also gets each batch's updates (RULE rows with `seq`), for a sink of its own.
     """
     names = names or {t: t for t in TABLES}
-    tables = {t: VersionedTable(spark, f"{root.rstrip('/')}/{t}", _state(schema)) for t, (schema, _) in TABLES.items()}
-    rules = VersionedTable(spark, f"{root.rstrip('/')}/rules", RULE)
+    tables = {t: LogTable(spark, f"{root.rstrip('/')}/{t}", _state(schema), [key]) for t, (schema, key) in TABLES.items()}
+    rules = LogTable(spark, f"{root.rstrip('/')}/rules", RULE, RULE_KEY)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch = materialize(batch.select("table", "op", "before", "after", "seq"))
@@ -64,7 +65,7 @@ def sync_function(
             own = batch.where(F.col("table") == names[t])
             before = tables[t].read(before=batch_id)
             tables[t].write(current_rows(before, own, schema, key), batch_id)
-            old[t], new[t] = _live(before), _live(tables[t].read())
+            old[t], new[t] = _live(before), _live(tables[t].read(before=batch_id + 1))
             texts = own.select(F.explode(F.array("before", "after")).alias("i")).where(F.col("i").isNotNull())
             images[t] = texts.select(F.from_json("i", schema).alias("r")).select("r.*")
         compiled = [compile_points(x["point"], x["object"]) for x in (old, new)]
@@ -86,7 +87,7 @@ def sync_function(
         known = rules.read(before=batch_id)
         off = known.join(touched, RULE_KEY, "left_semi").join(updates.select(*RULE_KEY), RULE_KEY, "left_anti").withColumn("enabled", F.lit(0))
         updates = materialize(updates.select(*RULE.fieldNames()).unionByName(off.select(*RULE.fieldNames())).withColumn("seq", F.lit(batch_id).cast("bigint")))
-        rules.write(upsert_rules(known, updates), batch_id)
+        rules.write(updates, batch_id)
         if write:
             write(updates, batch_id)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pointloom.operators.snapshot import device_origin, latest_snapshot
 from pointloom.schemas import MODEL, RULE, RULE_KEY
 from pointloom.sinks.encode import encode_envelope
-from pointloom.sinks.tables import VersionedTable, preview, upsert_rule_table, write_derived
+from pointloom.sinks.tables import LogTable, preview, upsert_rule_table, write_derived
 from pointloom.sources import changes, telemetry
 from pointloom.sources.history import read_history, write_history
 
@@ -104,7 +104,7 @@ def test_rule_images_are_read_leniently(spark):
 
 def test_upsert_table_is_idempotent_per_batch(spark, tmp_path):
     apply = upsert_rule_table(spark, str(tmp_path / "rules"))
-    table = VersionedTable(spark, str(tmp_path / "rules"), RULE)
+    table = LogTable(spark, str(tmp_path / "rules"), RULE, RULE_KEY)
 
     def batch(*rows):
         return rules(spark, *[r for r, _ in rows]).withColumn("_n", F.monotonically_increasing_id()).join(

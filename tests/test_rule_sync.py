@@ -3,8 +3,8 @@
 import json
 
 from pointloom.plans.compile import compile_rules
-from pointloom.schemas import CDC, OBJECT, POINT_CONF, RULE
-from pointloom.sinks.tables import VersionedTable
+from pointloom.schemas import CDC, OBJECT, POINT_CONF, RULE, RULE_KEY
+from pointloom.sinks.tables import LogTable
 from pointloom.streaming.rules import sync_stream
 
 
@@ -49,7 +49,7 @@ def test_several_batches_and_a_restart(spark, tmp_path):
         spark.createDataFrame(b, CDC).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         run = job().trigger(availableNow=True).start()  # a new query each time: it goes on where the last one stopped
         run.awaitTermination()
-    got = {(r.device_code, r.point_code): (r.expr, r.enabled) for r in VersionedTable(spark, str(tmp_path / "state/rules"), RULE).read().collect()}
+    got = {(r.device_code, r.point_code): (r.expr, r.enabled) for r in LogTable(spark, str(tmp_path / "state/rules"), RULE, RULE_KEY).read().collect()}
     points = spark.createDataFrame(
         [tuple(p.values()) for p in (point(1, 10, "a", day), point(2, 10, "b", "calcConstant('p*2')"), point(3, 1, "sum", "calcSum('M','p')"), point(5, 10, "measured", hour, 1), point(6, 77, "early", day))],
         POINT_CONF,
