@@ -4,6 +4,9 @@ A dependency table has one row per rule operand: RULE_KEY, `idx` (operand number
 (`company_id`, `dep_device_code`, `dep_point_code`) and any attributes of the rule. Rules work on runs as the
 snapshots do: a rule's run starts at a slot in which one of its operands has a reading, keeps its values up to the
 next such slot, and fires for at most `width` window ends. Window ends are written out last.
+
+Values are known for ever, or with `max_age` (a number of slots) at window ends up to so many after the slot of their
+reading: then the operand is unbound until its next reading. Constants have no age.
 """
 
 from __future__ import annotations
@@ -39,17 +42,30 @@ def _run_length(w, width: int) -> Column:
 
 
 def trigger_rules(readings: DataFrame, deps: DataFrame, slide_ms: int = MINUTE_MS, width: int = WINDOW_SLOTS) -> DataFrame:
-    """(tick_ms, RULE_KEY) once for every window end whose snapshot holds an operand of the rule."""
+    """(tick_ms, RULE_KEY) once for every window end whose snapshot holds an operand of the rule.
+
+    The slots of a rule with any of its operands are bits of one number an hour of 60 slots, put together before the shuffle:
+    a rule has one row an hour, however many operands. Slots and window ends are written out last.
+    """
     fired = operand_slots(slot_latest(readings, slide_ms), deps.select(*RULE_KEY, "dep_device_code", "dep_point_code"))
-    w = Window.partitionBy(*RULE_KEY).orderBy("slot")
-    runs = spread(fired.select(*RULE_KEY, "slot"), *RULE_KEY).withColumn("_n", _run_length(w, width)).where("_n > 0")
-    tick = F.explode(F.sequence(F.col("slot") + 1, F.col("slot") + F.col("_n")))
-    return runs.select(*RULE_KEY, tick.alias("_tick")).select((F.col("_tick") * slide_ms).alias("tick_ms"), *RULE_KEY)
+    bits = F.bit_or(F.expr("shiftleft(1L, cast(pmod(slot, 60) AS int))"))
+    hours = fired.groupBy(*RULE_KEY, F.expr("slot - pmod(slot, 60)").alias("_hour")).agg(bits.alias("_bits"))
+    held = F.filter(F.sequence(F.lit(0), F.lit(59)), lambda bit: F.getbit("_bits", bit) == 1)
+    hours = hours.select(*RULE_KEY, "_hour", F.transform(held, lambda bit: F.col("_hour") + bit).alias("_slots"))
+    following = F.lead(F.get("_slots", F.lit(0))).over(Window.partitionBy(*RULE_KEY).orderBy("_hour"))
+    hours = hours.withColumn("_after", following)
+
+    def window_ends(slot: Column, i: Column) -> Column:
+        until = F.coalesce(F.get("_slots", i + 1), F.col("_after"), slot + width)
+        return F.sequence(slot + 1, F.least(until, slot + width))
+
+    tick = F.explode(F.flatten(F.transform("_slots", window_ends)))
+    return hours.select(*RULE_KEY, tick.alias("_tick")).select((F.col("_tick") * slide_ms).alias("tick_ms"), *RULE_KEY)
 
 
 def bound_runs(
     slots: DataFrame, firings: DataFrame | None, deps: DataFrame, arity: int, attributes: Sequence[str] = (),
-    width: int = WINDOW_SLOTS,
+    width: int = WINDOW_SLOTS, max_age: int | None = None,
 ) -> DataFrame:
     """Runs of rules whose operands belong to one device: RULE_KEY, attributes, slot, n, v_0 .. v_{arity-1}.
 
@@ -71,7 +87,12 @@ def bound_runs(
         seen = F.last(F.when(F.col("idx") == i, F.col("value")), ignorenulls=True).over(upto)
         return F.coalesce(seen, F.get("consts", F.lit(i))) if has_consts else seen
 
-    bound = rows.withColumns({"n": _run_length(w, width), **{f"v_{i}": operand(i) for i in range(arity)}})
+    n = _run_length(w, width)
+    if max_age is not None:
+        # values only grow older along a run, so the oldest operand ends it
+        read = [F.max(F.when(F.col("idx") == i, F.col("slot"))).over(upto) for i in range(arity)]
+        n = F.least(n, F.array_min(F.array(*read)) + max_age - F.col("slot")).cast("int")
+    bound = rows.withColumns({"n": n, **{f"v_{i}": operand(i) for i in range(arity)}})
     return bound.where(F.col("n") > 0).select(*kept, "slot", "n", *[f"v_{i}" for i in range(arity)])
 
 
@@ -84,10 +105,11 @@ def all_bound(arity: int, required: Column) -> Column:
 
 
 def bind_variables(
-    readings: DataFrame, deps: DataFrame, arity: int, slide_ms: int = MINUTE_MS, width: int = WINDOW_SLOTS
+    readings: DataFrame, deps: DataFrame, arity: int, slide_ms: int = MINUTE_MS, width: int = WINDOW_SLOTS,
+    max_age: int | None = None,
 ) -> DataFrame:
     """(tick_ms, RULE_KEY, v_0 ..) at every firing at which all `n_required` operands have a value."""
-    runs = bound_runs(slot_latest(readings, slide_ms), None, deps, arity, ["n_required"], width)
+    runs = bound_runs(slot_latest(readings, slide_ms), None, deps, arity, ["n_required"], width, max_age)
     runs = runs.where(all_bound(arity, F.col("n_required")))
     values = [f"v_{i}" for i in range(arity)]
     tick = F.explode(F.sequence(F.col("slot") + 1, F.col("slot") + F.col("n")))
@@ -98,7 +120,7 @@ def bind_variables(
 
 def operand_spans(
     slots: DataFrame | None, firings: DataFrame | None, deps: DataFrame, derived: DataFrame | None,
-    constants: DataFrame | None, slide_ms: int, width: int,
+    constants: DataFrame | None, slide_ms: int, width: int, max_age: int | None = None,
 ) -> DataFrame:
     """Operands of rules over several devices or over derived points, per window end.
 
@@ -140,6 +162,8 @@ def operand_spans(
     spans = rows.withColumn("_next", F.lead("slot").over(w)).join(bounds, by)
     first = F.coalesce(F.col("slot") + 1, F.col("_from"))
     last = F.least(F.coalesce("_next", "_to"), F.col("_to"))
+    if max_age is not None:
+        last = F.least(last, F.col("slot") + max_age)  # without slot: a constant
     ticks = spans.where(first <= last).select(
         *by, "idx", "slot", "value", "firings", F.explode(F.sequence(first, last)).alias("tick")
     )
@@ -149,13 +173,14 @@ def operand_spans(
 
 def operand_events(
     slots: DataFrame | None, firings: DataFrame | None, deps: DataFrame, derived: DataFrame | None,
-    constants: DataFrame | None, slide_ms: int, width: int,
+    constants: DataFrame | None, slide_ms: int, width: int, max_age: int | None = None,
 ) -> DataFrame:
     """Operands of rules over several devices or over derived points, only at window ends that hold them.
 
     Columns: the rule's key, idx, tick (minute number), snapshot_ms; where the operand changes also its value and `before`,
     the value it replaces. A reading is in at most `width` snapshots, a derived value in that of its own tick, so
-    rows follow the readings, however far apart they are. A constant is a change before all ticks.
+    rows follow the readings, however far apart they are. A constant is a change before all ticks. With `max_age` a value
+    too old is replaced by null, in a row without snapshot_ms.
     """
     by = rule_key(deps)
     operand = list(dict.fromkeys([*by, "idx", "company_id", "device_id", "property_name"]))
@@ -184,26 +209,37 @@ def operand_events(
         rows = rows.unionByName(p)
     w = Window.partitionBy(*operand).orderBy(F.col("slot").asc_nulls_first())
     rows = rows.withColumns({"_next": F.lead("slot").over(w), "before": F.lag("value").over(w)})
+    outdated = None
+    if max_age is not None:
+        rests = F.coalesce(F.col("_next") > F.col("slot") + max_age, F.col("slot").isNotNull())
+        outdated = rows.where(rests).select(
+            *by, "idx", (F.col("slot") + max_age + 1).alias("tick"), F.lit(None).cast("bigint").alias("snapshot_ms"),
+            F.lit(None).cast("double").alias("value"), F.col("value").alias("before"),
+        )
+        renewed = F.lag("slot").over(w) + max_age < F.col("slot")
+        rows = rows.withColumn("before", F.when(~F.coalesce(renewed, F.lit(False)), F.col("before")))
     # in the snapshots up to the one that holds the operand's next reading
     count = F.coalesce(F.least(F.size("firings"), (F.col("_next") - F.col("slot")).cast("int")), F.size("firings"))
     held = F.when(count > 0, F.slice("firings", F.lit(1), count)).otherwise(F.slice("firings", 1, 1))
     events = rows.select(*by, "idx", "slot", "value", "before", count.alias("_n"), F.posexplode(held).alias("_i", "_offset"))
     first = F.col("_i") == 0
-    return events.select(
+    events = events.select(
         *by, "idx", F.coalesce(F.col("slot") + 1 + F.col("_i"), F.lit(-(2**62))).alias("tick"),
         F.when(F.col("_n") > 0, F.col("slot") * slide_ms + F.col("_offset")).alias("snapshot_ms"),
         F.when(first, F.col("value")).alias("value"), F.when(first, F.col("before")).alias("before"),
     )
+    return events if outdated is None else events.unionByName(outdated)
 
 
 def _upto(by: Sequence[str]):
     return Window.partitionBy(*by).orderBy("tick").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def bind_events(events: DataFrame, attributes: DataFrame, arity: int) -> DataFrame:
+def bind_events(events: DataFrame, attributes: DataFrame, arity: int, max_age: int | None = None) -> DataFrame:
     """Rules over several devices: `attributes`, tick, snapshot_ms, v_0 .. v_{arity-1}, all bound.
 
-    An operand keeps its last value. A rule has one row per tick before its values are carried on.
+    An operand keeps its last value, for `max_age` slots if that is given. A rule has one row per tick before its values are
+    carried on.
     """
     by = rule_key(events)
     wide = events.groupBy(*by, "tick").agg(
@@ -211,6 +247,16 @@ def bind_events(events: DataFrame, attributes: DataFrame, arity: int) -> DataFra
         *[F.max(F.when(F.col("idx") == i, F.col("value"))).alias(f"v_{i}") for i in range(arity)],
     )
     kept = wide.withColumns({f"v_{i}": F.last(f"v_{i}", ignorenulls=True).over(_upto(by)) for i in range(arity)})
+    if max_age is not None:
+        first = [f"_at_{i}" for i in range(arity)]
+        changed = [F.when(F.col(f"v_{i}").isNotNull() & (F.col("tick") > -(2**62)), F.col("tick")) for i in range(arity)]
+        at = wide.withColumns(dict(zip(first, changed, strict=True)))
+        kept = at.withColumns({
+            **{f"v_{i}": F.last(f"v_{i}", ignorenulls=True).over(_upto(by)) for i in range(arity)},
+            **{a: F.last(a, ignorenulls=True).over(_upto(by)) for a in first},
+        })
+        oldest = F.array_min(F.array(*first))  # a value read in slot s came at window end s + 1
+        kept = kept.where(F.coalesce(F.col("tick") - oldest < max_age, F.lit(True))).drop(*first)
     rows = kept.where(F.col("snapshot_ms").isNotNull()).join(attributes, by)
     return rows.where(all_bound(arity, F.col("n_required")))
 
@@ -223,7 +269,7 @@ def rollup(events: DataFrame, children: DataFrame) -> DataFrame:
     a value leaves no trace once it is replaced, however large it was. Values that are no finite numbers are counted aside.
     """
     by = rule_key(events)
-    is_change = F.col("value").isNotNull()
+    is_change = F.col("value").isNotNull() | F.col("before").isNotNull()
     kinds = {
         "_nan": lambda c: F.isnan(c), "_up": lambda c: c == float("inf"), "_down": lambda c: c == float("-inf"),
     }
@@ -232,7 +278,7 @@ def rollup(events: DataFrame, children: DataFrame) -> DataFrame:
     parts = [f"_limb_{i}" for i in range(len(of))]
     changes = {
         **{n: new - old for n, new, old in zip(parts, limbs(finite("value"), of), limbs(finite("before"), of), strict=True)},
-        "_known": F.col("before").isNull().cast("int"),
+        "_known": F.col("value").isNotNull().cast("int") - F.col("before").isNotNull().cast("int"),
         **{n: F.coalesce(is_kind(F.col("value")).cast("int"), F.lit(0)) - F.coalesce(is_kind(F.col("before")).cast("int"), F.lit(0)) for n, is_kind in kinds.items()},
     }
     sums = events.groupBy(*by, "tick").agg(

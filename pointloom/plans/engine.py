@@ -195,7 +195,9 @@ def _computed(arity: int):
     return evaluate(F.col("program"), F.array(*[F.col(f"v_{i}") for i in range(arity)]))
 
 
-def _same_device(heads: DataFrame, slots: DataFrame, firings: DataFrame, rs: RuleSet, slide_ms: int, width: int) -> DataFrame:
+def _same_device(
+    heads: DataFrame, slots: DataFrame, firings: DataFrame, rs: RuleSet, slide_ms: int, width: int, max_age: int | None = None
+) -> DataFrame:
     arity = rs.arity["runs"]
     consts = (
         rs.deps.withColumnRenamed("dep_device_code", "device_id").withColumnRenamed("dep_point_code", "property_name")
@@ -205,7 +207,7 @@ def _same_device(heads: DataFrame, slots: DataFrame, firings: DataFrame, rs: Rul
     )
     deps = rs.deps.join(heads.select(*RULE_KEY, "rule_id"), RULE_KEY).join(consts, RULE_KEY, "left")
     deps = deps.withColumn("consts", F.coalesce("consts", F.array_repeat(F.lit(None).cast("double"), arity)))
-    runs = bound_runs(slots, firings, deps.drop("var"), arity, (), width)
+    runs = bound_runs(slots, firings, deps.drop("var"), arity, (), width, max_age)
     runs = runs.join(heads.select("rule_id", "kind", "program", "parameters", "n_required"), "rule_id")
     runs = runs.where(all_bound(arity, F.col("n_required"))).withColumn("computed", _computed(arity))
     return runs.select(
@@ -222,20 +224,20 @@ def _deps_of(heads: DataFrame, rs: RuleSet) -> DataFrame:
     return rs.deps.join(heads.select(*RULE_KEY, "rule_id"), RULE_KEY).drop("var", "device_code", "point_code")
 
 
-def _many_devices(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int) -> DataFrame:
+def _many_devices(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int, max_age: int | None = None) -> DataFrame:
     arity = max(rs.arity.get("spans", 1), rs.arity.get("runs", 1) if slots is None else 1)
-    events = operand_events(slots, firings, _deps_of(heads, rs), derived, rs.constants, slide_ms, width)
+    events = operand_events(slots, firings, _deps_of(heads, rs), derived, rs.constants, slide_ms, width, max_age)
     attributes = heads.select("rule_id", *RULE_KEY, "kind", "program", "parameters", "n_required")
-    bound = bind_events(events, attributes, arity)
+    bound = bind_events(events, attributes, arity, max_age)
     return bound.select(
         "rule_id", *RULE_KEY, "kind", "parameters", F.col("v_0").alias("value"), _computed(arity).alias("computed"),
         (F.col("tick") * slide_ms).alias("tick_ms"), "snapshot_ms",
     )
 
 
-def _long_formulas(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int) -> DataFrame:
+def _long_formulas(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int, max_age: int | None = None) -> DataFrame:
     """Formulas with more operands than are bound as columns: values gathered per firing, at most one per operand."""
-    spans = operand_spans(slots, firings, _deps_of(heads, rs), derived, rs.constants, slide_ms, width)
+    spans = operand_spans(slots, firings, _deps_of(heads, rs), derived, rs.constants, slide_ms, width, max_age)
     gathered = spans.groupBy("rule_id", "tick").agg(
         F.max("snapshot_ms").alias("snapshot_ms"),
         F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("_v"),
@@ -251,10 +253,10 @@ def _long_formulas(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, w
     )
 
 
-def _rollups(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int) -> DataFrame:
+def _rollups(heads, slots, firings, rs: RuleSet, derived, slide_ms: int, width: int, max_age: int | None = None) -> DataFrame:
     deps = _deps_of(heads, rs)
     # each child is an operand of its own: its series stands for its number
-    events = materialize(operand_events(slots, firings, deps, derived, rs.constants, slide_ms, width))
+    events = materialize(operand_events(slots, firings, deps, derived, rs.constants, slide_ms, width, max_age))
     sums = rollup(events, heads.select("rule_id", *RULE_KEY, "kind", F.col("n_required").alias("n_children")))
     value = F.when(F.col("kind") == "CHILD_AVG", F.col("total") / F.col("n_children")).otherwise(F.col("total"))
     return sums.select(
@@ -319,11 +321,11 @@ def without_period(fired: DataFrame) -> DataFrame:
 
 def derive(
     readings: DataFrame, rules: DataFrame | RuleSet, objects: DataFrame | None = None, models: DataFrame | None = None,
-    tz: str = "UTC", slide_ms: int = MINUTE_MS, width: int = WINDOW_SLOTS,
+    tz: str = "UTC", slide_ms: int = MINUTE_MS, width: int = WINDOW_SLOTS, max_age: int | None = None,
 ) -> DataFrame:
     """All derived points of all firings: (tick_ms, snapshot_ms, company_id, device_id, property_name, value).
 
-    Rules on derived points run after those they depend on, level by level; the results of a level are written once.
+    With `max_age` an operand is bound up to so many slots after that of its last reading. Rules on derived points run after those they depend on, level by level; the results of a level are written once.
     """
     rs = rules if isinstance(rules, RuleSet) else prepare_rules(rules, objects, models)
     slots = slot_latest(readings, slide_ms)
@@ -335,13 +337,13 @@ def derive(
     made: list[DataFrame] = []
     for level in range(rs.max_level + 1):
         here = rs.rules.where(F.col("level") == level)
-        args = (slots, firings, rs, _union(made) if level > 0 else None, slide_ms, width)
+        args = (slots, firings, rs, _union(made) if level > 0 else None, slide_ms, width, max_age)
         parts: list[DataFrame] = []
         for of_period in (False, True):
             aggregated = (lambda rows: with_period_aggregates(rows, tz)) if of_period else without_period
             some = here.where(periodic if of_period else ~periodic)
             if rs.has(level, "runs", False, of_period):
-                parts.append(calculate(aggregated(_same_device(some.where((F.col("route") == "runs") & ~long), slots, firings, rs, slide_ms, width))))
+                parts.append(calculate(aggregated(_same_device(some.where((F.col("route") == "runs") & ~long), slots, firings, rs, slide_ms, width, max_age))))
             if rs.has(level, "spans", False, of_period):
                 parts.append(calculate(aggregated(_many_devices(some.where((F.col("route") == "spans") & ~long), *args))))
             if rs.has(level, "runs", True, of_period) or rs.has(level, "spans", True, of_period):

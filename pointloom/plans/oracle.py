@@ -273,6 +273,43 @@ def derived(*codes: str) -> str:
     )
 
 
+_MINUTE = "cast(floor(ts_ms / 60000.0) AS bigint)"
+
+
+def aged(age: int) -> str:
+    """Values looked up in the minutes of the readings themselves, and only if at most `age` minutes old."""
+
+    def read(alias: str, device: str, point: str, of: str) -> str:
+        return (
+            f"ASOF JOIN (SELECT * FROM slots WHERE property_name = '{point}') {alias} ON {of}.company_id = {alias}.company_id "
+            f"AND {device} = {alias}.device_id AND {of}.tick_ms // 60000 > {alias}.slot"
+        )
+
+    def young(of: str, *names: str) -> str:
+        return " AND ".join(f"{of}.tick_ms // 60000 - {a}.slot <= {age}" for a in names)
+
+    rows = [
+        "SELECT w.tick_ms, w.snapshot_ms, w.company_id, w.device_id, 'mix' AS property_name, (x.value + y.value) / 2 AS value FROM "
+        "(SELECT wide.* FROM wide JOIN live USING (company_id, device_id) WHERE click IS NOT NULL OR view IS NOT NULL) w "
+        + read("x", "w.device_id", "click", "w") + " " + read("y", "w.device_id", "view", "w") + f" WHERE {young('w', 'x', 'y')}",
+        "SELECT w.tick_ms, w.snapshot_ms, w.company_id, w.device_id, 'cross', x.value - y.value * 0.5 FROM "
+        "(SELECT *, concat('D', cast(substr(device_id, 2) AS int) + 2) AS other FROM cross_wide) w "
+        + read("x", "w.device_id", "click", "w") + " " + read("y", "w.other", "view", "w") + f" WHERE {young('w', 'x', 'y')}",
+    ] + [
+        f"SELECT tick_ms, any_value(snapshot_ms), company_id, concat('P', parent_id), '{code}', {fn}(value) FROM plant_young "
+        "GROUP BY tick_ms, company_id, parent_id HAVING count(*) = count(value)"
+        for code, fn in (("plantSum", "sum"), ("plantAvg", "avg"))
+    ]
+    slots = f"SELECT company_id, device_id, property_name, {_MINUTE} AS slot, arg_max(value, (ts_ms, seq)) AS value FROM telemetry GROUP BY ALL"
+    young_plants = (
+        f"SELECT g.tick_ms, g.snapshot_ms, g.company_id, g.parent_id, CASE WHEN {young('g', 'x')} THEN x.value END AS value FROM plant_grid g "
+        + read("x", "g.device_id", "purchase", "g").replace("ASOF JOIN", "ASOF LEFT JOIN")
+    )
+    return with_(**BASE, **CROSS, **PLANT, slots=slots, plant_young=young_plants) + (
+        f"SELECT tick_ms, snapshot_ms, {KEY}, {rnd('value')} AS value FROM ({' UNION ALL '.join(rows)})"
+    )
+
+
 # ---- catalogue ------------------------------------------------------------------------------------------------
 def _listed(*deps: str) -> str:
     return "concat(" + ", ';', ".join(deps) + ")"
@@ -455,6 +492,7 @@ ALL: dict[str, str] = {
     "bit_at": with_(telemetry=telemetry()) + (
         f"SELECT seq, cast(bit AS int) AS bit, cast((cast(floor(abs(value)) AS bigint) * sign({_BITS})::bigint >> (bit - 1)::bigint) & 1 AS double) AS bit_value FROM telemetry, range(1, 10) r(bit)"
     ),
+    "derive_aged": aged(180),
     "rollup_sum": derived("plantSum"),
     "rollup_avg": derived("plantAvg"),
     "rollup_spikes": with_(**{**BASE, "telemetry": f"SELECT * REPLACE ({sample.SPIKED.replace('D ', ' ')} AS value) FROM ({telemetry()})"}, **PLANT)

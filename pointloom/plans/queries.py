@@ -362,6 +362,15 @@ def rollup_spikes(spark, d):
     return out.select("tick_ms", "snapshot_ms", *SERIES, value.alias("value"))
 
 
+@query
+def derive_aged(spark, d):
+    """Formulas on one and on two devices and roll-ups whose operands count for three hours after their reading."""
+    codes = ["mix", "cross", "plantSum", "plantAvg"]
+    rules = materialize(_rules(spark, d)).where(F.col("point_code").isin(codes))
+    out = engine.derive(sample.telemetry(spark, d), rules, sample.objects(spark, d), sample.models(spark, d), max_age=180)
+    return out.select("tick_ms", "snapshot_ms", *SERIES, rounded("value").alias("value"))
+
+
 ALL["arithmetic"] = _derive("mix", "ratio", "revenue", "weighted")
 ALL["cross_device"] = _derive("cross")
 ALL["bit_rules"] = _derive("errBit")
