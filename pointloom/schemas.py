@@ -10,6 +10,7 @@ WINDOW_SLOTS = 15  # 15-minute window sliding by one minute
 DEVICE = ["company_id", "device_id"]
 SERIES = ["company_id", "device_id", "property_name"]
 RULE_KEY = ["company_id", "device_code", "point_code"]
+ORIGIN = ["project_id", "gateway_code"]  # where a reading came from
 
 
 _TYPES = {

@@ -15,8 +15,8 @@ from pointloom.plans import engine
 from pointloom.plans.engine import RuleSet, calculate, prepare_rules, with_period_aggregates
 from pointloom.plans.lineage import materialize
 from pointloom.plans.registry import ARITHMETIC, CALCULATIONS
-from pointloom.schemas import MINUTE_MS, RULE_KEY, SERIES, TICK, WINDOW_SLOTS, struct
-from pointloom.sinks.encode import encode_envelope
+from pointloom.schemas import DEVICE, MINUTE_MS, ORIGIN, RULE_KEY, SERIES, TICK, WINDOW_SLOTS, struct
+from pointloom.sinks.encode import derived_points, encode_envelope, rule_origin
 from pointloom.sinks.tables import LogTable, write_derived
 from pointloom.sources.telemetry import decode, to_readings
 from pointloom.streaming.snapshots import stream_snapshots, stream_ticks
@@ -27,6 +27,7 @@ LAST_VALUES = struct("company_id STRING, device_id STRING, property_name STRING,
 CARRIED = struct(
     "company_id STRING, device_code STRING, point_code STRING, _period BIGINT, _first DOUBLE, _max DOUBLE, _min DOUBLE, _sum DOUBLE, _count DOUBLE"
 )
+ORIGINS = struct("company_id STRING, device_id STRING, project_id STRING, gateway_code STRING, tick_ms BIGINT")
 _CORE = TICK.fieldNames()
 
 
@@ -91,7 +92,9 @@ def batch_function(
 ) -> Callable[[DataFrame, int], None]:
     """The foreachBatch function. Rules are loaded anew each time, so a changed rule counts from the next batch on.
 
-    `write` gets each batch's derived points once they are stored, for a sink of its own (`sinks.tables.kafka_writer`).
+    Points are stored as full records: project and gateway are those of the device's snapshot, else the last known of the
+    device, else the last known of its rules' operands. `write` gets each batch's points once they are stored, for a sink
+    of its own (`sinks.tables.kafka_writer`).
 
     All it keeps is in tables versioned by batch, to which a batch adds the rows it changed: a batch that runs again starts
     from the same state and replaces what it wrote.
@@ -99,6 +102,7 @@ def batch_function(
     root = state_path.rstrip("/")
     last = LogTable(spark, f"{root}/last_values", LAST_VALUES, SERIES)
     carry = LogTable(spark, f"{root}/carried", CARRIED, RULE_KEY)
+    origins = LogTable(spark, f"{root}/origins", ORIGINS, DEVICE)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         path = f"{root}/ticks/batch_id={batch_id}"
@@ -107,6 +111,14 @@ def batch_function(
         rs = prepare_rules(rules(spark), objects and objects(spark), models and models(spark))
         before = last.read(before=batch_id)
         derived, carried = derive_batch(ticks, rs, before, carry.read(before=batch_id), tz, slide_ms, width)
+        fired = ticks.where(F.col("project_id").isNotNull()).groupBy("tick_ms", *DEVICE).agg(F.max(F.struct(*ORIGIN)).alias("_o"))
+        fired = fired.select("tick_ms", *DEVICE, "_o.*")
+        newest = fired.groupBy(*DEVICE).agg(F.max(F.struct("tick_ms", *ORIGIN)).alias("_o")).select(*DEVICE, "_o.*")
+        newest = materialize(newest.select(*ORIGINS.fieldNames()))
+        old = origins.read(before=batch_id).select(*ORIGINS.fieldNames())
+        own = old.join(newest, DEVICE, "left_anti").unionByName(newest).select(*DEVICE, *ORIGIN)
+        moved = newest.join(old.select(*DEVICE, *ORIGIN), [*DEVICE, *ORIGIN], "left_anti")  # only these are written
+        derived = derived_points(derived, fired, own, rule_origin(rs.deps, own))
         write_derived(derived, out_path, batch_id)
         results = spark.read.schema(derived.schema).parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
         if write:
@@ -118,8 +130,9 @@ def batch_function(
         seen = ticks.select(*LAST_VALUES.fieldNames()).unionByName(results.select(*LAST_VALUES.fieldNames()))
         seen = seen.where(F.col("value").isNotNull()).join(remembered, SERIES, "left_semi")
         touched = before.join(seen.select(*SERIES).distinct(), SERIES, "left_semi").select(*LAST_VALUES.fieldNames())
-        newest = touched.unionByName(seen).groupBy(*SERIES).agg(F.max_by("value", "tick_ms").alias("value"), F.max("tick_ms").alias("tick_ms"))
-        last.write(newest, batch_id)
+        latest = touched.unionByName(seen).groupBy(*SERIES).agg(F.max_by("value", "tick_ms").alias("value"), F.max("tick_ms").alias("tick_ms"))
+        last.write(latest, batch_id)
+        origins.write(moved, batch_id)
         carry.write(carried, batch_id)
 
     return run

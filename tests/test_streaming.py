@@ -120,11 +120,14 @@ def test_from_messages_to_messages(spark, tmp_path):
         body = {"meter": device, "datas": [{"nm": name, "v": value, "ts": (T0 + ms) // 1000}]}
         return json.dumps({"topic": "/data/x/y/gw/396/161", "payload": json.dumps(body)})
 
-    sent = [("D0", "a", 1, 0), ("D0", "a", 5, 0), ("D1", "b", 2, 30_000), ("D0", "a", 7, 20 * MIN), ("D1", "b", 4, 21 * MIN), ("S", "s", 0, FAR)]
+    sent = [("D0", "a", 1, 0), ("D0", "a", 5, 0), ("D1", "b", 2, 30_000), ("D0", "a", 7, 20 * MIN), ("D1", "b", 4, 21 * MIN), ("D0", "a", 8, 40 * MIN), ("S", "s", 0, FAR)]
     rows = [(message(*m), 0, i) for i, m in enumerate(sent)]
     spark.createDataFrame(rows, "value STRING, partition INT, offset BIGINT").coalesce(1).write.parquet(str(tmp_path / "in"))
     raw = spark.readStream.schema("value STRING, partition INT, offset BIGINT").parquet(str(tmp_path / "in"))
-    table = rules(spark, rule("x", "a+b", [("a", "D0", "a"), ("b", "D1", "b")]), rule("h", "HOUR_DIFF", [("a", "D0", "a"), ("b", "D1", "b")], 1))
+    table = rules(
+        spark, rule("x", "a+b", [("a", "D0", "a"), ("b", "D1", "b")]), rule("h", "HOUR_DIFF", [("a", "D0", "a"), ("b", "D1", "b")], 1),
+        rule("up", "b*2", [("b", "D1", "b")], device="P"),  # a device that sends nothing
+    )
     out: list = []
     job = telemetry_stream(
         raw, lambda s: table, str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "cp"), lambda m, i: out.extend(r.value for r in m.collect())
@@ -133,12 +136,18 @@ def test_from_messages_to_messages(spark, tmp_path):
     got = {}
     for text in out:
         payload = json.loads(json.loads(text)["payload"])
+        assert json.loads(text)["topic"] == "/data/derived/calc/tcp/396/161"  # also of P, by its operand's device
         for d in payload["datas"]:
             got[(int(payload["mid"].split("-")[1]), payload["meter"], d["nm"])] = d["v"]
     readings_of = to_readings(decode(spark.createDataFrame(rows, "value STRING, partition INT, offset BIGINT")))
     want = {(r.tick_ms, r.device_id, r.property_name): r.value for r in derive(readings_of, table).collect()}
     assert got == want and got[(T0 + MIN, "D0", "x")] == 7.0
-    assert {v for (_, _, p), v in got.items() if p == "h"} == {0.0, 2.0}
+    assert {v for (_, _, p), v in got.items() if p == "h"} == {0.0, 2.0, 3.0}
+    assert {d for _, d, _ in got} == {"D0", "P"}
+    stored = spark.read.parquet(str(tmp_path / "out")).select("project_id", "gateway_code", "data_type", "property_value", "value", "data_date", "snapshot_ms").collect()
+    assert len(stored) == len(got)
+    for r in stored:
+        assert (r.project_id, r.gateway_code, r.data_type) == ("161", "gw", "calc") and float(r.property_value) == r.value and r.data_date == r.snapshot_ms
 
 
 def test_ticks_of_stream_and_batch_share_the_function(spark):
