@@ -493,6 +493,17 @@ ALL: dict[str, str] = {
         f"SELECT seq, cast(bit AS int) AS bit, cast((cast(floor(abs(value)) AS bigint) * sign({_BITS})::bigint >> (bit - 1)::bigint) & 1 AS double) AS bit_value FROM telemetry, range(1, 10) r(bit)"
     ),
     "derive_aged": aged(180),
+    "encode_results": with_(
+        **BASE, **CROSS, **PLANT,
+        fired="SELECT tick_ms, company_id, device_id, arg_max(project_id, (ts_ms, seq)) AS project_id FROM "
+        f"(SELECT *, ({_MINUTE} + 1 + k) * 60000 AS tick_ms FROM telemetry, range(15) r(k)) GROUP BY ALL",
+        own="SELECT company_id, device_id, arg_max(project_id, (ts_ms, seq)) AS project_id FROM telemetry GROUP BY ALL",
+        parent="SELECT company_id, concat('P', parent_id) AS device_id, max(project_id) AS project_id FROM children JOIN own USING (company_id, device_id) GROUP BY ALL",
+    ) + (
+        "SELECT tick_ms, company_id, device_id, coalesce(f.project_id, o.project_id, p.project_id) AS project_id, 'tcp' AS gateway_code, property_name, "
+        f"{rnd('value')} AS value, snapshot_ms // 1000 * 1000 AS ts_ms FROM ({' UNION ALL BY NAME '.join(DERIVED[c] for c in ('mix', 'cross', 'plantSum'))}) "
+        "LEFT JOIN fired f USING (tick_ms, company_id, device_id) LEFT JOIN own o USING (company_id, device_id) LEFT JOIN parent p USING (company_id, device_id)"
+    ),
     "rollup_sum": derived("plantSum"),
     "rollup_avg": derived("plantAvg"),
     "rollup_spikes": with_(**{**BASE, "telemetry": f"SELECT * REPLACE ({sample.SPIKED.replace('D ', ' ')} AS value) FROM ({telemetry()})"}, **PLANT)

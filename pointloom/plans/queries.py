@@ -15,8 +15,8 @@ from pointloom.operators import asof, binding, constants, series, snapshot, topo
 from pointloom.plans import compile as compiler
 from pointloom.plans import engine, sample
 from pointloom.plans.lineage import checkpoint_folder, materialize
-from pointloom.schemas import OBJECT, POINT_CONF, RULE, RULE_KEY, SERIES
-from pointloom.sinks.encode import encode_envelope
+from pointloom.schemas import DEVICE, OBJECT, ORIGIN, POINT_CONF, RULE, RULE_KEY, SERIES
+from pointloom.sinks.encode import derived_points, encode_envelope, rule_origin
 from pointloom.sinks.tables import upsert_rules
 from pointloom.sources import changes, telemetry
 from pointloom.streaming import snapshots as live
@@ -371,6 +371,22 @@ def derive_aged(spark, d):
     return out.select("tick_ms", "snapshot_ms", *SERIES, rounded("value").alias("value"))
 
 
+@query
+def encode_results(spark, d):
+    """Results of formulas on one and two devices and of roll-ups as full records, sent as messages, then decoded again."""
+    readings = sample.telemetry(spark, d)
+    rules = materialize(_rules(spark, d)).where(F.col("point_code").isin("mix", "cross", "plantSum"))
+    rs = engine.prepare_rules(rules, sample.objects(spark, d), sample.models(spark, d))
+    fired = snapshot.device_origin(readings)
+    own = fired.groupBy(*DEVICE).agg(F.max_by(F.struct(*ORIGIN), "tick_ms").alias("o")).select(*DEVICE, "o.*")
+    points = derived_points(engine.derive(readings, rs), fired, own, rule_origin(rs.deps, own))
+    got = telemetry.decode_envelope(encode_envelope(points.withColumn("value", rounded("value"))).select("tick_ms", "value"))
+    return got.select(
+        "tick_ms", "company_id", "device_id", "project_id", "gateway_code", "property_name",
+        rounded("property_num_value").alias("value"), "ts_ms",
+    )
+
+
 ALL["arithmetic"] = _derive("mix", "ratio", "revenue", "weighted")
 ALL["cross_device"] = _derive("cross")
 ALL["bit_rules"] = _derive("errBit")
