@@ -10,7 +10,8 @@ the anchor's context. So strings can only be equal inside contexts of one anchor
 
 1. Texts are gathered into chunks (module chunks), written once, bucketed by chunk, and never shuffled.
 2. Each chunk sends, by anchor hash, the hash of each context (its first copy in the chunk only). A hash that comes once
-   needs no more. Whole copies of an earlier context are duplicates in all their starts: this is the pre-aggregation that
+   needs no more. Contexts of one anchor count as equal by 63 bits of their hash: among four million different ones of one
+   anchor, two agree with a probability of one in a million. Whole copies of an earlier context are duplicates in all their starts: this is the pre-aggregation that
    keeps copies, however many, out of what follows.
 3. First copies of contexts that share an anchor with other contexts are sent with their text. A bin of them becomes a
    Burrows-Wheeler transform, on which backward extension of intervals by increasing prefix length, stopped at `length`,
@@ -167,8 +168,8 @@ class Chunk:
         self.document, self.value, context, tied, self.first, self.last = (
             np.concatenate([m[k] for m in made]) if made else np.zeros(0, kind) for k, kind in enumerate(kinds)
         )
-        # 47 bits of the context's hash and whether the context may repeat inside itself
-        self.mark = (context >> U64(16)) & ~U64(1) | tied.astype(U64)
+        # 63 bits of the context's hash and whether the context may repeat inside itself
+        self.mark = context & ~U64(1) | tied.astype(U64)
         self.ids = ids
         both = np.lexsort((np.arange(len(self.value)), self.mark, self.value))
         new = np.r_[True, (self.value[both][1:] != self.value[both][:-1]) | (self.mark[both][1:] != self.mark[both][:-1])]
@@ -214,11 +215,8 @@ def anchor_codes(chunks: DataFrame, doc_id: str, length: int, buckets: int) -> D
                     ids = c.ids[c.document[at]]
                     bucket.append(b)
                     count.append(len(at))
-                    # 5 bytes of the hash, 6 of the context, ids as differences
-                    blob.append(_packed(
-                        value.astype("<u4"), (value >> U64(32)).astype(np.uint8), mark.astype("<u4"), (mark >> U64(32)).astype("<u2"),
-                        np.diff(ids, prepend=0),
-                    ))
+                    # 5 bytes of the hash, 8 of the context, ids as differences
+                    blob.append(_packed(value.astype("<u4"), (value >> U64(32)).astype(np.uint8), mark.astype("<u8"), np.diff(ids, prepend=0)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number] * len(bucket), pa.int64()), pa.array(bucket, pa.int64()), pa.array(count, pa.int32()), pa.array(blob, pa.binary())],
                     names=["chunk", "bucket", "n", "blob"],
