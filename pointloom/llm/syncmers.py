@@ -2,9 +2,10 @@
 
 A closed syncmer is a substring of K characters whose least inner substring of S characters (by hash) stands at its first or
 last place. Whether a substring is one depends on itself alone, so an edit elsewhere never moves an anchor. The
-fingerprint of a text is the KEPT anchors of least hash with their places. Likeness of two fingerprints: of the least
-hashes of both together, those that both have at places shifted alike (near the median shift); that share j is an estimate of
-common over all anchors, and 2j / (1 + j), the common share of each text, is reported.
+fingerprint of a text is, with their places, all anchors whose hash is at most BOUND, about one in fifty characters of a text
+of any length, and of shorter texts the KEPT of least hash. Likeness of two fingerprints: of the hashes up to where both hold
+all of theirs, those that both have at places shifted alike (near the median shift); that share j is an estimate of common
+over all anchors, and 2j / (1 + j), the common share of each text, is reported.
 
 A text shorter than K is one anchor. The empty (and null) text has the empty fingerprint, which is like itself only. Equal
 texts have equal fingerprints.
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from pointloom.llm.textbytes import U64, mix
 
 K, S, KEPT = 8, 3, 64
+#: Of 32 bits: a sixteenth of all anchors, which are a third of all places.
+BOUND = 1 << 28
 #: Bytes of text that neighbours in id order share a bucket with.
 BUCKET_BYTES = 4 << 20
 
@@ -30,7 +33,7 @@ Print = tuple[np.ndarray, np.ndarray]  # hashes (32 bits, ascending), places
 
 
 def anchors(text: str) -> Print:
-    """Hash and place of the least anchors of a text, by hash."""
+    """Hash and place of the anchors of a text up to BOUND, or its KEPT least, by hash."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(U64)
     if not len(c):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -50,12 +53,19 @@ def anchors(text: str) -> Print:
     at = np.flatnonzero((inner[:n] == least) | (inner[last : last + n] == least))
     h = (whole[at] >> U64(32)).astype(np.int64)
     if len(h) > 4 * KEPT:
-        near = np.flatnonzero(h <= np.partition(h, 4 * KEPT)[4 * KEPT])
+        near = np.flatnonzero(h <= max(BOUND, int(np.partition(h, 4 * KEPT)[4 * KEPT])))
         few, first = np.unique(h[near], return_index=True)
         if len(few) >= KEPT:
-            return few[:KEPT], at[near[first[:KEPT]]]
+            count = max(KEPT, int(np.searchsorted(few, BOUND, "right")))
+            return few[:count], at[near[first[:count]]]
     few, first = np.unique(h, return_index=True)
-    return few[:KEPT], at[first[:KEPT]]
+    count = max(KEPT, int(np.searchsorted(few, BOUND, "right")))
+    return few[:count], at[first[:count]]
+
+
+def _reach(h: np.ndarray) -> int:
+    """Up to which hash a fingerprint holds all anchors of its text."""
+    return 1 << 32 if len(h) < KEPT else max(BOUND, int(h[-1]))
 
 
 def written(p: Print) -> str:
@@ -65,14 +75,15 @@ def written(p: Print) -> str:
 def likeness(p: Print, q: Print) -> float:
     if not len(p[0]) or not len(q[0]):
         return float(len(p[0]) == len(q[0]))
-    both = np.union1d(p[0], q[0])[: min(KEPT, max(len(p[0]), len(q[0])))]
+    upto = min(_reach(p[0]), _reach(q[0]))
     common, i, j = np.intersect1d(p[0], q[0], assume_unique=True, return_indices=True)
-    held = common <= both[-1]
+    held = common <= upto
     if not held.any():
         return 0.0
     shift = q[1][j[held]] - p[1][i[held]]
     slack = max(16, int(max(p[1].max(), q[1].max())) // 20)
-    alike = int((np.abs(shift - np.median(shift)) <= slack).sum()) / len(both)
+    both = int((p[0] <= upto).sum()) + int((q[0] <= upto).sum()) - int(held.sum())
+    alike = int((np.abs(shift - np.median(shift)) <= slack).sum()) / both
     return 2 * alike / (1 + alike)
 
 

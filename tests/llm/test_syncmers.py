@@ -40,6 +40,20 @@ def test_likeness():
     assert len(Y.anchors("a" * 5000)[0]) == 1
 
 
+def test_a_short_passage_of_long_texts_is_seen():
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghijklmno") for _ in range(rng.randint(2, 9)))
+    a, b, shared = (" ".join(word() for _ in range(n)) for n in (8000, 8000, 160))
+    p, q = Y.anchors(a + shared + b), Y.anchors(b[:30000] + shared + a[:100])
+    hashes = lambda t: {int(h) for h in Y.anchors(t)[0] if h <= Y.BOUND}
+    assert len(p[0]) > 1000 and (p[0] <= Y.BOUND).all()
+    # all anchors up to the bound are there, wherever the text stands
+    assert len(hashes(shared)) > 5 and hashes(shared) <= set(p[0].tolist()) & set(q[0].tolist())
+    x, y = Y.anchors(a), Y.anchors(shared)
+    assert Y.likeness(Y.anchors(a[:20000] + shared + a[20000:]), Y.anchors(b[:20000] + shared + b[20000:])) > 0.005
+    assert Y.likeness(x, Y.anchors(b)) < 0.005 and Y.likeness(y, y) == 1
+
+
 def expected(rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     out = {}
