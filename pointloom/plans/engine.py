@@ -15,11 +15,14 @@ from pointloom.operators.binding import all_bound, bind_events, bound_runs, oper
 from pointloom.operators.constants import active_constants
 from pointloom.operators.snapshot import device_firings, slot_latest
 from pointloom.plans.compile import DEPS, PARAMS, rollup_dependencies
-from pointloom.plans.lineage import materialize
+from pointloom.plans.lineage import Rounds, materialize
 from pointloom.plans.registry import ARITHMETIC, CALCULATIONS, ROLLUPS, FiredContext
-from pointloom.schemas import MINUTE_MS, RULE_KEY, TICK, WINDOW_SLOTS
+from pointloom.schemas import MINUTE_MS, RULE_KEY, SERIES, TICK, WINDOW_SLOTS
 
 WIDE_OPERANDS = 16  # operands bound as columns; longer formulas bind as one array, with the same results
+MOST_LAYERS = 8  # refreshes that a rule set is read through before it is written as a whole
+CYCLE = "cycle"  # reason of rules on a cycle or behind one
+OPERAND = ["company_id", "dep_device_code", "dep_point_code"]
 
 
 def active_rules(rules: DataFrame) -> DataFrame:
@@ -32,7 +35,7 @@ class RuleSet:
     """Rule rows taken apart: `rules` one row per rule that can fire, `deps` one row per operand, `constants` values by series.
 
     `arity`: most operands by route, as far as they are bound as columns. `groups`: which (level, route, long, periodic) there
-    are. `rejected`: (RULE_KEY, reason) of rules that never fire.
+    are. `rejected`: (RULE_KEY, reason) of rules that never fire. `layers`: refreshes since it was written as a whole.
     """
 
     rules: DataFrame
@@ -42,6 +45,7 @@ class RuleSet:
     max_level: int
     groups: frozenset[tuple[int, str, bool, bool]]
     rejected: DataFrame
+    layers: int = 0
 
     def has(self, level: int, route: str, long: bool = False, periodic: bool | None = None) -> bool:
         return any((level, route, long, p) in self.groups for p in ((False, True) if periodic is None else (periodic,)))
@@ -105,13 +109,8 @@ def rule_levels(rules: DataFrame, deps: DataFrame) -> tuple[DataFrame, int, Data
     return levels, level, left.select(*RULE_KEY).distinct()
 
 
-def prepare_rules(rules: DataFrame, objects: DataFrame | None = None, models: DataFrame | None = None) -> RuleSet:
-    """Take RULE rows apart for the engine. Roll-up rules need the object and model tables.
-
-    Rules that can't fire are set aside with a reason: unknown calculation, formula outside the grammar or with a name that
-    is no operand, no operand at all, no child, and rules on a cycle.
-    """
-    rules = newest_rules(rules)
+def _taken_apart(rules: DataFrame, objects: DataFrame | None, models: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Heads, with a reason where a rule never fires, and operands of RULE rows, one row a key."""
     live = active_rules(rules).where(F.col("expr_type") != 2)
     is_rollup = (F.col("expr_type") == 1) & F.coalesce(F.col("expr").isin(*ROLLUPS), F.lit(False))
     own = live.where(~is_rollup)
@@ -159,38 +158,134 @@ def prepare_rules(rules: DataFrame, objects: DataFrame | None = None, models: Da
                 F.lit("no child").alias("reason"),
             )
         )
+    return heads, deps
+
+
+def _rule_set(heads: DataFrame, deps: DataFrame, constants: DataFrame, rejected: DataFrame, layers: int = 0) -> RuleSet:
+    """`heads` with their levels, and what is known of them all."""
+    long = (F.col("route") != "rollup") & (F.col("n_required") > WIDE_OPERANDS)
+    found = heads.groupBy("level", "route", long.alias("long"), F.col("kind").isin(*periodic_kinds()).alias("periodic")).agg(
+        F.max("n_required").alias("n")
+    ).collect()  # a few rows a level
+    arity: dict[str, int] = {}
+    for r in found:
+        arity[r["route"]] = max(arity.get(r["route"], 0), min(r["n"], WIDE_OPERANDS))
+    depth = max((r["level"] for r in found), default=0)
+    groups = frozenset((r["level"], r["route"], r["long"], r["periodic"]) for r in found)
+    return RuleSet(heads, deps, constants, arity, depth, groups, rejected, layers)
+
+
+def _routed(heads: DataFrame) -> DataFrame:
+    return heads.withColumn(
+        "route",
+        F.when(F.col("kind").isin(*ROLLUPS), "rollup")
+        .when(F.col("many_devices") | (F.col("level") > 0), "spans")
+        .otherwise("runs"),
+    )
+
+
+def prepare_rules(rules: DataFrame, objects: DataFrame | None = None, models: DataFrame | None = None) -> RuleSet:
+    """Take RULE rows apart for the engine. Roll-up rules need the object and model tables.
+
+    Rules that can't fire are set aside with a reason: unknown calculation, formula outside the grammar or with a name that
+    is no operand, no operand at all, no child, and rules on a cycle.
+    """
+    rules = newest_rules(rules)
+    heads, deps = _taken_apart(rules, objects, models)
     deps = materialize(deps)
     heads = materialize(heads.withColumn("rule_id", F.monotonically_increasing_id()))  # ids are fixed by writing
     rejected = heads.where(F.col("reason").isNotNull()).select(*RULE_KEY, "reason")
     heads = heads.where(F.col("reason").isNull()).drop("reason")
     levels, depth, cycles = rule_levels(heads, deps.join(heads.select(*RULE_KEY), RULE_KEY, "left_semi"))
     if not cycles.isEmpty():
-        rejected = rejected.unionByName(cycles.withColumn("reason", F.lit("cycle")))
+        rejected = rejected.unionByName(cycles.withColumn("reason", F.lit(CYCLE)))
         heads = heads.join(cycles, RULE_KEY, "left_anti")
     if depth > 0:
         heads = heads.join(levels, RULE_KEY, "left").withColumn("level", F.coalesce("level", F.lit(0)))
         heads = materialize(heads)
     else:
         heads = heads.withColumn("level", F.lit(0))
-    heads = heads.withColumn(
-        "route",
-        F.when(F.col("kind").isin(*ROLLUPS), "rollup")
-        .when(F.col("many_devices") | (F.col("level") > 0), "spans")
-        .otherwise("runs"),
-    )
-    long = (F.col("route") != "rollup") & (F.col("n_required") > WIDE_OPERANDS)
-    found = heads.groupBy("level", "route", long.alias("long"), F.col("kind").isin(*periodic_kinds()).alias("periodic")).agg(
-        F.max("n_required").alias("n")
-    ).collect()  # a few rows a level
-    arity: dict[str, int] = {}
-    for r in found:
-        arity[r["route"]] = max(arity.get(r["route"], 0), min(r["n"], WIDE_OPERANDS))
-    return RuleSet(
-        heads, deps, active_constants(rules), arity, depth,
-        frozenset((r["level"], r["route"], r["long"], r["periodic"]) for r in found), rejected,
+    return _rule_set(_routed(heads), deps, active_constants(rules), rejected)
+
+
+def _as_operands(rules: DataFrame, *extra: str) -> DataFrame:
+    """Results of rules under the names that operands have."""
+    return rules.select(
+        "company_id", F.col("device_code").alias("dep_device_code"), F.col("point_code").alias("dep_point_code"), *extra
     )
 
 
+def reached_rules(deps: DataFrame, changed: DataFrame) -> DataFrame:
+    """Keys of `changed` and of all rules that depend on them, directly or through other rules.
+
+    A round follows only what the round before found; there are as many as the longest chain has rules.
+    """
+    found = Rounds(deps.sparkSession)
+    front = found.add(changed.select(*RULE_KEY).distinct())
+    while not front.isEmpty():
+        after = deps.join(_as_operands(front), OPERAND, "left_semi").select(*RULE_KEY).distinct()
+        front = found.add(after.join(found.rows(), RULE_KEY, "left_anti"))
+    return found.rows()
+
+
+def levels_above(heads: DataFrame, deps: DataFrame, settled: DataFrame, stuck: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(RULE_KEY, level) of `heads`, and the keys of those on a cycle or behind one.
+
+    They depend on measured points, on each other, on the rules of `settled`, whose levels are known, and on those of `stuck`,
+    which are on or behind cycles themselves. A rule is one level above the highest of its operands.
+    """
+    above = (F.max("level") + 1).alias("level")
+    floor = materialize(deps.join(_as_operands(settled, "level"), OPERAND).groupBy(*RULE_KEY).agg(above))
+    stuck = _as_operands(stuck)
+    left = deps.join(_as_operands(heads).unionByName(stuck), OPERAND, "left_semi")
+    left = materialize(left.select(*RULE_KEY, *OPERAND[1:]).distinct())
+    levels = Rounds(deps.sparkSession)
+    first = heads.select(*RULE_KEY).join(left, RULE_KEY, "left_anti").join(floor, RULE_KEY, "left")
+    ready = levels.add(first.select(*RULE_KEY, F.coalesce("level", F.lit(0)).alias("level")))
+    while not (left.isEmpty() or ready.isEmpty()):
+        waiting = left.join(_as_operands(left).unionByName(stuck), OPERAND, "left_semi").select(*RULE_KEY).distinct()
+        free = left.join(waiting, RULE_KEY, "left_anti").join(_as_operands(levels.rows(), "level"), OPERAND)
+        made = free.groupBy(*RULE_KEY).agg(above).unionByName(floor.join(free.select(*RULE_KEY), RULE_KEY, "left_semi"))
+        ready = levels.add(made.groupBy(*RULE_KEY).agg(F.max("level").alias("level")))
+        left = materialize(left.join(ready, RULE_KEY, "left_anti"))
+    return levels.rows(), left.select(*RULE_KEY).distinct()
+
+
+def refresh_rules(
+    rs: RuleSet, rules: DataFrame, changed: DataFrame, objects: DataFrame | None = None, models: DataFrame | None = None
+) -> RuleSet:
+    """`rs` after changes: `rules` is the table as it is now, `changed` holds the RULE_KEYs of rows that came, went or differ.
+
+    Only rules that these reach are taken apart and levelled anew, with new numbers; all others stay as they are. A roll-up
+    whose children changed counts as changed. The result is that of `prepare_rules(rules)`.
+    """
+    reached = reached_rules(rs.deps, changed)
+    rows = materialize(newest_rules(rules.join(reached, RULE_KEY, "left_semi")))
+    kept = rs.rules.join(reached, RULE_KEY, "left_anti")
+    start = kept.agg(F.max("rule_id")).first()[0]
+    heads, deps = _taken_apart(rows, objects, models)
+    deps = materialize(deps)
+    numbered = F.monotonically_increasing_id() + F.lit(0 if start is None else start + 1)
+    heads = materialize(heads.withColumn("rule_id", numbered))
+    rejected = heads.where(F.col("reason").isNotNull()).select(*RULE_KEY, "reason")
+    heads = heads.where(F.col("reason").isNull()).drop("reason")
+    stuck = rs.rejected.where(F.col("reason") == CYCLE).join(reached, RULE_KEY, "left_anti")
+    levels, cycles = levels_above(heads, deps.join(heads.select(*RULE_KEY), RULE_KEY, "left_semi"), kept, stuck)
+    heads = materialize(_routed(heads.join(levels, RULE_KEY)))
+    parts = [
+        kept.unionByName(heads),
+        rs.deps.join(reached, RULE_KEY, "left_anti").unionByName(deps),
+        rs.constants.join(
+            reached.toDF(*SERIES), SERIES, "left_anti"
+        ).unionByName(active_constants(rows)),
+        rs.rejected.join(reached, RULE_KEY, "left_anti").unionByName(rejected).unionByName(cycles.withColumn("reason", F.lit(CYCLE))),
+    ]
+    layers = rs.layers + 1
+    if layers >= MOST_LAYERS:
+        parts, layers = [materialize(p) for p in parts], 0
+    return _rule_set(*parts, layers)
+
+
 def _computed(arity: int):
     return evaluate(F.col("program"), F.array(*[F.col(f"v_{i}") for i in range(arity)]))
 

@@ -26,3 +26,22 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_folder(spark).rstrip('/')}/pointloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Rounds:
+    """Rows found in rounds, kept in one folder: all of them are one scan, however many rounds there were."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.n, self.schema = spark, f"{checkpoint_folder(spark).rstrip('/')}/pointloom-{uuid.uuid4().hex}", 0, None
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Write the rows of a round, and give them back."""
+        self.schema = self.schema or df.schema
+        path = f"{self.folder}/round-{self.n}"
+        df.write.parquet(path)
+        self.n += 1
+        return self.spark.read.schema(self.schema).parquet(path)
+
+    def rows(self) -> DataFrame:
+        """The rows of all rounds so far."""
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.folder}/round-{i}" for i in range(self.n)])
