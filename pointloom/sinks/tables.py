@@ -115,6 +115,10 @@ class LogTable:
         rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         return newest(rows, self.keys, "_version").select(*self.schema.fieldNames())
 
+    def changes(self, version: int) -> DataFrame:
+        """The rows that one batch put in or replaced; kept until the second compaction after it."""
+        return self.spark.read.schema(self.schema).parquet(self._folder("log", version))
+
     def write(self, changed: DataFrame, version: int) -> None:
         """Put in or replace rows, one a key."""
         changed.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(self._folder("log", version))

@@ -12,13 +12,14 @@ from pyspark.sql.streaming import DataStreamWriter
 from pointloom.functions.calendar import PERIODS
 from pointloom.operators.binding import operand_slots
 from pointloom.plans import engine
-from pointloom.plans.engine import RuleSet, calculate, prepare_rules, with_period_aggregates
+from pointloom.plans.engine import RuleSet, calculate, with_period_aggregates
 from pointloom.plans.lineage import materialize
 from pointloom.plans.registry import ARITHMETIC, CALCULATIONS
 from pointloom.schemas import DEVICE, MINUTE_MS, ORIGIN, RULE_KEY, SERIES, TICK, WINDOW_SLOTS, struct
 from pointloom.sinks.encode import derived_points, encode_envelope, rule_origin
 from pointloom.sinks.tables import LogTable, write_derived
 from pointloom.sources.telemetry import decode, to_readings
+from pointloom.streaming.ruleset import LiveRules
 from pointloom.streaming.snapshots import stream_snapshots, stream_ticks
 from pointloom.streaming.state import stream_device_state
 
@@ -90,7 +91,8 @@ def batch_function(
     models: Loader | None = None, tz: str = "UTC", slide_ms: int = MINUTE_MS, width: int = WINDOW_SLOTS,
     write: Callable[[DataFrame, int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """The foreachBatch function. Rules are loaded anew each time, so a changed rule counts from the next batch on.
+    """The foreachBatch function. Rules are loaded anew each time, so a changed rule counts from the next batch on; what it
+    reaches is prepared anew. A batch that runs again has the rules of its first run.
 
     Points are stored as full records: project and gateway are those of the device's snapshot, else the last known of the
     device, else the last known of its rules' operands. `write` gets each batch's points once they are stored, for a sink
@@ -103,12 +105,13 @@ def batch_function(
     last = LogTable(spark, f"{root}/last_values", LAST_VALUES, SERIES)
     carry = LogTable(spark, f"{root}/carried", CARRIED, RULE_KEY)
     origins = LogTable(spark, f"{root}/origins", ORIGINS, DEVICE)
+    live = LiveRules(spark, f"{root}/configuration", rules, objects, models)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         path = f"{root}/ticks/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(path)  # the batch is used several times below
         ticks = spark.read.schema(batch.schema).parquet(path)
-        rs = prepare_rules(rules(spark), objects and objects(spark), models and models(spark))
+        rs = live.at(batch_id)
         before = last.read(before=batch_id)
         derived, carried = derive_batch(ticks, rs, before, carry.read(before=batch_id), tz, slide_ms, width)
         fired = ticks.where(F.col("project_id").isNotNull()).groupBy("tick_ms", *DEVICE).agg(F.max(F.struct(*ORIGIN)).alias("_o"))
