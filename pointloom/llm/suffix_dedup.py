@@ -229,11 +229,11 @@ def anchor_codes(chunks: DataFrame, doc_id: str, length: int, buckets: int) -> D
         blobs = t.column("blob").to_pylist()
         value, mark, ids = [], [], []
         for j, n in zip(order.tolist(), count.tolist(), strict=True):
-            blob, cut = blobs[j], np.cumsum([0, 4 * n, n, 4 * n, 2 * n, 8 * n]).tolist()
-            part = [np.frombuffer(blob[a:b], kind) for a, b, kind in zip(cut[:-1], cut[1:], ("<u4", "u1", "<u4", "<u2", "<i8"), strict=True)]
+            blob, cut = blobs[j], np.cumsum([0, 4 * n, n, 8 * n, 8 * n]).tolist()
+            part = [np.frombuffer(blob[a:b], kind) for a, b, kind in zip(cut[:-1], cut[1:], ("<u4", "u1", "<u8", "<i8"), strict=True)]
             value.append(part[0].astype(U64) | part[1].astype(U64) << U64(32))
-            mark.append(part[2].astype(U64) | part[3].astype(U64) << U64(32))
-            ids.append(np.cumsum(part[4]))
+            mark.append(part[2].astype(U64))
+            ids.append(np.cumsum(part[3]))
         value, mark, ids = np.concatenate(value), np.concatenate(mark), np.concatenate(ids)
         by = np.lexsort((np.arange(len(ids)), ids, mark, value))
         v, m = value[by], mark[by]

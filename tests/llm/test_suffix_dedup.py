@@ -108,3 +108,15 @@ def test_nulls_copies_clashing_columns_and_empty_tables(spark):
     kept = S.without_repeats(df)
     assert kept.columns == df.columns and kept.count() == 5
     assert S.dedup(df.limit(0)).count() == 0
+
+
+def test_whole_copies_are_settled_by_their_hash_alone(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcdefghij ") for _ in range(rng.randint(150, 600))) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(texts)]
+    monkeypatch.setattr(chunks, "CHUNK", 3000)
+    written, _ = chunks.write_chunks(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "text")
+    codes = b"".join(r.codes for r in S.anchor_codes(written, "doc_id", 100, 2).collect())
+    a = S.Anchors("".join(texts).encode(), np.cumsum([len(t) for t in texts]), 100)
+    assert codes.count(2) == 0  # no text is sent
+    assert codes.count(0) == len(a.value)  # the first of two copies, in whichever chunk
