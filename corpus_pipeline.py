@@ -18,7 +18,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies: at least 0.8 of their five-word shingles in common."""
+    """Keeps one document of each group of near copies: SimHash links and beyond, with at least 0.8 of their five-word shingles in common."""
     return distinct_documents(docs)
 
 

@@ -11,8 +11,8 @@ computed in numpy, and only a spanning forest of the links leaves it, never all
 groups; no link between different fingerprints is lost.
 
 Texts are taken whole, whatever their length; rows of one id each count; an empty table gives no rows. `groups` reads id and
-text alone; `distinct_documents` keeps all columns, whatever their names. That function, the stage of the corpus pipeline, tells
-near copies by their shingles (see there); it shares only the shingles with the fingerprints above.
+text alone; `distinct_documents` keeps all columns, whatever their names. That function, the stage of the corpus pipeline, links
+fingerprints as above, checks the links on the shingles, and finds the near copies whose fingerprints scatter (see there).
 """
 
 from __future__ import annotations
@@ -222,6 +222,8 @@ def op8_simhash(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame
     )
 
 
+#: Differing bits up to which fingerprints of the pipeline's documents are linked.
+CLOSE = 4
 #: Near copies have at least NEAR[0] / NEAR[1] of their distinct shingles in common (Jaccard).
 NEAR = (4, 5)
 #: Each of TABLES keys of a text joins the least of LEASTS hash functions over its shingles. A pair of similarity s shares
@@ -298,6 +300,16 @@ def checked(edges: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(NEAR[1] * F.col("n") >= NEAR[0] * (F.col("sum") - F.col("n"))).select("a", "b")
 
 
+def print_links(nodes: DataFrame) -> DataFrame:
+    """(a, b): `nodes` whose fingerprints (fp) are equal or linked, by way of the least node of each fingerprint."""
+    prints = materialize(nodes.groupBy("fp").agg(F.min("node").alias("hub")), "prints")
+    hub = lambda p, c: prints.select(F.col("fp").alias(p), F.col("hub").alias(c))
+    links = close_links(prints.select("fp"), CLOSE, blocks_for(prints.count(), CLOSE)).toDF("p", "q")
+    close = links.join(hub("p", "a"), "p").join(hub("q", "b"), "q").select("a", "b")
+    equal = nodes.join(prints, "fp").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    return close.union(equal)
+
+
 def rest_links(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): what the near pairs inside buckets connect beyond `roots`.
 
@@ -339,26 +351,30 @@ def rest_links(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFra
 def distinct_documents(docs: DataFrame, width: int = 5) -> DataFrame:
     """One row of each group of near copies, with the columns of `docs`: that of the least doc_id (null last).
 
-    Near: at least NEAR of the distinct word shingles in common. Pairs that share one of TABLES keys are candidates, and all
-    links are checked on the shingles. First each bucket of a key is linked to its least member; then, in buckets that are
-    not one component by that, the pairs that could still join two. Sets of
+    Near: at least NEAR of the distinct word shingles in common. Candidates are the SimHash links of at most CLOSE bits and,
+    as fingerprints of pairs near the bound differ in many more bits, pairs that share one of TABLES keys; all links are
+    checked on the shingles. First fingerprints and the members of a key's bucket are linked to their least member; then, in
+    buckets that are not one component by that, the pairs that could still join two. Sets of
     shingles are told apart by 64 bits of their sum; equal sets, texts without words and null among them, are one group.
     """
     columns = docs.columns
     others = [c for c in columns if c not in ("doc_id", "text")]
 
     def run(texts) -> list[pa.Array]:
-        nodes, keys = set_keys(encode(texts), width)
+        texts = encode(texts)
+        nodes, keys = set_keys(texts, width)
         ends = np.arange(len(nodes) + 1, dtype=np.int32) * TABLES
-        return [pa.array(nodes.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64).ravel()))]
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64).ravel()))
+        return [pa.array(nodes.view(np.int64)), lists, pa.array(fingerprints(texts, width).view(np.int64))]
 
-    marked = map_texts(docs.select(set_aside(others, "_rest"), "doc_id", "text"), "text", run, "_node long, _keys array<long>")
-    chunks, _ = write_chunks(marked.select("_rest", "doc_id", "text", "_node", "_keys"), "text")
+    marked = map_texts(docs.select(set_aside(others, "_rest"), "doc_id", "text"), "text", run, "_node long, _keys array<long>, _fp long")
+    chunks, _ = write_chunks(marked.select("_rest", "doc_id", "text", "_node", "_keys", "_fp"), "text")
     rows = chunks.select("chunk", F.posexplode("row").alias("at", "r")).select(
-        F.col("r._node").alias("node"), F.col("r._keys").alias("keys"),
+        F.col("r._node").alias("node"), F.col("r._keys").alias("keys"), F.col("r._fp").alias("fp"),
         F.struct(F.col("r.doc_id").isNull().alias("none"), F.col("r.doc_id").alias("doc_id"), "chunk", "at").alias("place"),
     )
-    nodes = materialize(rows.groupBy("node").agg(F.min("place").alias("best"), F.first("keys").alias("keys")), "nodes")
+    nodes = materialize(rows.groupBy("node").agg(F.min("place").alias("best"), F.first("keys").alias("keys"), F.min("fp").alias("fp")), "nodes")
+    similar = materialize(print_links(nodes.where("node <> 0").select("node", "fp")), "similar")
     keyed = nodes.where("node <> 0").select("node", F.explode("keys").alias("v"))
     # of buckets with the same members, one
     buckets = keyed.groupBy("v").agg(
@@ -380,12 +396,14 @@ def distinct_documents(docs: DataFrame, width: int = 5) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([held, lists], names=["node", "shingles"])
                     done += len(cuts) - 1
 
-    asked = nodes.join(members.select("node").distinct(), "node").groupBy(F.col("best.chunk").alias("chunk")).agg(
+    linked = members.select("node").union(similar.select("a")).union(similar.select("b")).distinct()
+    asked = nodes.join(linked, "node").groupBy(F.col("best.chunk").alias("chunk")).agg(
         F.collect_list(F.struct(F.col("best.at").alias("at"), "node")).alias("asked")  # at most the rows of a chunk
     )
     texts = chunks.join(materialize(asked, "asked"), "chunk").select("sizes", "body", "asked")
     sets = materialize(texts.mapInArrow(shingled, "node long, shingles array<long>"), "sets")
-    stars = materialize(members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "stars")
+    stars = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    stars = materialize(similar.union(stars).distinct(), "stars")
     links = materialize(checked(stars, sets), "links")
     more = materialize(rest_links(members, components(links), sets), "links")
     roots = components(links.union(more))
