@@ -103,6 +103,15 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[first], np.diff(np.r_[first, len(values)])
 
 
+def places(values: np.ndarray) -> np.ndarray:
+    """The place of each value among the sorted distinct ones, without a search for each."""
+    order = np.argsort(values)
+    sorted_ = values[order]
+    out = np.empty(len(values), dtype=np.int64)
+    out[order] = np.cumsum(np.r_[False, sorted_[1:] != sorted_[:-1]])[: len(values)]
+    return out
+
+
 def cuts(values: np.ndarray, bits: int, width: int) -> np.ndarray:
     """Where each bucket begins in sorted hashes of `width` bits, and their end; the leading `bits` name the bucket."""
     if not bits:
@@ -195,11 +204,11 @@ def _read(answers: list[dict], *names: str) -> list[list[np.ndarray]]:
     return [[np.concatenate(x).astype(np.int64) for x in made] for made in out]
 
 
-def contexts(t: Tokens, at: list[np.ndarray], texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of the one- and two-token context of each place; before a text begins, that of all learning texts."""
+def contexts(first: np.ndarray, at: list[np.ndarray], texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of the one- and two-token context of each place; before a text begins (`first`), that of all learning texts."""
     one, two = np.r_[texts, at[0][:-1]], np.r_[texts, at[1][:-1]]
-    one[t.first] = texts
-    two[t.first] = texts
+    one[first] = texts
+    two[first] = texts
     return one, two
 
 
@@ -207,9 +216,9 @@ def context_class(count: np.ndarray) -> np.ndarray:
     return np.minimum(np.frexp(count.astype(np.float64))[1], CLASSES - 1)  # 0, then 1 + floor(log2)
 
 
-def estimates(t: Tokens, at: list[np.ndarray], texts: int, total: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def estimates(first: np.ndarray, at: list[np.ndarray], texts: int, total: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Maximum-likelihood estimates by n-gram length, and the classes of the one- and two-token contexts."""
-    one, two = contexts(t, at, texts)
+    one, two = contexts(first, at, texts)
     below = [np.full(len(one), total), one, two]
     return [a / np.maximum(b, 1) for a, b in zip(at, below, strict=True)], [context_class(one), context_class(two)]
 
@@ -225,10 +234,11 @@ def deleted_events(chunks: DataFrame, counts: DataFrame, texts: int, total: int)
             both, gone = _read(answers, "counts", "deleted")
             at = []
             for gram, a, b in zip(t.grams, both, gone, strict=True):
-                at.append((a - b)[np.searchsorted(distinct(gram)[0], gram)])
-            m, c = estimates(t, at, texts, total)
+                at.append((a - b)[np.searchsorted(distinct(gram)[0], gram[some])])  # whole texts, so contexts stay in place
+            first = np.searchsorted(np.flatnonzero(some), t.first[some[t.first]])
+            m, c = estimates(first, at, texts, total)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(x[some].astype(np.int8)) for x in reversed(c)), *(pa.array(x[some]) for x in reversed(m))],
+                [*(pa.array(x.astype(np.int8)) for x in reversed(c)), *(pa.array(x) for x in reversed(m))],
                 names=["c2", "c1", "m3", "m2", "m1"],
             )
 
@@ -312,8 +322,8 @@ def lm_scores(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: s
         for _, t, row, answers in _rows(batches):
             at = []
             for gram, a in zip(t.grams, _read(answers, "counts")[0], strict=True):
-                at.append(a[np.searchsorted(distinct(gram)[0], gram)])
-            m, c = estimates(t, at, n_all, total)
+                at.append(a[places(gram)])
+            m, c = estimates(t.first, at, n_all, total)
             w1 = float(weight[0][0]) if total else 0.0
             p = w1 * m[0] + (1 - w1) / (seen + 1)
             for k in (1, 2):

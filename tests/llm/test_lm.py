@@ -143,3 +143,10 @@ def test_query_on_the_sample(spark, sf_dir):
     same(got, plain(rows))
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_places_among_distinct_values():
+    rng = np.random.default_rng(2)
+    for values in (np.zeros(0, dtype=np.uint64), rng.integers(0, 50, 400).astype(np.uint64), rng.integers(0, 2**56, 300, dtype=np.uint64)):
+        known, place = np.unique(values, return_inverse=True)
+        assert (L.places(values) == place).all() and (L.distinct(values)[0] == known).all()
