@@ -58,7 +58,7 @@ def map_texts(
     """The kept columns (default: all) and columns made by `fn` from the texts of each batch.
 
     `added` is the DDL of the new columns; a column of `df` with such a name is replaced. `fn` gets the texts of one
-    batch as an Arrow array and returns one Arrow array for each new column.
+    batch as an Arrow array and returns one Arrow array for each new column. Texts that are kept are sent once.
     """
     new = df.sparkSession.createDataFrame([], added).schema
     names = {f.name.lower() for f in new}
@@ -66,15 +66,16 @@ def map_texts(
     source = "_text"
     while source.lower() in {c.lower() for c in kept}:
         source = "_" + source
-    inner = df.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias(source))
+    at = kept.index(text) if text in kept else len(kept)
+    inner = df.select(*[F.col(f"`{c}`") for c in kept], *([F.col(text).alias(source)] if at == len(kept) else []))
     schema = inner.drop(source).schema
     for f in new:
         schema = schema.add(f)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = fn(b.column(b.num_columns - 1))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *made], names=schema.names)
+            made = fn(b.column(at))
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(kept)], *made], names=schema.names)
 
     return inner.mapInArrow(run, schema)
 

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,13 +172,20 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of `docs`, with score double (0 to 1) and predicted int added or replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^18 buckets and FACTORS: fixed size
 
-    def run(texts) -> list[pa.Array]:
-        m = shared.value
-        z = margins(text_terms(encode(texts), m.slot), m)
-        p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-        return [pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32), pa.int32())]
-
-    return map_texts(docs, text, run, "score double, predicted int")
+    @F.arrow_udf("score double, predicted int")
+    def scored(texts: pa.Array) -> pa.Array:
+        m, size = shared.value, pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+        z = [margins(text_terms(encode(texts[s]), m.slot), m) for s in parts(size, STEP_BYTES)]
+        p = 1 / (1 + np.exp(-np.clip(np.concatenate([*z, np.zeros(0)]), -500, 500)))
+        return pa.StructArray.from_arrays([pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32), pa.int32())], ["score", "predicted"])
+
+    kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
+    made = "_scored"
+    while made.lower() in {c.lower() for c in kept}:
+        made = "_" + made
+    # only the texts go to Python, the rows stay
+    out = docs.select(*[F.col(f"`{c}`") for c in kept], scored(F.col(text)).alias(made))
+    return out.select(*[F.col(f"`{c}`") for c in kept], F.col(f"{made}.score"), F.col(f"{made}.predicted"))
 
 
 def op10_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

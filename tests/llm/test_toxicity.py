@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from pointloom.llm import toxicity as Z
+from pointloom.llm.common import map_texts
 
 
 def test_terms_do_not_depend_on_neighbours():
@@ -81,3 +82,13 @@ def test_nulls_ties_and_clashing_columns(spark):
     assert Z.keep_civil(docs, labels).columns == docs.columns
     assert Z.op10_toxicity(docs.limit(0), labels.limit(0)).count() == 0
     assert [bool(re.match("[01]", str(r.predicted))) for r in out.collect()] == [True] * 6
+
+
+def test_texts_go_to_python_once_and_rows_stay(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", "x" * 9) for i in range(20)], "doc_id long, text string, other string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    plan = Z.keep_civil(docs, labels)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
+    kept = map_texts(docs, "text", lambda t: [t], "again string")
+    assert "_text" not in kept._jdf.queryExecution().analyzed().toString()
+    assert [r.again for r in kept.collect()] == [r.text for r in docs.collect()]
