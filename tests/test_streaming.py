@@ -1,6 +1,7 @@
 """Stream against batch, late rows, restart from the checkpoint."""
 
 import json
+import random
 import time
 
 from helpers import MIN, T0, readings, results, rule, rules
@@ -153,3 +154,26 @@ def test_from_messages_to_messages(spark, tmp_path):
 def test_ticks_of_stream_and_batch_share_the_function(spark):
     r = readings(spark, [("D0", "a", 1, 0)])
     assert snapshot_ticks(r).columns == ["tick_ms", "snapshot_ms", "company_id", "device_id", "property_name", "value"]
+
+
+def test_snapshots_keep_readings_not_windows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("pointloom.streaming.snapshots.GROUPS", 3)  # many series in a group
+    monkeypatch.setattr("pointloom.streaming.snapshots.PART", 7)
+    rng, rows = random.Random(5), []
+    for i in range(400):  # in order but for 20 s, several a slot, some without value or not a number
+        at = i * 9_000 + rng.randrange(20_000)
+        rows.append((f"D{rng.randrange(4)}", rng.choice("ab"), rng.choice([None, float("nan"), 1.5, float(i)]), at, i))
+    feed = Feed(spark, tmp_path / "in")
+    feed.add(rows[:150])
+    feed.add([*rows[150:300], ("S", "s", 0, 50 * MIN + 30_000, 1000)])  # then the watermark stands at the end of a window
+    feed.add([r for r in rows[300:] if r[3] > 50 * MIN])
+    out = stream_snapshots(feed.stream()).writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out"))
+    q = run(out.option("checkpointLocation", str(tmp_path / "cp")))
+    known = readings(spark, [*rows[:300], ("S", "s", 0, 50 * MIN + 30_000, 1000), *[r for r in rows[300:] if r[3] > 50 * MIN]])
+    passed = int(max(known.agg(F.max("ts_ms")).first())) - 30_000
+    want = latest_snapshot(known).where(f"tick_ms <= {passed}")
+    columns = ["tick_ms", "company_id", "device_id", "property_name", "ts_ms", F.col("value").cast("string").alias("value")]
+    got = spark.read.parquet(str(tmp_path / "out")).withColumn("tick_ms", F.unix_millis("window.end"))
+    assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, want.select(*columns).collect()))
+    kept = [s["numRowsTotal"] for p in q.recentProgress for s in p["stateOperators"]]
+    assert kept and max(kept) < 40  # some rows a group and its timer, none a window
