@@ -17,13 +17,13 @@ fingerprints as above, checks the links on the shingles, and finds the near copi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointloom.llm.chunks import write_chunks
@@ -231,6 +231,8 @@ NEAR = (4, 5)
 TABLES, LEASTS = 32, 6
 #: Parts that the members of one key are dealt out in when something is said of all of them.
 SALTS = 64
+#: Edges of one hub that are checked in one part; a hub of more is sent to several parts, SALTS at most.
+EDGES = 32
 #: Most texts of either side whose shingles are compared in memory at once.
 PART = 1024
 
@@ -289,12 +291,24 @@ def _salt(node: str) -> Column:
     return F.pmod(F.xxhash64(F.lit("salt"), node), F.lit(SALTS)).cast("int")
 
 
-def checked(edges: DataFrame, sets: DataFrame) -> DataFrame:
-    """The edges (a, b) whose shingle sets are near."""
-    side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"_{c}"))
-    edges = edges.withColumn("salt", _salt("a"))  # a hub of many edges meets them in as many parts
-    hubs = edges.select("b", "salt").distinct().join(side("b"), "b")
-    both = edges.join(side("a"), "a").join(hubs, ["b", "salt"]).select(
+def dealt_edges(edges: DataFrame) -> DataFrame:
+    """`edges` (a, b) with the part (salt) of their hub b that they meet: one part for EDGES edges, so that most hubs are sent once."""
+    hubs = edges.groupBy("b").agg(F.least(F.ceil(F.count("*") / EDGES), F.lit(SALTS)).alias("parts"))
+    return edges.join(hubs, "b").select("a", "b", F.pmod(_salt("a"), F.col("parts")).cast("int").alias("salt"))
+
+
+#: Gives rows (node, destination `to`) with the node's set of shingles: node, shingles, to.
+Sent = Callable[[DataFrame], DataFrame]
+
+
+def checked(edges: DataFrame, sent: Sent) -> DataFrame:
+    """The edges (a, b) whose shingle sets are near. Sets go from their texts straight to the part where they are compared."""
+    edges = materialize(dealt_edges(edges), "dealt")
+    part = F.struct("b", "salt").alias("to")
+    side = lambda c: sent(edges.select(F.col(c).alias("node"), part).distinct()).select(
+        *([F.col("node").alias("a")] if c == "a" else []), "to.*", F.col("shingles").alias(f"_{c}")
+    )
+    both = side("a").join(side("b"), ["b", "salt"]).select(
         "a", "b", F.size(F.array_intersect("_a", "_b")).alias("n"), (F.size("_a") + F.size("_b")).alias("sum")
     )
     return both.where(NEAR[1] * F.col("n") >= NEAR[0] * (F.col("sum") - F.col("n"))).select("a", "b")
@@ -310,7 +324,22 @@ def print_links(nodes: DataFrame) -> DataFrame:
     return close.union(equal)
 
 
-def rest_links(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+def bucket_members(keyed: DataFrame) -> DataFrame:
+    """(v, hub, node): members of the buckets v of more than one node, with the least of them; of buckets with the same members, one.
+
+    Keys are sent once, as (v, node): most are alone and end there, and only what is left is written.
+    """
+    w = Window.partitionBy("v")
+    shared = keyed.select(
+        "v", "node", F.count("*").over(w).alias("n"), F.bit_xor(F.xxhash64("node")).over(w).alias("x"),
+        F.min("node").over(w).alias("hub"), F.max("node").over(w).alias("top"),
+    ).where("hub < top")
+    shared = materialize(shared, "shared")
+    buckets = shared.groupBy("n", "x", "hub", "top").agg(F.min("v").alias("v")).select("v")
+    return shared.join(buckets, "v", "left_semi").select("v", "hub", "node")
+
+
+def rest_links(members: DataFrame, roots: DataFrame, sent: Sent) -> DataFrame:
     """(a, b): what the near pairs inside buckets connect beyond `roots`.
 
     Only buckets whose members have different roots count, and in them only pairs of a member outside the least member's
@@ -345,7 +374,8 @@ def rest_links(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFra
         i, j = near_links(t.column("root").to_numpy(), t.column("pivot").to_numpy(), sets_of.flatten().to_numpy(), cuts)
         return pa.table({"a": pa.array(node[i], pa.int64()), "b": pa.array(node[j], pa.int64())})
 
-    return dealt.join(sets, "node").groupBy("v", "p", "q").applyInArrow(compare, "a long, b long")
+    to = F.struct("v", "p", "q", "root", "pivot").alias("to")
+    return sent(dealt.select("node", to)).select("to.*", "node", "shingles").groupBy("v", "p", "q").applyInArrow(compare, "a long, b long")
 
 
 def distinct_documents(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -376,11 +406,7 @@ def distinct_documents(docs: DataFrame, width: int = 5) -> DataFrame:
     nodes = materialize(rows.groupBy("node").agg(F.min("place").alias("best"), F.first("keys").alias("keys"), F.min("fp").alias("fp")), "nodes")
     similar = materialize(print_links(nodes.where("node <> 0").select("node", "fp")), "similar")
     keyed = nodes.where("node <> 0").select("node", F.explode("keys").alias("v"))
-    # of buckets with the same members, one
-    buckets = keyed.groupBy("v").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("hub"), F.max("node").alias("top")
-    ).where("hub < top").groupBy("n", "x", "hub", "top").agg(F.min("v").alias("v")).select("v", "hub")
-    members = materialize(keyed.join(materialize(buckets, "buckets"), "v").select("v", "hub", "node"), "members")
+    members = materialize(bucket_members(keyed), "members")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -388,24 +414,26 @@ def distinct_documents(docs: DataFrame, width: int = 5) -> DataFrame:
             for i in range(b.num_rows):
                 sizes = np.frombuffer(column("sizes")[i].as_py(), dtype=np.int32)
                 stop = np.cumsum(np.maximum(sizes, 0)).tolist()
-                body, asked, done = column("body")[i].as_py(), column("asked")[i].as_py(), 0
-                texts = [body[stop[k["at"]] - sizes[k["at"]] : stop[k["at"]]] for k in asked]
+                body, asked, done = column("body")[i].as_py(), column("asked")[i].values, 0
+                texts = [body[stop[k] - sizes[k] : stop[k]] for k in asked.field("at").to_pylist()]
                 for hashes, cuts in shingle_sets(texts, width):
-                    held = pa.array([k["node"] for k in asked[done : done + len(cuts) - 1]], pa.int64())
+                    held = asked.slice(done, len(cuts) - 1)
                     lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(hashes.view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([held, lists], names=["node", "shingles"])
+                    yield pa.RecordBatch.from_arrays([held.field("node"), lists, held.field("to")], names=["node", "shingles", "to"])
                     done += len(cuts) - 1
 
-    linked = members.select("node").union(similar.select("a")).union(similar.select("b")).distinct()
-    asked = nodes.join(linked, "node").groupBy(F.col("best.chunk").alias("chunk")).agg(
-        F.collect_list(F.struct(F.col("best.at").alias("at"), "node")).alias("asked")  # at most the rows of a chunk
-    )
-    texts = chunks.join(materialize(asked, "asked"), "chunk").select("sizes", "body", "asked")
-    sets = materialize(texts.mapInArrow(shingled, "node long, shingles array<long>"), "sets")
+    def sent(wanted: DataFrame) -> DataFrame:
+        asked = nodes.join(wanted.groupBy("node").agg(F.collect_list("to").alias("to")), "node").groupBy(F.col("best.chunk").alias("chunk")).agg(
+            F.collect_list(F.struct(F.col("best.at").alias("at"), "node", "to")).alias("asked")  # at most the rows of a chunk
+        )
+        texts = chunks.join(materialize(asked, "asked"), "chunk").select("sizes", "body", "asked")
+        rows = texts.mapInArrow(shingled, f"node long, shingles array<long>, to array<{wanted.schema['to'].dataType.simpleString()}>")
+        return rows.select("node", "shingles", F.explode("to").alias("to"))
+
     stars = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     stars = materialize(similar.union(stars).distinct(), "stars")
-    links = materialize(checked(stars, sets), "links")
-    more = materialize(rest_links(members, components(links), sets), "links")
+    links = materialize(checked(stars, sent), "links")
+    more = materialize(rest_links(members, components(links), sent), "links")
     roots = components(links.union(more))
     kept = nodes.select("node", "best").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(
         F.min("best").alias("best")

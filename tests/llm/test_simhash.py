@@ -210,3 +210,29 @@ def test_near_copies_come_by_way_of_the_fingerprints(spark, monkeypatch):
     kept = H.distinct_documents(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r.doc_id for r in kept.collect()) == list(range(30))
     assert len(found) >= 25  # most of such copies differ in few bits; all others share a key
+
+
+def test_keys_are_sent_once(spark):
+    rng = random.Random(11)
+    buckets = {v: sorted(rng.sample(range(60), rng.choice([1, 1, 1, 2, 3, 30]))) for v in range(300)}
+    buckets |= {300 + v: buckets[v] for v in range(0, 300, 2)}  # the same members again
+    rows = [(v, node) for v, nodes in buckets.items() for node in nodes]
+    keyed = spark.createDataFrame(rows, "v long, node long").repartition(3)
+    found = H.bucket_members(keyed.mapInArrow(lambda batches: batches, keyed.schema))
+    got = sorted((r.v, r.hub, r.node) for r in found.collect())
+    least = {}
+    for v, nodes in buckets.items():
+        if len(nodes) > 1:
+            least[tuple(nodes)] = min(v, least.get(tuple(nodes), v))
+    assert got == sorted((v, nodes[0], n) for nodes, v in least.items() for n in nodes)
+    assert "MapInArrow" not in found._jdf.queryExecution().toString()  # the keys are not made and sent again
+
+
+def test_a_hub_is_sent_once_for_many_edges(spark):
+    edges = [(k, 10_000 + k // H.EDGES) for k in range(10 * H.EDGES)] + [(k, 20_000) for k in range(100 * H.EDGES)]
+    dealt = H.dealt_edges(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted((r.a, r.b) for r in dealt) == sorted(edges)
+    parts = {}
+    for r in dealt:
+        parts.setdefault(r.b, set()).add(r.salt)
+    assert all(len(parts[10_000 + h]) == 1 for h in range(10)) and H.SALTS // 2 < len(parts[20_000]) <= H.SALTS
