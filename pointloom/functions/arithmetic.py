@@ -25,6 +25,8 @@ PROGRAM = "array<struct<op:int,x:double>>"
 
 # Steps of a program.
 NUMBER, VARIABLE, NEGATE, ADD, SUBTRACT, MULTIPLY, DIVIDE, REMAINDER = range(8)
+# Added to + - * / % whose right operand is a number or variable: it comes with the step, in x.
+BY_NUMBER, BY_VARIABLE = 8, 16
 _BINARY = {"+": (1, ADD), "-": (1, SUBTRACT), "*": (2, MULTIPLY), "/": (2, DIVIDE), "%": (2, REMAINDER)}
 _SIGN = 3
 _PIECE = re.compile(r"\s*(?:((?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)(?![0-9a-zA-Z_.])|v_([0-9]+)(?![0-9a-zA-Z_])|([-+*/%()]))\s*")
@@ -147,7 +149,18 @@ def translate(template: str) -> list[tuple[int, float]]:
     settle(1)
     if waiting or len(done) != 1:
         raise Rejected("outside grammar")
-    return _steps(done[0])
+    return _fused(_steps(done[0]))
+
+
+def _fused(steps: list[tuple[int, float]]) -> list[tuple[int, float]]:
+    """The steps, with a number or variable that is a right operand taken into the step that uses it."""
+    out: list[tuple[int, float]] = []
+    for op, x in steps:
+        if ADD <= op <= REMAINDER and out[-1][0] in (NUMBER, VARIABLE):
+            kind, x = out.pop()
+            op += BY_NUMBER if kind == NUMBER else BY_VARIABLE
+        out.append((op, x))
+    return out
 
 
 def _translated(template: str | None) -> dict:
@@ -173,19 +186,32 @@ def translated(template: pd.Series) -> pd.DataFrame:
 
 
 def evaluate(program: Column, values: Column) -> Column:
-    """Value of a program over the array `values`. Null where there is no program, or something is divided by zero."""
+    """Value of a program over the array `values`. Null where there is no program, or something is divided by zero.
+
+    The top of the stack is kept apart from the rest, so most steps build no array; `values` is built once a row. A filter on the
+    result would repeat all of it: see `with_once`.
+    """
+
+    def state(top: Column, rest: Column, held: Column) -> Column:
+        return F.struct(top.alias("top"), rest.alias("rest"), held.alias("held"))
 
     def step(stack: Column, s: Column) -> Column:
-        b, a = F.get(stack, F.size(stack) - 1), F.get(stack, F.size(stack) - 2)
-        result = (
-            F.when(s["op"] == ADD, a + b).when(s["op"] == SUBTRACT, a - b).when(s["op"] == MULTIPLY, a * b)
-            .when(s["op"] == DIVIDE, F.try_divide(a, b)).when(s["op"] == REMAINDER, F.when(b != 0, a % b))
+        op, top, rest, held = s["op"], stack["top"], stack["rest"], stack["held"]
+        alone = op > REMAINDER
+        variable = F.get(held, s["x"].cast("int"))
+        a = F.when(alone, top).otherwise(F.get(rest, F.size(rest) - 1))
+        b = F.when(op >= BY_VARIABLE, variable).when(alone, s["x"]).otherwise(top)
+        kind = F.pmod(op, F.lit(BY_NUMBER))
+        made = (
+            F.when(kind == ADD, a + b).when(kind == SUBTRACT, a - b).when(kind == MULTIPLY, a * b)
+            .when(kind == DIVIDE, F.try_divide(a, b)).when(kind == REMAINDER, F.when(b != 0, a % b))
         )
-        return (
-            F.when(s["op"] == NUMBER, F.concat(stack, F.array(s["x"])))
-            .when(s["op"] == VARIABLE, F.concat(stack, F.array(F.get(values, s["x"].cast("int")))))
-            .when(s["op"] == NEGATE, F.concat(F.slice(stack, F.lit(1), F.size(stack) - 1), F.array(-b)))
-            .otherwise(F.concat(F.slice(stack, F.lit(1), F.size(stack) - 2), F.array(result)))
+        return state(
+            F.when(op == NUMBER, s["x"]).when(op == VARIABLE, variable).when(op == NEGATE, -top).otherwise(made),
+            F.when(alone | (op == NEGATE), rest).when(op <= VARIABLE, F.concat(rest, F.array(top)))
+            .otherwise(F.slice(rest, F.lit(1), F.size(rest) - 1)),
+            held,
         )
 
-    return F.aggregate(program, F.array().cast("array<double>"), step, lambda stack: F.get(stack, F.lit(0)))
+    none = state(F.lit(None).cast("double"), F.array().cast("array<double>"), values)
+    return F.aggregate(program, none, step, lambda stack: stack["top"])

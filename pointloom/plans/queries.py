@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pointloom.functions.arithmetic import evaluate, template_text, translated
 from pointloom.functions.bits import bit_at
 from pointloom.functions.formula import compile_same_device, parse_call, parse_formula
+from pointloom.functions.once import with_once
 from pointloom.operators import asof, binding, constants, series, snapshot, topology
 from pointloom.plans import compile as compiler
 from pointloom.plans import engine, sample
@@ -320,8 +321,8 @@ def arithmetic_formulas(spark, d):
     )
     readings = sample.telemetry(spark, d).join(texts, ["company_id", "device_id"])
     values = F.array("value", (F.col("seq") % 3).cast("double"))
-    out = readings.select("seq", "point_code", rounded(evaluate(F.col("program"), values)).alias("result"))
-    return out.where(F.col("result").isNotNull())
+    out = with_once(readings.select("seq", "point_code", "program", "value"), "result", rounded(evaluate(F.col("program"), values)))
+    return out.where(F.col("result").isNotNull()).select("seq", "point_code", "result")
 
 
 @query

@@ -125,6 +125,19 @@ def test_programs_agree_with_plain_evaluation(spark, texts):
         assert got is None or got == pytest.approx(want, nan_ok=True), (t, v)
 
 
+def test_right_operands_come_with_their_step():
+    v = ar.VARIABLE
+    assert ar.translate("(v_0+v_1)/2") == [(v, 0.0), (ar.ADD + ar.BY_VARIABLE, 1.0), (ar.DIVIDE + ar.BY_NUMBER, 2.0)]
+    assert ar.translate("v_0-v_1*0.5") == [(v, 0.0), (v, 1.0), (ar.MULTIPLY + ar.BY_NUMBER, 0.5), (ar.SUBTRACT, 0.0)]
+
+
+def test_programs_without_such_steps_still_run(spark):
+    plain = "array(named_struct('op', 1, 'x', 0D), named_struct('op', 1, 'x', 1D), named_struct('op', {op}, 'x', 0D))"
+    for op, want in ((ar.ADD, 9.0), (ar.SUBTRACT, 5.0), (ar.MULTIPLY, 14.0), (ar.DIVIDE, 3.5), (ar.REMAINDER, 1.0)):
+        program = F.expr(plain.format(op=op))
+        assert spark.range(1).select(ar.evaluate(program, F.array(F.lit(7.0), F.lit(2.0)))).first()[0] == want
+
+
 def test_any_number_and_length_of_formulas(spark):
     n = 1500
     rows = [(f"v_0 + {i}", [1.0]) for i in range(n)]
