@@ -403,10 +403,10 @@ def calculate(rows: DataFrame) -> DataFrame:
     result = F.when(F.col("kind") == ARITHMETIC, F.col("computed"))
     for name, c in CALCULATIONS.items():
         result = result.when(F.col("kind") == name, c.value(context))
-    return rows.select(
+    return with_once(rows, "_result", result).where(F.col("_result").isNotNull()).select(
         "tick_ms", "snapshot_ms", "company_id", F.col("device_code").alias("device_id"),
-        F.col("point_code").alias("property_name"), result.alias("value"),
-    ).where(F.col("value").isNotNull())
+        F.col("point_code").alias("property_name"), F.col("_result").alias("value"),
+    )
 
 
 def without_period(fired: DataFrame) -> DataFrame:
