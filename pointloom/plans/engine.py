@@ -420,7 +420,7 @@ def derive(
 ) -> DataFrame:
     """All derived points of all firings: (tick_ms, snapshot_ms, company_id, device_id, property_name, value).
 
-    With `max_age` an operand is bound up to so many slots after that of its last reading. Rules on derived points run after those they depend on, level by level; the results of a level are written once.
+    With `max_age` an operand is bound up to so many slots after that of its last reading. Rules on derived points run after those they depend on, level by level; the results of a level are written once, but for the last.
     """
     rs = rules if isinstance(rules, RuleSet) else prepare_rules(rules, objects, models)
     slots = slot_latest(readings, slide_ms)
@@ -446,7 +446,7 @@ def derive(
         if rs.has(level, "rollup"):
             parts.append(_rollups(here.where(F.col("route") == "rollup"), *args))
         if parts:
-            made.append(materialize(_union(parts)) if rs.max_level > 0 else _union(parts))
+            made.append(materialize(_union(parts)) if level < rs.max_level else _union(parts))  # the last is read once
     return _union(made) if made else readings.sparkSession.createDataFrame([], TICK)
 
 
