@@ -68,10 +68,9 @@ def _difference(c: FiredContext) -> Column:
 
 
 def _statistic(c: FiredContext) -> Column:
-    kind = F.lower(F.coalesce(c.param("type"), F.lit("max")))
-    return (
-        F.when(kind == "max", c.maximum).when(kind == "min", c.minimum).when(kind == "avg", c.total / c.count)
-    )
+    kind = F.lower(F.coalesce(c.param("type"), F.lit("max")))  # named once: it is looked up in each firing
+    known = F.array(F.lit("max"), F.lit("min"), F.lit("avg"))
+    return F.get(F.array(c.maximum, c.minimum, c.total / c.count), (F.array_position(known, kind) - 1).cast("int"))
 
 
 def _bit(c: FiredContext) -> Column:
