@@ -336,10 +336,10 @@ def bit_at_query(spark, d):
 def _derived(spark, d, codes: list[str] | None = None, support: tuple[str, ...] = ()) -> DataFrame:
     """Derived points of the given rule codes (all if None); `support` names rules they depend on."""
     objects = sample.objects(spark, d)
-    rules = materialize(_rules(spark, d))
+    rules = _rules(spark, d)
     if codes is not None:
         rules = rules.where((F.col("expr_type") == 2) | F.col("point_code").isin(*codes, *support))
-    out = engine.derive(sample.telemetry(spark, d), rules, objects, sample.models(spark, d))
+    out = engine.derive(sample.telemetry(spark, d), materialize(rules), objects, sample.models(spark, d))
     if support:
         out = out.where(F.col("property_name").isin(*codes))
     return out.select("tick_ms", "snapshot_ms", *SERIES, rounded("value").alias("value"))
@@ -357,7 +357,7 @@ ALL["rollup_avg"] = _derive("plantAvg")
 def rollup_spikes(spark, d):
     """Roll-ups over readings of which some are very large, so that sums of changes would lose the rest."""
     readings = sample.telemetry(spark, d).withColumn("value", F.expr(sample.SPIKED))
-    rules = materialize(_rules(spark, d)).where(F.col("point_code").isin("plantSum", "plantAvg"))
+    rules = materialize(_rules(spark, d).where(F.col("point_code").isin("plantSum", "plantAvg")))
     out = engine.derive(readings, rules, sample.objects(spark, d), sample.models(spark, d))
     value = F.when(F.abs("value") < 1e15, rounded("value")).otherwise(F.round(F.col("value") / 1e9, 0))
     return out.select("tick_ms", "snapshot_ms", *SERIES, value.alias("value"))
@@ -367,7 +367,7 @@ def rollup_spikes(spark, d):
 def derive_aged(spark, d):
     """Formulas on one and on two devices and roll-ups whose operands count for three hours after their reading."""
     codes = ["mix", "cross", "plantSum", "plantAvg"]
-    rules = materialize(_rules(spark, d)).where(F.col("point_code").isin(codes))
+    rules = materialize(_rules(spark, d).where(F.col("point_code").isin(codes)))
     out = engine.derive(sample.telemetry(spark, d), rules, sample.objects(spark, d), sample.models(spark, d), max_age=180)
     return out.select("tick_ms", "snapshot_ms", *SERIES, rounded("value").alias("value"))
 
@@ -376,7 +376,7 @@ def derive_aged(spark, d):
 def encode_results(spark, d):
     """Results of formulas on one and two devices and of roll-ups as full records, sent as messages, then decoded again."""
     readings = sample.telemetry(spark, d)
-    rules = materialize(_rules(spark, d)).where(F.col("point_code").isin("mix", "cross", "plantSum"))
+    rules = materialize(_rules(spark, d).where(F.col("point_code").isin("mix", "cross", "plantSum")))
     rs = engine.prepare_rules(rules, sample.objects(spark, d), sample.models(spark, d))
     fired = snapshot.device_origin(readings)
     own = fired.groupBy(*DEVICE).agg(F.max_by(F.struct(*ORIGIN), "tick_ms").alias("o")).select(*DEVICE, "o.*")
