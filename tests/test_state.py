@@ -1,10 +1,14 @@
 """Running aggregates of many series at once, and the state of a group of series over several batches."""
 
+import datetime
+
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 from helpers import MIN, T0
 from test_streaming import FAR, Feed, run
 
+from pointloom.plans.queries import ALL
 from pointloom.streaming.snapshots import stream_snapshots, stream_ticks
 from pointloom.streaming.state import running, stream_device_state
 
@@ -43,3 +47,13 @@ def test_series_of_a_group_are_independent_over_batches(spark, tmp_path, monkeyp
                 at, v = (period == p).to_numpy(), value[(period == p).to_numpy()]
                 assert (g[f"{unit}_first"][at] == v[0]).all() and (g[f"{unit}_sum"][at] == np.cumsum(v)).all()
                 assert (g[f"{unit}_max"][at] == np.maximum.accumulate(v)).all() and g[f"{unit}_count"][at].tolist() == list(range(1, len(v) + 1))
+
+
+def test_query_writes_only_its_columns(spark, tmp_path):
+    at = datetime.datetime(2024, 1, 1)
+    rows = [(i, at + datetime.timedelta(hours=12 * i), i % 2, "click", float(i), "{}") for i in range(8)]  # 3.6 minutes apart in the stream
+    spark.createDataFrame(rows, "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING").write.parquet(str(tmp_path / "events.parquet"))
+    got = ALL["stream_device_state"](spark, str(tmp_path))
+    want = ["tick_ms", "snapshot_ms", "company_id", "device_id", "property_name", "day_diff", "day_avg"]
+    assert got.columns == want and got.count() > 0
+    assert all(pq.read_schema(f.removeprefix("file://")).names == want for f in got.inputFiles())
